@@ -1,0 +1,27 @@
+"""A folder that driver and executors share, for tables a job writes on the way."""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+_local_folders: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's `spark.checkpoint.dir`; a scratch folder only in local mode, where it is unset."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tiermill-")
+    return _local_folders[context.applicationId]
+
+
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
