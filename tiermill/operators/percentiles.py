@@ -3,14 +3,14 @@
 The built-in exact percentile keeps every distinct value of a group in one aggregation buffer.
 Here a group is a histogram spread over many tasks: equal values are counted before the
 shuffle, ranks come from a running count in two levels (over buckets of values, then within the
-few buckets that hold a wanted rank), so no task ever sees more than one bucket.
+few buckets that hold a wanted rank), so no task ever sorts more than one bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +28,9 @@ def measure_statistics(
     Nulls are left out. `bucket_width` sets how the work is cut, never the result.
     """
     group = [*keys, "measure"]
+    long_form = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
     histogram = (
-        df.select(*keys, *[F.col(m).cast("double").alias(m) for m in measures])
-        .unpivot(list(keys), list(measures), "measure", "value")
+        df.select(*keys, F.inline(F.array(*long_form)))
         .where(F.col("value").isNotNull())
         .groupBy(*group, "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -47,15 +47,15 @@ def measure_statistics(
             F.min("value").alias("bucket_min"),
             F.max("value").alias("bucket_max"),
         )
-        .withColumn("before", F.sum("bucket_n").over(up_to_here) - F.col("bucket_n"))
-        .withColumn("total", F.sum("bucket_n").over(in_group))
-    )
-
-    summary = buckets.groupBy(*group).agg(
-        F.sum("bucket_n").alias("n"),
-        (F.sum("bucket_sum") / F.sum("bucket_n")).alias("avg"),
-        F.min("bucket_min").alias("min"),
-        F.max("bucket_max").alias("max"),
+        .withColumns(
+            {
+                "before": F.sum("bucket_n").over(up_to_here) - F.col("bucket_n"),
+                "total": F.sum("bucket_n").over(in_group),
+                "avg": F.sum("bucket_sum").over(in_group) / F.sum("bucket_n").over(in_group),
+                "min": F.min("bucket_min").over(in_group),
+                "max": F.max("bucket_max").over(in_group),
+            }
+        )
     )
 
     def position(p: float) -> Column:
@@ -67,7 +67,13 @@ def measure_statistics(
 
     wanted = [rank(position(p)) for p in probabilities for rank in (F.floor, F.ceil)]
     holds_rank = reduce(or_, [covers(r, F.col("before"), F.col("bucket_n")) for r in wanted])
-    candidates = histogram.join(buckets.where(holds_rank).select(*group, "bucket", "before", "total"), [*group, "bucket"])
+    wanted_buckets = buckets.where(holds_rank).select(
+        *[F.col(c).alias(f"_{c}") for c in (*group, "bucket")], "before", "total", "avg", "min", "max"
+    )
+    # Null-safe, so that a group with a null key stays; and no filter is inferred on one side
+    # only, so that both sides remain one and the same shuffled histogram.
+    same_bucket = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "bucket")])
+    candidates = histogram.join(wanted_buckets, same_bucket)
 
     in_bucket = (
         Window.partitionBy(*group, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -77,15 +83,14 @@ def measure_statistics(
     def value_at(rank: Column) -> Column:
         return F.max(F.when(covers(rank, F.col("first_rank"), F.col("n")), F.col("value")))
 
-    picks = [F.max("total").alias("total")]
+    picks = [F.max(c).alias(c) for c in ("total", "avg", "min", "max")]
     for i, p in enumerate(probabilities):
         picks.append(value_at(F.floor(position(p))).alias(f"_low{i}"))
         picks.append(value_at(F.ceil(position(p))).alias(f"_high{i}"))
-    picked = ranked.groupBy(*group).agg(*picks)
     interpolated = [
         (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (position(p) - F.floor(position(p)))).alias(
             f"p{round(p * 100)}"
         )
         for i, p in enumerate(probabilities)
     ]
-    return summary.join(picked.select(*group, *interpolated), group)
+    return ranked.groupBy(*group).agg(*picks).select(*group, F.col("total").alias("n"), "avg", "min", "max", *interpolated)

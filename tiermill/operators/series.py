@@ -29,13 +29,13 @@ def counter_rate(samples: DataFrame, metric: str, window_seconds: int, slice_sec
         samples.where(F.col("metric") == metric).groupBy("metric", "series", "ts").agg(F.max("value").alias("value"))
     )
     at = F.unix_micros("ts")
-    own = F.floor(at / F.lit(length))
+    own = at - F.pmod(at, F.lit(length))
     near_end = F.pmod(at, F.lit(length)) >= F.lit(length - width)
     sliced = one_per_time.select(
         "*",
         at.alias("at"),
         own.alias("own"),
-        F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))).alias("slice"),
+        F.explode(F.when(near_end, F.array(own, own + length)).otherwise(F.array(own))).alias("slice"),
     )
 
     in_order = Window.partitionBy("metric", "series", "slice").orderBy("at")

@@ -17,8 +17,8 @@ from tiermill.config import LAYERS, configure_session
 from tiermill.functions import thresholds
 from tiermill.operators import analysis, cleaning, counts, hourly, parsing, quality, series, storage
 from tiermill.plans import jobs, maintenance, monitoring
+from tiermill.sinks import messages as message_sinks
 from tiermill.sinks import tables
-from tiermill.sinks.messages import encode_messages, publish_messages
 from tiermill.sources import layers as layer_scans
 from tiermill.sources import messages as message_scans
 from tiermill.sources import metrics as M
@@ -115,19 +115,16 @@ def scan_silver_dates(spark, sf_dir):
 
 
 @query
-def publish_messages_text(spark, sf_dir):
+def publish_messages(spark, sf_dir):
     """Events to a landing folder and back as lines."""
     cfg = dataclasses.replace(inputs.fresh_config(spark), message_format="text")
-    publish_messages(inputs.measurements(spark, sf_dir), cfg)
+    message_sinks.publish_messages(inputs.measurements(spark, sf_dir), cfg)
     return message_scans.read_messages(spark, cfg).select(F.col("value").cast("string").alias("message"))
 
 
-_QUERIES["publish_messages"] = _QUERIES.pop("publish_messages_text")
-
-
 @query
 def encode_json(spark, sf_dir):
-    return encode_messages(inputs.silver_view(spark, sf_dir)).select(F.col("value").cast("string").alias("message"))
+    return message_sinks.encode_messages(inputs.silver_view(spark, sf_dir)).select(F.col("value").cast("string").alias("message"))
 
 
 @query
