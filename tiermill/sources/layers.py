@@ -9,7 +9,13 @@ from tiermill.functions.predicates import between_dates
 
 
 def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=None, date_to=None) -> DataFrame:
-    """A layer's table; a date range reads only those partitions."""
+    """A layer's table; a date range reads only those partitions.
+
+    A session remembers which files a file table had; a stream or another application may have
+    added some since, so the memory is dropped first. Only the partitions read are listed anew.
+    """
+    if not cfg.is_v2:
+        spark.catalog.refreshTable(cfg.table_name(layer))
     df = spark.table(cfg.table_name(layer))
     if date_from is None and date_to is None:
         return df

@@ -47,7 +47,6 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
         days = batch.agg(F.min("date").alias("first"), F.max("date").alias("last")).head()
         if days["first"] is None:
             return
-        spark.catalog.refreshTable(cfg.table_name("silver"))
         present = read_layer(spark, cfg, "silver", days["first"], days["last"]).select(*DEDUP_KEYS)
         fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
         append(fresh.join(present, list(DEDUP_KEYS), "left_anti"), cfg, "silver")
