@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermill.config import LAYERS
+from tiermill.operators.parsing import add_date
 from tiermill.operators.quality import error_rate
 from tiermill.operators.storage import storage_usage
 from tiermill.plans import (
@@ -36,13 +37,13 @@ def three_days(land, event):
 
 
 def test_whole_run(spark, cfg, three_days):
-    ingest, silver, gold = run_medallion(spark, cfg)
+    (ingest, silver, gold), report = run_medallion(spark, cfg)
     assert (ingest.rows_in, ingest.rows_out) == (15, 15)
     assert (silver.rows_in, silver.rows_rejected, silver.rows_out) == (15, 2, 12)
     assert (gold.rows_in, gold.rows_out) == (12, 6)
     counts = {r["layer"]: r["row_count"] for r in layer_row_counts(spark, cfg, with_messages=True).collect()}
     assert counts == {"bronze": 15, "silver": 12, "gold": 6, "messages": 15}
-    assert {r["status"] for r in maintenance_report(spark, cfg).collect()} == {"ok"}
+    assert [(r["row_count"], r["commits"], r["status"]) for r in report.collect()] == [(15, 1, "ok"), (12, 1, "ok"), (6, 1, "ok")]
 
 
 def test_silver_and_gold_are_idempotent_and_absorb_replays(spark, cfg, three_days):
@@ -165,3 +166,30 @@ def test_lineage_survives_to_bronze_and_not_to_silver(spark, cfg, three_days):
     assert read_layer(spark, kept, "silver").columns == [
         "timestamp", "user_id", "upload_speed", "download_speed", "latency", "location", "date",
     ]
+
+
+def test_a_day_that_holds_most_rows_is_written_by_several_tasks(spark, cfg):
+    """A third of the rows on one day: its partition is cut, most small days stay whole."""
+    n = 90_000
+    day = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 30)
+    spread = spark.range(0, n, 1, 8).select(
+        (F.lit(FIRST) + day * DAY_MS + F.col("id")).alias("timestamp"),
+        F.col("id").cast("string").alias("user_id"),
+        *[(F.hash("id", F.lit(c)) % 1000).cast("float").alias(c) for c in ("upload_speed", "download_speed", "latency")],
+        F.lit("London").alias("location"),
+    )
+    tables.create_schema(spark, cfg, "bronze")
+    tables.create_table(spark, cfg, "bronze")
+    tables.append(add_date(spread), cfg, "bronze")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        bronze_to_silver(spark, cfg)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {r["date"]: r["files"] for r in storage_usage(spark, cfg, "silver").collect()}
+    hot = date(2024, 7, 19)
+    assert read_layer(spark, cfg, "silver").count() == n
+    # Small days that share the hot day's shuffle partition may be cut along with it.
+    assert files[hot] > 1
+    assert sorted(files.values())[len(files) // 2] == 1

@@ -47,7 +47,9 @@ def main() -> None:
     elif args.job == "silver-to-gold":
         print(plans.silver_to_gold(spark, cfg, *dates, full_refresh=args.full_refresh))
     elif args.job == "run-medallion":
-        print(*plans.run_medallion(spark, cfg, *dates), sep="\n")
+        runs, report = plans.run_medallion(spark, cfg, *dates)
+        print(*runs, sep="\n")
+        report.show(truncate=False)
     elif args.job == "maintenance-report":
         plans.maintenance_report(spark, cfg).show(truncate=False)
     elif args.job == "register-tables":

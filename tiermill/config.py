@@ -54,6 +54,8 @@ class PipelineConfig:
     topic: str = "measurements"
     starting_offsets: str = "earliest"
     ending_offsets: str = "latest"
+    # Tasks that share a Kafka scan; unset, there are only as many as the topic has partitions.
+    kafka_min_partitions: int | None = None
     checkpoint_root: str | None = None
 
     # Unit of the event's `timestamp`: "ms" is what producers send, "s" reads the number as seconds.
@@ -147,6 +149,7 @@ def cluster_settings(input_bytes: int, target_bytes: int = 128 << 20) -> dict[st
     return {
         "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // target_bytes))),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.config import PipelineConfig, configure_session
 from tiermill.operators.cleaning import COPIES, dedup, drop_nulls
@@ -82,15 +82,16 @@ def silver_to_gold(
     return run
 
 
-def run_medallion(spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None) -> list[Run]:
-    """All jobs in order, then the maintenance report."""
+def run_medallion(
+    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None
+) -> tuple[list[Run], DataFrame]:
+    """All jobs in order; their runs and the maintenance report."""
     runs = [
         ingest_bronze(spark, cfg),
         bronze_to_silver(spark, cfg, date_from, date_to),
         silver_to_gold(spark, cfg, date_from, date_to),
     ]
-    maintenance_report(spark, cfg)
-    return runs
+    return runs, maintenance_report(spark, cfg)
 
 
 def _replace(df, cfg: PipelineConfig, layer: str, full_refresh: bool) -> None:

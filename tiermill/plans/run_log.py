@@ -55,8 +55,8 @@ def logged_run(spark: SparkSession, cfg: PipelineConfig, job: str) -> Iterator[R
 
 def _add_to_log(spark: SparkSession, cfg: PipelineConfig, run: Run) -> None:
     ensure_table(spark, cfg, "run_log")
-    row = tuple(getattr(run, name) for name in RUN_LOG.fieldNames())
-    append(spark.createDataFrame([row], RUN_LOG).coalesce(1), cfg, "run_log")
+    row = [F.lit(getattr(run, f.name)).cast(f.dataType).alias(f.name) for f in RUN_LOG.fields]
+    append(spark.range(0, 1, 1, 1).select(*row), cfg, "run_log")
 
 
 def write_observed(df: DataFrame, write: Callable[[DataFrame], None], copies: str | None = None) -> dict[str, int]:

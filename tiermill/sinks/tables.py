@@ -88,10 +88,13 @@ def _in_table_order(df: DataFrame, name: str) -> DataFrame:
 
 
 def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
-    spark = df.sparkSession
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, mode)
+    """INSERT OVERWRITE takes its mode from the session; a differing mode is put back afterwards."""
+    conf = df.sparkSession.conf
+    before = conf.get(_OVERWRITE_MODE)
+    if before.lower() != mode:
+        conf.set(_OVERWRITE_MODE, mode)
     try:
         _in_table_order(df, name).write.mode("overwrite").insertInto(name)
     finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+        if before.lower() != mode:
+            conf.set(_OVERWRITE_MODE, before)

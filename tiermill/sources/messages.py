@@ -54,7 +54,10 @@ def read_message_stream(spark: SparkSession, cfg: PipelineConfig, max_per_trigge
 def _subscription(cfg: PipelineConfig) -> dict[str, str]:
     if not cfg.kafka_broker:
         raise ValueError("message_format 'kafka' needs kafka_broker")
-    return {"kafka.bootstrap.servers": cfg.kafka_broker, "subscribe": cfg.topic}
+    options = {"kafka.bootstrap.servers": cfg.kafka_broker, "subscribe": cfg.topic}
+    if cfg.kafka_min_partitions:
+        options["minPartitions"] = str(cfg.kafka_min_partitions)
+    return options
 
 
 def _path(cfg: PipelineConfig) -> str:

@@ -256,6 +256,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(date AS VARCHAR) AS date, location, round(avg_upload_speed, 6) AS avg_upload_speed,
                    round(avg_download_speed, 6) AS avg_download_speed, round(avg_latency, 6) AS avg_latency
             FROM gold WHERE date = DATE '{AS_OF}'""",
+        "gold_sql": f"""
+            SELECT location, count(*) AS hours, round(avg(avg_download_speed), 6) AS avg_dl,
+                   round(avg(avg_latency), 6) AS avg_latency
+            FROM gold WHERE date >= DATE '{AS_OF}' - INTERVAL '1' DAY GROUP BY location""",
         "preview_rows": f'SELECT {_DATED_ROWS} FROM silver ORDER BY silver.user_id, silver."timestamp" LIMIT 10',
         "bronze_append": """
             SELECT CAST(date AS VARCHAR) AS date, location, 2 * count(*) AS n FROM bronze GROUP BY date, location""",

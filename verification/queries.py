@@ -244,6 +244,18 @@ def gold_today(spark, sf_dir):
     return analysis.gold_today(_gold(spark, sf_dir), as_of=AS_OF)
 
 
+@query
+def gold_sql(spark, sf_dir):
+    """An analyst's statement, as text, on the gold table."""
+    gold = inputs.built_pipeline(spark, sf_dir).table_name("gold")
+    return spark.sql(f"""
+        SELECT location, count(*) AS hours, avg(avg_download_speed) AS avg_dl, avg(avg_latency) AS avg_latency
+        FROM {gold}
+        WHERE date >= DATE '{AS_OF}' - INTERVAL '1' DAY
+        GROUP BY location
+    """)
+
+
 @query
 def preview_rows(spark, sf_dir):
     silver = layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
