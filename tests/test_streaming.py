@@ -96,3 +96,12 @@ def test_bounded_micro_batches_end_in_the_same_rows(spark, cfg, land, event):
     stream_bronze(read_message_stream(spark, cfg, max_per_trigger=1), cfg).awaitTermination()
     stream_silver(read_layer_stream(spark, cfg, "bronze", max_per_trigger=1), cfg).awaitTermination()
     assert [u for u, _ in users(spark, cfg)] == [f"u{j}" for j in range(6)]
+
+
+def test_more_days_than_are_listed(spark, cfg, land, event):
+    day = 24 * HOUR
+    land(*[event(ms=START + d * day, user="a") for d in range(400)])
+    to_silver(spark, cfg)
+    land(*[event(ms=START + d * day, user="a") for d in range(399, -1, -1)], event(ms=START, user="b"))
+    to_silver(spark, cfg)
+    assert read_layer(spark, cfg, "silver").count() == 401

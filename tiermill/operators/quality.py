@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.functions.predicates import all_present, is_present
+from tiermill.functions.predicates import is_present
 from tiermill.schemas import BRONZE, DEDUP_KEYS, EVENT
 
 
@@ -16,24 +16,33 @@ def quality_report(bronze: DataFrame) -> DataFrame:
     """One row: what came in, what is wrong with it, and what the silver layer will hold.
 
     Missing values are counted per column, malformed messages are those without any field, and
-    clean rows divide into survivors and duplicates. One scan and one shuffle: the counts are
-    summed per dedup key first, so that keys are told apart exactly, then over all keys.
+    clean rows divide into survivors and duplicates.
+
+    One scan and one shuffle. A row's defects are one number, a bit each; rows are counted per
+    number and, where there is no defect, per key, so that keys are told apart exactly while
+    defective rows fold into a few sums before the shuffle.
     """
-    missing = {f"missing_{f.name}": ~is_present(f) for f in BRONZE.fields}
-    malformed = reduce(and_, [F.col(c).isNull() for c in EVENT.fieldNames()])
-    clean = all_present(BRONZE)
-    per_key = bronze.groupBy(*DEDUP_KEYS).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        *[F.count_if(condition).alias(name) for name, condition in missing.items()],
-        F.count_if(malformed).alias("malformed"),
-        F.count_if(clean).alias("clean"),
+    defects = {f"missing_{f.name}": ~is_present(f) for f in BRONZE.fields}
+    defects["malformed"] = reduce(and_, [F.col(c).isNull() for c in EVENT.fieldNames()])
+    bits = {name: 1 << i for i, name in enumerate(defects)}
+    found = reduce(add, [F.when(condition, bits[name]).otherwise(0) for name, condition in defects.items()])
+
+    counted = (
+        bronze.withColumn("defects", found)
+        .groupBy("defects", *[F.when(F.col("defects") == 0, F.col(k)).alias(k) for k in DEDUP_KEYS])
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = {name: F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("rows_in", *missing, "malformed")}
-    return per_key.agg(
-        *total.values(),
-        F.coalesce(F.sum(F.col("rows_in") - F.col("clean")), F.lit(0)).alias("rejected"),
-        F.coalesce(F.sum(F.greatest(F.col("clean") - 1, F.lit(0))), F.lit(0)).alias("duplicates"),
-        F.count_if(F.col("clean") > 0).alias("survivors"),
+    clean = F.col("defects") == 0
+
+    def rows(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    return counted.agg(
+        rows(F.lit(True)).alias("rows_in"),
+        *[rows(F.col("defects").bitwiseAND(bit) != 0).alias(name) for name, bit in bits.items()],
+        rows(~clean).alias("rejected"),
+        (rows(clean) - F.count_if(clean)).alias("duplicates"),
+        F.count_if(clean).alias("survivors"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.event_time import event_timestamp
+from tiermill.functions.predicates import between_dates
 from tiermill.operators.cleaning import dedup, drop_nulls
 from tiermill.operators.parsing import add_date, parse_messages
 from tiermill.schemas import DEDUP_KEYS, MEASURES, SILVER
@@ -42,12 +43,7 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
     ensure_table(bronze.sparkSession, cfg, "silver")
 
     def add_new(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Reads partition values only.
-        days = batch.agg(F.min("date").alias("first"), F.max("date").alias("last")).head()
-        if days["first"] is None:
-            return
-        present = read_layer(spark, cfg, "silver", days["first"], days["last"]).select(*DEDUP_KEYS)
+        present = read_layer(batch.sparkSession, cfg, "silver").where(_on_days_of(batch)).select(*DEDUP_KEYS)
         fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
         append(fresh.join(present, list(DEDUP_KEYS), "left_anti"), cfg, "silver")
 
@@ -60,6 +56,19 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
     )
 
 
+def _on_days_of(batch: DataFrame) -> Column:
+    """Filter for the partitions a micro-batch can meet, from its partition values alone.
+
+    Days are listed up to a year's worth, so that a stray date far off opens no days between;
+    beyond that their range serves, which only reads more.
+    """
+    listed = [r["date"] for r in batch.where(F.col("date").isNotNull()).select("date").distinct().limit(367).collect()]
+    if len(listed) < 367:
+        return F.col("date").isin(listed)
+    first, last = batch.agg(F.min("date"), F.max("date")).head()
+    return between_dates(first, last)
+
+
 def stream_silver_stateful(
     bronze: DataFrame,
     cfg: PipelineConfig,
