@@ -216,8 +216,9 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     events = table(spark, sf_dir, "events")
     second = _clock(F.unix_millis(F.col("ts").cast("timestamp")))
+    # Single precision, as the measures are: means of two-decimal doubles would lie on rounding ties.
     durations = events.groupBy("event_type", "user_id", (second - second % 60).alias("second")).agg(
-        F.max("value").alias("value")
+        F.max(F.col("value").cast("float")).alias("value")
     )
     elapsed = bronze.groupBy("location", "user_id", (_clock(event_millis) - _clock(event_millis) % 60).alias("second")).agg(
         F.max("latency").alias("value")

@@ -78,8 +78,8 @@ samples AS (
          CAST(max({_SECOND}) AS DOUBLE)
   FROM bronze GROUP BY ALL
   UNION ALL
-  SELECT 'spark_job_duration', user_id, event_type, NULL, second, max(value)
-  FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, value,
+  SELECT 'spark_job_duration', user_id, event_type, NULL, second, CAST(max(value) AS DOUBLE)
+  FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(value AS FLOAT) AS value,
                {CLOCK_START_S} + (epoch_us(ts) // 1000 - {CLOCK_START_S * 1000}) // {60000 * CLOCK_SPEED} * 60 AS second
         FROM events)
   GROUP BY ALL
