@@ -193,3 +193,32 @@ def test_a_day_that_holds_most_rows_is_written_by_several_tasks(spark, cfg):
     # Small days that share the hot day's shuffle partition may be cut along with it.
     assert files[hot] > 1, files
     assert sorted(files.values())[len(files) // 2] == 1
+
+
+def test_only_touched_dates_are_redone(spark, cfg, three_days, event):
+    run_medallion(spark, cfg)
+    before = rows(spark, cfg, "gold")
+    new = dataclasses.replace(cfg, message_path=f"{cfg.message_path}_new")
+    line = event(ms=FIRST + DAY_MS, user="new", down=77.0)
+    spark.createDataFrame([(line,)], "value string").write.text(new.message_path)
+    (ingest, silver, gold), _ = run_medallion(spark, new, touched_only=True)
+    assert (ingest.first_date, ingest.last_date) == ("2024-07-20", "2024-07-20")
+    assert (silver.rows_in, silver.rows_out, gold.rows_out) == (5, 5, 3)
+    added = set(rows(spark, cfg, "gold")) - set(before)
+    assert len(added) == 1 and "77.0" in added.pop()
+
+
+def test_no_dates_touched_redoes_nothing(spark, cfg, land):
+    land("not json")
+    runs, report = run_medallion(spark, cfg, touched_only=True)
+    assert [r.job for r in runs] == ["ingest_bronze"] and runs[0].first_date is None
+    assert {r["layer"]: r["status"] for r in report.collect()} == {"bronze": "ok", "silver": "error", "gold": "error"}
+
+
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_a_stray_timestamp_stops_nothing(spark, cfg, land, event, touched_only):
+    land(event(ms=FIRST), event(ms=9_000_000_000_000_000, user="far"), event(ms=(1 << 63) - 1, user="farther"))
+    (ingest, silver, gold), _ = run_medallion(spark, cfg, touched_only=touched_only)
+    assert (ingest.rows_out, silver.rows_out, gold.rows_out) == (3, 2, 2)
+    assert ingest.first_date == "2024-07-19" and ingest.last_date.startswith("+287")
+    assert {r["user_id"] for r in read_layer(spark, cfg, "silver").select("user_id").collect()} == {"u1", "far"}

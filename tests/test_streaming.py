@@ -105,3 +105,11 @@ def test_more_days_than_are_listed(spark, cfg, land, event):
     land(*[event(ms=START + d * day, user="a") for d in range(399, -1, -1)], event(ms=START, user="b"))
     to_silver(spark, cfg)
     assert read_layer(spark, cfg, "silver").count() == 401
+
+
+def test_a_stray_timestamp_stops_nothing(spark, cfg, land, event):
+    for _ in range(2):
+        land(event(ms=START), event(ms=9_000_000_000_000_000, user="far"), event(ms=(1 << 63) - 1, user="farther"))
+        to_silver(spark, cfg)
+        found = read_layer(spark, cfg, "silver").select("user_id").collect()
+        assert sorted(r["user_id"] for r in found) == ["far", "u1"]

@@ -30,6 +30,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--date-from")
     p.add_argument("--date-to")
     p.add_argument("--full-refresh", action="store_true")
+    p.add_argument("--touched-only", action="store_true", help="run-medallion: redo the dates of the new messages")
     p.add_argument("--starting-offsets")
     p.add_argument("--ending-offsets")
     return p
@@ -47,7 +48,7 @@ def main() -> None:
     elif args.job == "silver-to-gold":
         print(plans.silver_to_gold(spark, cfg, *dates, full_refresh=args.full_refresh))
     elif args.job == "run-medallion":
-        runs, report = plans.run_medallion(spark, cfg, *dates)
+        runs, report = plans.run_medallion(spark, cfg, *dates, touched_only=args.touched_only)
         print(*runs, sep="\n")
         report.show(truncate=False)
     elif args.job == "maintenance-report":

@@ -37,6 +37,7 @@ def ingest_bronze(
         counts = write_observed(bronze, lambda df: append(df, cfg, "bronze"))
         run.rows_in = run.rows_out = counts["rows"]
         run.rows_rejected = 0
+        run.first_date, run.last_date = counts["first_date"], counts["last_date"]
     return run
 
 
@@ -62,6 +63,7 @@ def bronze_to_silver(
         run.rows_in = bronze.count()
         run.rows_rejected = run.rows_in - counts["copies"]
         run.rows_out = counts["rows"]
+        run.first_date, run.last_date = counts["first_date"], counts["last_date"]
     return run
 
 
@@ -79,18 +81,24 @@ def silver_to_gold(
         run.rows_in = silver.count()
         run.rows_rejected = 0
         run.rows_out = counts["rows"]
+        run.first_date, run.last_date = counts["first_date"], counts["last_date"]
     return run
 
 
 def run_medallion(
-    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None
+    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, touched_only: bool = False
 ) -> tuple[list[Run], DataFrame]:
-    """All jobs in order; their runs and the maintenance report."""
-    runs = [
-        ingest_bronze(spark, cfg),
-        bronze_to_silver(spark, cfg, date_from, date_to),
-        silver_to_gold(spark, cfg, date_from, date_to),
-    ]
+    """All jobs in order; their runs and the maintenance report.
+
+    With `touched_only`, silver and gold are redone from the first to the last date among the
+    messages just ingested. Older days then stay as they are: their bronze has not changed.
+    """
+    runs = [ingest_bronze(spark, cfg)]
+    if touched_only:
+        date_from, date_to = runs[0].first_date, runs[0].last_date
+    if not touched_only or date_from is not None:
+        runs.append(bronze_to_silver(spark, cfg, date_from, date_to))
+        runs.append(silver_to_gold(spark, cfg, date_from, date_to))
     return runs, maintenance_report(spark, cfg)
 
 

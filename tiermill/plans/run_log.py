@@ -28,6 +28,9 @@ class Run:
     rows_in: int | None = None
     rows_rejected: int | None = None
     rows_out: int | None = None
+    # Dates written, as text: a stray one may lie beyond what a Python date can hold.
+    first_date: str | None = None
+    last_date: str | None = None
     status: str = "running"
 
     @property
@@ -59,15 +62,19 @@ def _add_to_log(spark: SparkSession, cfg: PipelineConfig, run: Run) -> None:
     append(spark.range(0, 1, 1, 1).select(*row), cfg, "run_log")
 
 
-def write_observed(df: DataFrame, write: Callable[[DataFrame], None], copies: str | None = None) -> dict[str, int]:
-    """Write once and count in passing, without a second job.
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], copies: str | None = None) -> dict:
+    """Write once and take rows, first and last date in passing, without a second job.
 
     The counters sit right before the write, in the last stage: there a lost executor's tasks
     are counted once, while a counter before a shuffle would count a rerun map task again.
     `copies` names a helper column to add up and leave out of the write.
     """
     observation = Observation()
-    metrics = [F.count(F.lit(1)).alias("rows")]
+    metrics = [
+        F.count(F.lit(1)).alias("rows"),
+        F.min("date").cast("string").alias("first_date"),
+        F.max("date").cast("string").alias("last_date"),
+    ]
     if copies:
         metrics.append(F.coalesce(F.sum(copies), F.lit(0)).alias("copies"))
     observed = df.observe(observation, *metrics)

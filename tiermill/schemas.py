@@ -79,6 +79,8 @@ RUN_LOG = T.StructType(
         T.StructField("rows_rejected", T.LongType()),
         T.StructField("rows_out", T.LongType()),
         T.StructField("rows_per_s", T.DoubleType()),
+        T.StructField("first_date", T.DateType()),
+        T.StructField("last_date", T.DateType()),
         T.StructField("status", T.StringType()),
     ]
 )

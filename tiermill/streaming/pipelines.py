@@ -62,10 +62,12 @@ def _on_days_of(batch: DataFrame) -> Column:
     Days are listed up to a year's worth, so that a stray date far off opens no days between;
     beyond that their range serves, which only reads more.
     """
-    listed = [r["date"] for r in batch.where(F.col("date").isNotNull()).select("date").distinct().limit(367).collect()]
+    # As text: a stray date may lie beyond what a Python date can hold.
+    day = F.col("date").cast("string").alias("day")
+    listed = [r["day"] for r in batch.where(F.col("date").isNotNull()).select(day).distinct().limit(367).collect()]
     if len(listed) < 367:
-        return F.col("date").isin(listed)
-    first, last = batch.agg(F.min("date"), F.max("date")).head()
+        return F.col("date").isin([F.lit(d).cast("date") for d in listed])
+    first, last = batch.agg(F.min("date").cast("string"), F.max("date").cast("string")).head()
     return between_dates(first, last)
 
 
