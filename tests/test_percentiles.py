@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tiermill.operators.percentiles import measure_statistics
+from tiermill.operators.percentiles import measure_statistics, percentile_name
 
 PROBABILITIES = (0.0, 0.25, 0.5, 0.95, 1.0)
 
@@ -22,7 +22,7 @@ def checked(row, values):
     assert row["n"] == len(values)
     assert row["min"] == min(values) and row["max"] == max(values)
     assert row["avg"] == pytest.approx(sum(values) / len(values))
-    assert [row[f"p{round(p * 100)}"] for p in PROBABILITIES] == pytest.approx(expected(values))
+    assert [row[percentile_name(p)] for p in PROBABILITIES] == pytest.approx(expected(values))
 
 
 @pytest.mark.parametrize("width", [0.01, 1.0, 50.0, 1e9])
@@ -44,3 +44,7 @@ def test_nulls_are_left_out_and_null_groups_stay(spark):
     checked(found["x", "b"], [5.0, 6.0])
     checked(found[None, "a"], [2.0, 4.0])
     checked(found[None, "b"], [9.0])
+
+
+def test_names():
+    assert [percentile_name(p) for p in (0.0, 0.5, 0.95, 0.999, 1.0)] == ["p0", "p50", "p95", "p99_9", "p100"]

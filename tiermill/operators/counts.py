@@ -11,5 +11,8 @@ from pyspark.sql import functions as F
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table; the counts run as one job and read no columns."""
-    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count") for name, df in tables.items()]
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
+        for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, counts)

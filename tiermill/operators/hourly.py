@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.operators.parsing import add_hour
-from tiermill.operators.percentiles import measure_statistics
+from tiermill.operators.percentiles import measure_statistics, percentile_name
 from tiermill.schemas import MEASURES
 
 GOLD_KEYS = ("date", "location", "hour")
@@ -26,7 +26,7 @@ def gold_kpis(silver: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), t
     With `sample_count` at hand, means can be rolled up without the error of averaging averages.
     """
     statistics = measure_statistics(add_hour(silver, ts_unit), GOLD_KEYS, MEASURES, probabilities)
-    names = ["avg", "min", "max", *[f"p{round(p * 100)}" for p in probabilities]]
+    names = ["avg", "min", "max", *[percentile_name(p) for p in probabilities]]
 
     def of_measure(measure: str, name: str):
         return F.max(F.when(F.col("measure") == measure, F.col(name))).alias(f"{name}_{measure}")

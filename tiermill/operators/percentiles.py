@@ -16,6 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def percentile_name(p: float) -> str:
+    """p50 for 0.5, p99_9 for 0.999."""
+    return f"p{p * 100:g}".replace(".", "_")
+
+
 def measure_statistics(
     df: DataFrame,
     keys: Sequence[str],
@@ -89,7 +94,7 @@ def measure_statistics(
         picks.append(value_at(F.ceil(position(p))).alias(f"_high{i}"))
     interpolated = [
         (F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * (position(p) - F.floor(position(p)))).alias(
-            f"p{round(p * 100)}"
+            percentile_name(p)
         )
         for i, p in enumerate(probabilities)
     ]

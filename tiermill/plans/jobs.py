@@ -10,7 +10,7 @@ from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, add_date_if_missing, parse_messages
 from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
-from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_all, overwrite_partitions
+from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import read_layer
 from tiermill.sources.messages import read_messages
 
@@ -58,6 +58,7 @@ def bronze_to_silver(
         if date_from is None or date_from != date_to:
             # A single day needs no grouping: the partitions of the dedup shuffle are its files.
             silver = group_for_write(silver, "date")
+        silver = sort_for_write(silver, "date", "location", "timestamp")
         counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), copies=COPIES)
         # Read from file footers, not from the data.
         run.rows_in = bronze.count()
@@ -77,6 +78,7 @@ def silver_to_gold(
     with logged_run(spark, cfg, "silver_to_gold") as run:
         silver = read_layer(spark, cfg, "silver", date_from, date_to)
         gold = group_for_write(gold_hourly(silver, cfg.ts_unit), *cfg.partition_by("gold"))
+        gold = sort_for_write(gold, "date", "location", "hour")
         counts = write_observed(gold, lambda df: _replace(df, cfg, "gold", full_refresh))
         run.rows_in = silver.count()
         run.rows_rejected = 0

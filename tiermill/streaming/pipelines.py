@@ -18,11 +18,14 @@ from tiermill.functions.predicates import between_dates
 from tiermill.operators.cleaning import dedup, drop_nulls
 from tiermill.operators.parsing import add_date, parse_messages
 from tiermill.schemas import DEDUP_KEYS, MEASURES, SILVER
-from tiermill.sinks.tables import append, ensure_table
+from tiermill.sinks.tables import append, ensure_table, sort_for_write
 from tiermill.sources.layers import read_layer
 
 _ONCE: Mapping = {"availableNow": True}
 
+# Days of a micro-batch that are pruned one by one; beyond that, by their range.
+LISTED_DAYS = 366
+
 
 def stream_bronze(messages: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
     """Messages to bronze. The sink commits a micro-batch's files once, so replays add nothing."""
@@ -45,7 +48,8 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
     def add_new(batch: DataFrame, batch_id: int) -> None:
         present = read_layer(batch.sparkSession, cfg, "silver").where(_on_days_of(batch)).select(*DEDUP_KEYS)
         fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
-        append(fresh.join(present, list(DEDUP_KEYS), "left_anti"), cfg, "silver")
+        new = fresh.join(present, list(DEDUP_KEYS), "left_anti")
+        append(sort_for_write(new, "date", "location", "timestamp"), cfg, "silver")
 
     return (
         bronze.writeStream.foreachBatch(add_new)
@@ -63,9 +67,9 @@ def _on_days_of(batch: DataFrame) -> Column:
     beyond that their range serves, which only reads more.
     """
     # As text: a stray date may lie beyond what a Python date can hold.
-    day = F.col("date").cast("string").alias("day")
-    listed = [r["day"] for r in batch.where(F.col("date").isNotNull()).select(day).distinct().limit(367).collect()]
-    if len(listed) < 367:
+    days = batch.where(F.col("date").isNotNull()).select(F.col("date").cast("string").alias("day")).distinct()
+    listed = [r["day"] for r in days.limit(LISTED_DAYS + 1).collect()]
+    if len(listed) <= LISTED_DAYS:
         return F.col("date").isin([F.lit(d).cast("date") for d in listed])
     first, last = batch.agg(F.min("date").cast("string"), F.max("date").cast("string")).head()
     return between_dates(first, last)

@@ -61,7 +61,10 @@ def _row_count_samples(layer: str, second: str) -> str:
   FROM (SELECT {second} - {second} % 30 AS second, count(*) AS n FROM {layer} GROUP BY ALL)"""
 
 
-_GOLD_SECOND = f"({CLOCK_START_S} + ((date - DATE '1970-01-01') * 24 + hour) * 3600 // {CLOCK_SPEED} - {CLOCK_START_S} // {CLOCK_SPEED})"
+_GOLD_SECOND = (
+    f"({CLOCK_START_S} + ((date - DATE '1970-01-01') * 24 + hour) * 3600 // {CLOCK_SPEED}"
+    f" - {CLOCK_START_S} // {CLOCK_SPEED})"
+)
 
 _SAMPLES = f"""
 {_LAYERS},

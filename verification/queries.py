@@ -71,6 +71,10 @@ def rows_shown(df: DataFrame) -> DataFrame:
     )
 
 
+def _layer(spark, sf_dir, layer):
+    return layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, layer), layer)
+
+
 # --- scans ------------------------------------------------------------------------------------
 
 
@@ -89,19 +93,17 @@ def scan_messages(spark, sf_dir):
 
 @query
 def scan_bronze(spark, sf_dir):
-    cfg = inputs.built_pipeline(spark, sf_dir, "bronze")
-    return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
+    return rows_shown(_layer(spark, sf_dir, "bronze"))
 
 
 @query
 def scan_silver(spark, sf_dir):
-    cfg = inputs.built_pipeline(spark, sf_dir, "silver")
-    return rows_shown(layer_scans.read_layer(spark, cfg, "silver"))
+    return rows_shown(_layer(spark, sf_dir, "silver"))
 
 
 @query
 def scan_gold(spark, sf_dir):
-    return layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir), "gold")
+    return _layer(spark, sf_dir, "gold")
 
 
 @query
@@ -124,7 +126,8 @@ def publish_messages(spark, sf_dir):
 
 @query
 def encode_json(spark, sf_dir):
-    return message_sinks.encode_messages(inputs.silver_view(spark, sf_dir)).select(F.col("value").cast("string").alias("message"))
+    encoded = message_sinks.encode_messages(inputs.silver_view(spark, sf_dir))
+    return encoded.select(F.col("value").cast("string").alias("message"))
 
 
 @query
@@ -206,42 +209,38 @@ def gold_hourly(spark, sf_dir):
 
 @query
 def gold_kpis(spark, sf_dir):
-    return hourly.gold_kpis(layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver"))
+    return hourly.gold_kpis(_layer(spark, sf_dir, "silver"))
 
 
 @query
 def date_distribution(spark, sf_dir):
-    return analysis.date_distribution(layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "bronze"), "bronze"))
-
-
-def _gold(spark, sf_dir):
-    return layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir), "gold")
+    return analysis.date_distribution(_layer(spark, sf_dir, "bronze"))
 
 
 @query
 def top_locations(spark, sf_dir):
-    return analysis.top_locations(_gold(spark, sf_dir), as_of=AS_OF)
+    return analysis.top_locations(_layer(spark, sf_dir, "gold"), as_of=AS_OF)
 
 
 @query
 def top_locations_weighted(spark, sf_dir):
-    silver = layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
+    silver = _layer(spark, sf_dir, "silver")
     return analysis.top_locations_weighted(hourly.gold_kpis(silver, probabilities=(0.5,)), as_of=AS_OF)
 
 
 @query
 def hourly_trend(spark, sf_dir):
-    return analysis.hourly_trend(_gold(spark, sf_dir), "New York")
+    return analysis.hourly_trend(_layer(spark, sf_dir, "gold"), "New York")
 
 
 @query
 def latency_by_location(spark, sf_dir):
-    return analysis.latency_by_location(_gold(spark, sf_dir))
+    return analysis.latency_by_location(_layer(spark, sf_dir, "gold"))
 
 
 @query
 def gold_today(spark, sf_dir):
-    return analysis.gold_today(_gold(spark, sf_dir), as_of=AS_OF)
+    return analysis.gold_today(_layer(spark, sf_dir, "gold"), as_of=AS_OF)
 
 
 @query
@@ -258,7 +257,7 @@ def gold_sql(spark, sf_dir):
 
 @query
 def preview_rows(spark, sf_dir):
-    silver = layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
+    silver = _layer(spark, sf_dir, "silver")
     return rows_shown(analysis.preview_rows(silver, 10, order_by=("user_id", "timestamp")))
 
 
@@ -363,7 +362,7 @@ def show_tables(spark, sf_dir):
     cfg = inputs.built_pipeline(spark, sf_dir)
     listed = None
     for layer in LAYERS:
-        names = tables.show_tables(spark, cfg, layer).where(~F.col("isTemporary")).select(F.col("tableName").alias("table_name"))
+        names = tables.show_tables(spark, cfg, layer).select(F.col("tableName").alias("table_name"))
         rows = counts.row_counts({cfg.table(layer): layer_scans.read_layer(spark, cfg, layer)})
         part = names.join(rows, names.table_name == rows.layer).select("table_name", "row_count")
         listed = part if listed is None else listed.unionByName(part)
@@ -403,7 +402,7 @@ def error_rate(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    return quality.quality_report(layer_scans.read_layer(spark, inputs.built_pipeline(spark, sf_dir, "bronze"), "bronze"))
+    return quality.quality_report(_layer(spark, sf_dir, "bronze"))
 
 
 @query
