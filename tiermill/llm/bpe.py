@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tiermill.llm.rows import map_texts
 from tiermill.llm.vocab import NEVER, Memo, Merges, Splitter, byte_letters, default_path
@@ -230,20 +232,19 @@ def load(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """Encodes each text and decodes it again: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids on request.
+def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = False, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """Encodes each text and decodes it again: the columns `keep`, n_tokens, ids_sha256, decoded_sha256, and ids on request.
 
     One row per row of `docs`, whatever the ids: repeated rows are encoded alike, a null id stays null. A null
     text is an empty one, without tokens. Texts are encoded whole. Other columns are not read.
     """
     path = path or default_path("byte_bpe_50k.json")
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
 
-    def work(keys: list, texts: list[str]) -> dict:
+    def work(texts: list[str]) -> dict:
         bpe = load(path)
         coded = bpe.encode(texts)
         out = {
-            "doc_id": keys,
             "n_tokens": [len(c) // 4 for c in coded],
             "ids_sha256": [hashlib.sha256(c).hexdigest() for c in coded],
             "decoded_sha256": [hashlib.sha256(bpe.decode(np.frombuffer(c, "<u4"))).hexdigest() for c in coded],
@@ -252,4 +253,4 @@ def encode_decode(docs: DataFrame, path: str | None = None, with_ids: bool = Fal
             out["ids"] = [np.frombuffer(c, "<i4") for c in coded]
         return out
 
-    return map_texts(docs, work, schema)
+    return map_texts(docs, work, schema, {name: F.col(name) for name in keep}, text_col)

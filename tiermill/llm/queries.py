@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiermill.llm import bpe, token_counts
+from tiermill.llm import bpe, decontamination, line_dedup, quality_rules, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +24,32 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("host", "version", "common")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document its lines, those removed, and the MD5 of what is left."""
+    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return done.select(
+        F.col("_id").alias("doc_id"), F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed_lines"), F.md5(F.coalesce("_text", F.lit(""))).alias("text_md5")
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of the benchmark found, by document."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts}
+    return {
+        "op1_bpe": op1_bpe,
+        "op2_token_counts": op2_token_counts,
+        "op5_quality_rules": op5_quality_rules,
+        "op8_line_dedup": op8_line_dedup,
+        "op9_decontamination": op9_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": quality_rules.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}

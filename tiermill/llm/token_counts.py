@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tiermill.llm.rows import map_texts
 from tiermill.llm.vocab import Memo, Merges, Splitter, byte_letters, default_path, fold
@@ -74,7 +75,7 @@ def load(path: str) -> WordCounts:
     return WordCounts(path)
 
 
-def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit).
 
     One row per row of `docs`; repeated rows and null ids are kept. A null or empty text has no bytes and no
@@ -82,8 +83,8 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """
     path = path or default_path("word_bpe_49k.json")
 
-    def work(keys: list, texts: list[str]) -> dict:
+    def work(texts: list[str]) -> dict:
         counts = load(path).count(texts)
-        return {"doc_id": keys, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts, "over_limit": [c > limit for c in counts]}
+        return {"n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts, "over_limit": [c > limit for c in counts]}
 
-    return map_texts(docs, work, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return map_texts(docs, work, "n_bytes long, n_tokens long, over_limit boolean", {"doc_id": F.col(id_col)}, text_col)
