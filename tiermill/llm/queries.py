@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bpe, decontamination, line_dedup, quality_rules, token_counts
+from tiermill.llm import bpe, decontamination, line_dedup, quality_classifier, quality_rules, secret_scans, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +24,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("host", "version", "common")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each document its lines, those removed, and the MD5 of what is left."""
     done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -41,13 +49,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.secret_scans(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_token_counts": op2_token_counts,
+        "op3_toxicity": op3_toxicity,
         "op5_quality_rules": op5_quality_rules,
+        "op6_quality_classifier": op6_quality_classifier,
         "op8_line_dedup": op8_line_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_secret_scans": op10_secret_scans,
     }
 
 
