@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bpe, decontamination, line_dedup, quality_classifier, quality_rules, secret_scans, token_counts, toxicity
+from tiermill.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, secret_scans, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each document its lines, those removed, and the MD5 of what is left."""
     done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -60,6 +64,7 @@ def queries() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op5_quality_rules": op5_quality_rules,
         "op6_quality_classifier": op6_quality_classifier,
+        "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_secret_scans": op10_secret_scans,
@@ -67,4 +72,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}
+    return {"op5_quality_rules": quality_rules.SQL, "op7_near_dedup": near_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}
