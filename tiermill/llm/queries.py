@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, secret_scans, token_counts, toxicity
+from tiermill.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, secret_scans, substring_dedup, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose repeated spans, where, and the documents that keep them."""
+    gone = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",")
+    lost = F.aggregate("spans", F.lit(0), lambda a, s: a + s["stop"] - s["start"])
+    return gone.select("doc_id", F.size("spans").alias("n_spans"), lost.alias("n_chars_removed"), listed.alias("spans"), F.array_sort("first_docs").alias("first_doc_ids"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("host", "version", "common")
 
@@ -62,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op1_bpe": op1_bpe,
         "op2_token_counts": op2_token_counts,
         "op3_toxicity": op3_toxicity,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_near_dedup": op7_near_dedup,
