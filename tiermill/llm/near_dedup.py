@@ -44,7 +44,7 @@ def shingles(texts: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(texts: list[str], n: int) -> dict[str, list]:
+def signatures(texts: list[str], n: int, along: int = ALONG) -> dict[str, list]:
     """Size, two sums that stand for the whole set, and the two collections of band hashes (none of an empty set)."""
     sets = shingles(texts, n)
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
@@ -54,16 +54,16 @@ def signatures(texts: list[str], n: int) -> dict[str, list]:
         return out
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-    seeds = mix(np.arange(1, 2 * ALONG * PER_BAND + 3, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    seeds = mix(np.arange(1, 2 * along * PER_BAND + 3, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
     sums = [np.add.reduceat(mix(flat ^ s), starts).view(np.int64).tolist() for s in seeds[-2:]]
     least = [mix(np.minimum.reduceat((flat ^ s) * (s | np.uint64(1)), starts)) for s in seeds[:-2]]
     bands = []
-    for b in range(2 * ALONG):
+    for b in range(2 * along):
         joined = np.zeros(len(full), np.uint64)
         for part in least[b * PER_BAND : (b + 1) * PER_BAND]:
             joined = mix(joined * np.uint64(0x9E3779B97F4A7C15) + part)
         bands.append(joined.view(np.int64))
-    left, right = np.stack(bands[:ALONG], 1).tolist(), np.stack(bands[ALONG:], 1).tolist()
+    left, right = np.stack(bands[:along], 1).tolist(), np.stack(bands[along:], 1).tolist()
     for k, i in enumerate(full.tolist()):
         out["sum1"][i], out["sum2"][i], out["left"][i], out["right"][i] = sums[0][k], sums[1][k], left[k], right[k]
     return out
@@ -78,7 +78,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.filter(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("a", "b")
 
 
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, along: int = ALONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links), kept (it is the smallest itself).
 
     Texts are linked if 100 * intersection >= percent * union of their shingle sets. One row per row of `docs`. Texts
@@ -87,13 +87,13 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "n_shingles long, sum1 long, sum2 long, left array<long>, right array<long>"
-    signed = cut(map_texts(texts, lambda some: signatures(some, shingle), schema, {"doc_id": F.col("doc_id")}))
+    signed = cut(map_texts(texts, lambda some: signatures(some, shingle, along), schema, {"doc_id": F.col("doc_id")}))
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
     # equal sets first: each class is one node, its smallest id
     classes = cut(usable.groupBy("sum1", "sum2", "n_shingles").agg(F.min("doc_id").alias("node")))
     members = cut(usable.join(classes, ["sum1", "sum2", "n_shingles"]).select("doc_id", "node", F.col("n_shingles").alias("n"), "left", "right"))
     nodes = members.filter("doc_id = node").select("node", "n", "left", "right").distinct()
-    tables = F.array([F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.xxhash64(F.lit(i * ALONG + j), F.get("left", i), F.get("right", j)).alias("key")) for i in range(ALONG) for j in range(ALONG)])
+    tables = F.array([F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.xxhash64(F.lit(i * along + j), F.get("left", i), F.get("right", j)).alias("key")) for i in range(along) for j in range(along)])
     keyed = nodes.select("node", "n", F.explode(tables).alias("k")).select("node", "n", "k.*")
     hubs = cut(keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).filter("hub.node <> last").select("key", "hub"))
     shared = cut(keyed.join(hubs, "key"))

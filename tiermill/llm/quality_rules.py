@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.lineage import cut
@@ -81,6 +81,15 @@ def work(texts: list[str]) -> dict:
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<h:long,n:int>>"
 
 
+def host_of(host: Column) -> Column:
+    """The host as a key without nulls."""
+    return F.coalesce(F.concat(F.lit("="), host.cast("string")), F.lit(""))
+
+
+def version_of(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """doc_id, the figures, base_failed, n_common_lines, n_common_words, kept, and `common`, the hashes of its common lines.
 
@@ -88,10 +97,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fails. A null host is a host of its own. Ties can't arise: a count is above the limit or not. Other columns
     are not read.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    host = F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit(""))
-    keys = {"doc_id": F.col(id_col), "host": host, "version": F.xxhash64(text)}
-    rows = cut(map_texts(docs, work, SCHEMA, keys, text).withColumn("row", F.monotonically_increasing_id()))
+    keys = {"doc_id": F.col(id_col), "host": host_of(F.col(host_col)), "version": version_of(F.col(text_col))}
+    rows = cut(map_texts(docs, work, SCHEMA, keys, text_col).withColumn("row", F.monotonically_increasing_id()))
     held = rows.select("host", "version", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     # counts of distinct documents in two steps, both combined before their shuffle
     sizes = rows.groupBy("host", "version").count().groupBy("host").agg(F.count("*").alias("docs"))
