@@ -19,6 +19,7 @@ from tiermill.plans import (
     table_history,
     table_metrics,
 )
+from tiermill.schemas import MESSAGE
 from tiermill.sinks import tables
 from tiermill.sources import read_layer, read_metrics
 
@@ -38,8 +39,9 @@ def three_days(land, event):
 
 def test_whole_run(spark, cfg, three_days):
     (ingest, silver, gold), report = run_medallion(spark, cfg)
-    assert (ingest.rows_in, ingest.rows_out) == (15, 15)
-    assert (silver.rows_in, silver.rows_rejected, silver.rows_out) == (15, 2, 12)
+    # The message that is no event is counted at ingest, as no dated run meets it.
+    assert (ingest.rows_in, ingest.rows_rejected, ingest.rows_out) == (15, 1, 15)
+    assert (silver.rows_in, silver.rows_rejected, silver.rows_out) == (14, 1, 12)
     assert (gold.rows_in, gold.rows_out) == (12, 6)
     counts = {r["layer"]: r["row_count"] for r in layer_row_counts(spark, cfg, with_messages=True).collect()}
     assert counts == {"bronze": 15, "silver": 12, "gold": 6, "messages": 15}
@@ -121,7 +123,7 @@ def test_history_and_error_rate(spark, cfg, three_days):
     bronze_to_silver(spark, cfg)
     assert [table_history(spark, cfg, layer).count() for layer in LAYERS] == [1, 2, 1]
     rates = error_rate(spark.table(cfg.table_name("run_log"))).where("job = 'bronze_to_silver'").collect()
-    assert [round(r["error_pct"], 4) for r in rates] == [round(200 / 15, 4)] * 2
+    assert [round(r["error_pct"], 4) for r in rates] == [round(100 / 14, 4)] * 2
 
 
 def test_maintenance_reports_a_missing_table_and_goes_on(spark, cfg, three_days):
@@ -208,6 +210,58 @@ def test_only_touched_dates_are_redone(spark, cfg, three_days, event):
     assert len(added) == 1 and "77.0" in added.pop()
 
 
+def test_stray_dates_open_no_days_between(spark, cfg, three_days, event):
+    run_medallion(spark, cfg)
+    new = dataclasses.replace(cfg, message_path=f"{cfg.message_path}_new")
+    lines = [(event(ms=5, user="old"),), (event(ms=FIRST + 2 * DAY_MS, user="new"),), (event(ms=9_000_000_000_000_000, user="far"),)]
+    spark.createDataFrame(lines, "value string").write.text(new.message_path)
+    (ingest, silver, gold), _ = run_medallion(spark, new, touched_only=True)
+    assert len(ingest.dates) == 3
+    # One stray row on either side, and the four rows of the last day with the new one; the days between are not read.
+    assert (silver.rows_in, silver.rows_out) == (7, 7)
+    assert read_layer(spark, cfg, "gold").count() == 6 + 2 + 1
+
+
+def test_dated_runs_count_what_a_whole_run_counts(spark, cfg, three_days):
+    ingest_bronze(spark, cfg)
+    whole = bronze_to_silver(spark, cfg)
+    days = [bronze_to_silver(spark, cfg, d, d) for d in ("2024-07-19", "2024-07-20", "2024-07-21")]
+    assert sum(r.rows_rejected for r in days) == whole.rows_rejected
+    assert sum(r.rows_in for r in days) == whole.rows_in
+
+
+def test_a_failing_run_log_does_not_hide_the_jobs_error(spark, cfg, monkeypatch):
+    def broken(*_):
+        raise OSError("no log")
+
+    monkeypatch.setattr("tiermill.plans.run_log._add_to_log", broken)
+    with pytest.raises(Exception) as caught:
+        bronze_to_silver(spark, cfg)  # no bronze table
+    assert not isinstance(caught.value, OSError) and any("no log" in n for n in caught.value.__notes__)
+
+
+def test_runs_resume_where_the_last_one_ended(spark, cfg, event):
+    archive = dataclasses.replace(cfg, message_format="parquet", message_path=f"{cfg.message_path}_archive")
+
+    def send(*rows):
+        lines = [(None, event(user=f"u{p}-{o}").encode(), cfg.topic, p, o, None, 0) for p, o in rows]
+        spark.createDataFrame(lines, MESSAGE).write.mode("append").parquet(archive.message_path)
+
+    send((0, 0), (0, 1), (1, 7))
+    assert ingest_bronze(spark, archive, resume=True).rows_out == 3
+    assert ingest_bronze(spark, archive, resume=True).rows_out == 0
+    send((0, 2), (2, 0))
+    assert ingest_bronze(spark, archive, resume=True).rows_out == 2
+    assert ingest_bronze(spark, archive, '{"measurements": {"0": 1, "1": 8}}').rows_out == 3
+    assert ingest_bronze(spark, archive, None, '{"measurements": {"0": 1}}').rows_out == 1
+
+
+def test_lines_have_no_offsets(spark, cfg, land, event):
+    land(event())
+    with pytest.raises(ValueError):
+        ingest_bronze(spark, cfg, '{"measurements": {"0": 1}}')
+
+
 def test_no_dates_touched_redoes_nothing(spark, cfg, land):
     land("not json")
     runs, report = run_medallion(spark, cfg, touched_only=True)

@@ -68,16 +68,39 @@ def test_repeated_samples_count_once(spark):
     assert rates(once.unionByName(once).unionByName(once), "c", 60) == rates(once, "c", 60)
 
 
-def test_throughput_sums_over_series(spark):
-    df = samples(spark, "c", [(0, 0), (60, 60)]).unionByName(samples(spark, "c", [(0, 0), (60, 120)], series="o"))
-    found = {r["ts"]: r["rate"] for r in S.throughput_total(df, "c").collect()}
-    assert found == {START: None, START + timedelta(seconds=60): pytest.approx(3.0)}
+def on_grid(df, column, *labels):
+    """Values by label and second, or by second alone."""
+    keyed = {(*[r[x] for x in labels], int((r["ts"] - START).total_seconds())): r[column] for r in df.collect()}
+    return keyed if labels else {t: v for (t,), v in keyed.items()}
+
+
+def test_throughput_of_series_that_are_sampled_apart(spark):
+    """Two counters at 10 per second each, seven seconds apart: 20 at every time that both reach."""
+    one = samples(spark, "c", [(t, 10 * t) for t in range(0, 301, 30)])
+    two = samples(spark, "c", [(t, 10 * t) for t in range(7, 301, 30)], series="o")
+    found = on_grid(S.throughput_total(one.unionByName(two), "c"), "rate")
+    assert {t: v for t, v in found.items() if 67 <= t <= 300} == pytest.approx({t: 20.0 for t in range(75, 301, 15)})
+
+
+@pytest.mark.parametrize("slice_seconds", [60, 240, 3600])
+def test_rates_on_the_grid_equal_brute_force(spark, slice_seconds):
+    points = [(t, (t * 7) % 97) for t in range(-40, 900, 13)]
+    found = on_grid(S.rate_on_grid(samples(spark, "c", points), "c", 60, 15, slice_seconds), "rate")
+    want = {}
+    for t in range(-45, 990, 15):
+        inside = [(s, v) for s, v in points if t - 60 <= s <= t]
+        if len(inside) > 1:
+            grown = sum(b if b < a else b - a for (_, a), (_, b) in zip(inside, inside[1:]))
+            want[t] = grown / (inside[-1][0] - inside[0][0])
+    assert found == pytest.approx(want)
 
 
 def test_avg_by_label(spark):
-    df = samples(spark, "d", [(0, 2)], "a", job="j1").unionByName(samples(spark, "d", [(0, 4)], "b", job="j1"))
+    df = samples(spark, "d", [(0, 2), (20, 6)], "a", job="j1").unionByName(samples(spark, "d", [(7, 4)], "b", job="j1"))
     df = df.unionByName(samples(spark, "d", [(0, 9)], "a", job="j2"))
-    assert {r["job_id"]: r["value"] for r in S.avg_by_label(df, "d", "job_id").collect()} == {"j1": 3.0, "j2": 9.0}
+    found = on_grid(S.avg_by_label(df, "d", "job_id", lookback_seconds=60), "value", "job_id")
+    assert [found["j1", t] for t in (0, 15, 30, 60, 75)] == [2.0, 3.0, 5.0, 5.0, 6.0]
+    assert found["j2", 60] == 9.0 and ("j2", 75) not in found and ("j1", 90) not in found
 
 
 @pytest.mark.parametrize(
@@ -85,9 +108,10 @@ def test_avg_by_label(spark):
     [(0, 0, None, None), (100, 79, 79.0, "red"), (100, 80, 80.0, "yellow"), (100, 95, 95.0, "green")],
 )
 def test_quality_pct(spark, bronze, silver, pct, colour):
-    df = samples(spark, M.BRONZE_ROWS, [(0, bronze), (30, 7)]).unionByName(samples(spark, M.SILVER_ROWS, [(0, silver)]))
-    rows = S.metric_status(S.quality_pct(df), "quality_pct", QUALITY_STEPS).collect()
-    assert [(r["quality_pct"], r["status"]) for r in rows] == [(pct, colour)]
+    """Silver is sampled four seconds after bronze."""
+    df = samples(spark, M.BRONZE_ROWS, [(0, bronze)]).unionByName(samples(spark, M.SILVER_ROWS, [(4, silver)]))
+    rows = S.metric_status(S.quality_pct(df, lookback_seconds=30), "quality_pct", QUALITY_STEPS).orderBy("ts").collect()
+    assert [(r["quality_pct"], r["status"]) for r in rows] == [(pct, colour)] * 2
 
 
 @pytest.mark.parametrize(

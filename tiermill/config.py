@@ -82,6 +82,8 @@ class PipelineConfig:
             "gold": self.gold_db,
             "metrics": self.ops_db,
             "run_log": self.ops_db,
+            "offsets": self.ops_db,
+            "stream_batches": self.ops_db,
         }[layer]
 
     def table(self, layer: str) -> str:
@@ -91,6 +93,8 @@ class PipelineConfig:
             "gold": self.gold_table,
             "metrics": "metrics",
             "run_log": "run_log",
+            "offsets": "offsets",
+            "stream_batches": "stream_batches",
         }[layer]
 
     def qualified_database(self, layer: str) -> str:
@@ -113,6 +117,8 @@ class PipelineConfig:
             "gold": schemas.GOLD,
             "metrics": schemas.METRICS,
             "run_log": schemas.RUN_LOG,
+            "offsets": schemas.OFFSETS,
+            "stream_batches": schemas.STREAM_BATCHES,
         }[layer]
 
     def partition_by(self, layer: str) -> tuple[str, ...]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
@@ -35,3 +36,8 @@ def between_dates(date_from=None, date_to=None, column: str = "date") -> Column:
     if date_to is not None:
         condition = condition & (F.col(column) <= F.lit(date_to).cast("date"))
     return condition
+
+
+def on_dates(dates: Iterable, column: str = "date") -> Column:
+    """One of the given days, as dates or text; prunes partitions where the column is one."""
+    return F.col(column).isin([F.lit(d).cast("date") for d in dates])

@@ -25,6 +25,11 @@ def gold_kpis(silver: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), t
 
     With `sample_count` at hand, means can be rolled up without the error of averaging averages.
     """
+    if not probabilities:
+        # One shuffle of partial results, as for gold.
+        plain = (("avg", F.avg), ("min", F.min), ("max", F.max))
+        columns = [f(m).cast("double").alias(f"{name}_{m}") for m in MEASURES for name, f in plain]
+        return add_hour(silver, ts_unit).groupBy(*GOLD_KEYS).agg(F.count(F.lit(1)).alias("sample_count"), *columns)
     statistics = measure_statistics(add_hour(silver, ts_unit), GOLD_KEYS, MEASURES, probabilities)
     names = ["avg", "min", "max", *[percentile_name(p) for p in probabilities]]
 

@@ -24,6 +24,20 @@ def counter_rate(samples: DataFrame, metric: str, window_seconds: int, slice_sec
     or dense series still spreads over many tasks.
     """
     width = window_seconds * _MICROS
+    trailing = Window.partitionBy("metric", "series", "slice").orderBy("at").rangeBetween(-width, Window.currentRow)
+    # The first sample's own increase began before the window.
+    gained = F.sum("increase").over(trailing) - F.first("increase").over(trailing)
+    seconds = (F.col("at") - F.first("at").over(trailing)) / F.lit(float(_MICROS))
+    return (
+        _increases(samples, metric, width, slice_seconds, own_only=False)
+        .withColumn("rate", F.try_divide(gained, seconds))
+        .where(F.col("slice") == F.col("own"))
+        .select("metric", "series", "ts", "value", "rate")
+    )
+
+
+def _increases(samples: DataFrame, metric: str, width: int, slice_seconds: int, own_only: bool = True) -> DataFrame:
+    """Samples with their increase over the one before, if that is at most `width` older or in the same slice of time."""
     length = max(slice_seconds * _MICROS, width)
     one_per_time = (
         samples.where(F.col("metric") == metric).groupBy("metric", "series", "ts").agg(F.max("value").alias("value"))
@@ -37,50 +51,75 @@ def counter_rate(samples: DataFrame, metric: str, window_seconds: int, slice_sec
         own.alias("own"),
         F.explode(F.when(near_end, F.array(own, own + length)).otherwise(F.array(own))).alias("slice"),
     )
-
-    in_order = Window.partitionBy("metric", "series", "slice").orderBy("at")
-    trailing = in_order.rangeBetween(-width, Window.currentRow)
-    previous = F.lag("value").over(in_order)
+    previous = F.lag("value").over(Window.partitionBy("metric", "series", "slice").orderBy("at"))
     increase = F.when(previous.isNull(), 0.0).when(F.col("value") < previous, F.col("value"))
-    # The first sample's own increase began before the window.
-    gained = F.sum("increase").over(trailing) - F.first("increase").over(trailing)
-    seconds = (F.col("at") - F.first("at").over(trailing)) / F.lit(float(_MICROS))
+    grown = sliced.withColumn("increase", increase.otherwise(F.col("value") - previous))
+    return grown.where(F.col("slice") == F.col("own")) if own_only else grown
+
+
+def _steps(at: Column, reach: int, step: int) -> Column:
+    """Times of the grid whose window of `reach` up to them holds `at`; all in microseconds."""
+    first, last = F.ceil(at / F.lit(float(step))) * step, F.floor((at + reach) / F.lit(float(step))) * step
+    return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step))))
+
+
+def rate_on_grid(samples: DataFrame, metric: str, window_seconds: int, step_seconds: int = 15, slice_seconds: int = 3600) -> DataFrame:
+    """Increase per second of a counter over `[t - window, t]` for every t of a common grid.
+
+    Series that are sampled at different times get values at the same times, so that they can be added up. Each sample
+    is sent to the steps whose window holds it and combined before the shuffle; steps with fewer than two samples have no row.
+    """
+    width, step = window_seconds * _MICROS, step_seconds * _MICROS
+    grown = _increases(samples, metric, width, slice_seconds)
+    spread = grown.select("metric", "series", "at", "increase", _steps(F.col("at"), width, step).alias("t"))
+    gained = F.sum("increase") - F.min_by("increase", "at")
+    rates = spread.groupBy("metric", "series", "t").agg((gained / ((F.max("at") - F.min("at")) / F.lit(float(_MICROS)))).alias("rate"), F.count(F.lit(1)).alias("n"))
+    return rates.where("n > 1").select("metric", "series", F.timestamp_micros("t").alias("ts"), "rate")
+
+
+def value_on_grid(samples: DataFrame, metrics: Sequence[str], step_seconds: int = 15, lookback_seconds: int = 300) -> DataFrame:
+    """The newest value of each series at every t of a common grid, if it is not older than the lookback."""
+    at = F.unix_micros("ts")
+    spread = samples.where(F.col("metric").isin(*metrics)).withColumn("t", _steps(at, lookback_seconds * _MICROS, step_seconds * _MICROS))
     return (
-        sliced.withColumn("increase", increase.otherwise(F.col("value") - previous))
-        .withColumn("rate", F.try_divide(gained, seconds))
-        .where(F.col("slice") == F.col("own"))
-        .select("metric", "series", "ts", "value", "rate")
+        spread.groupBy("metric", "series", "job_id", "query_id", "t")
+        .agg(latest(F.col("value"), F.col("ts")).alias("value"))
+        .select("metric", "series", "job_id", "query_id", F.timestamp_micros("t").alias("ts"), "value")
     )
 
 
-def throughput_total(samples: DataFrame, metric: str, window_seconds: int = 60) -> DataFrame:
-    """Sum of the rates of all series, per sample time."""
-    rates = counter_rate(samples, metric, window_seconds)
+def throughput_total(samples: DataFrame, metric: str, window_seconds: int = 60, step_seconds: int = 15) -> DataFrame:
+    """Sum of the rates of all series, at every time of the grid."""
+    rates = rate_on_grid(samples, metric, window_seconds, step_seconds)
     return rates.groupBy("ts").agg(F.sum("rate").alias("rate"))
 
 
-def avg_by_label(samples: DataFrame, metric: str, label: str) -> DataFrame:
-    """Mean over the series that share a label value, per sample time."""
-    return samples.where(F.col("metric") == metric).groupBy("ts", label).agg(F.avg("value").alias("value"))
+def avg_by_label(samples: DataFrame, metric: str, label: str, step_seconds: int = 15, lookback_seconds: int = 300) -> DataFrame:
+    """Mean over the series that share a label value, at every time of the grid."""
+    values = value_on_grid(samples, [metric], step_seconds, lookback_seconds)
+    return values.groupBy("ts", label).agg(F.avg("value").alias("value"))
 
 
-def quality_pct(samples: DataFrame, numerator: str = SILVER_ROWS, denominator: str = BRONZE_ROWS) -> DataFrame:
-    """Silver rows in percent of bronze rows, matched on time and series.
+def quality_pct(
+    samples: DataFrame, numerator: str = SILVER_ROWS, denominator: str = BRONZE_ROWS, step_seconds: int = 15, lookback_seconds: int = 300
+) -> DataFrame:
+    """Silver rows in percent of bronze rows, per series, at every time of the grid.
 
     The one-to-one match is done by a grouped aggregate, which reads the samples once and
     combines before its one shuffle; a self-join would scan twice and shuffle both sides.
-    Only times that both metrics have remain; a denominator of zero gives null.
+    Only times at which both metrics have a value remain; a denominator of zero gives null.
     """
+    step, reach = step_seconds * _MICROS, lookback_seconds * _MICROS
+    spread = samples.where(F.col("metric").isin(numerator, denominator)).withColumn("t", _steps(F.unix_micros("ts"), reach, step))
 
     def value_of(metric: str) -> Column:
-        return F.max(F.when(F.col("metric") == metric, F.col("value")))
+        return latest(F.when(F.col("metric") == metric, F.col("value")), _ts_of(metric))
 
     return (
-        samples.where(F.col("metric").isin(numerator, denominator))
-        .groupBy("ts", "series")
+        spread.groupBy("t", "series")
         .agg(value_of(numerator).alias("numerator"), value_of(denominator).alias("denominator"))
         .where(F.col("numerator").isNotNull() & F.col("denominator").isNotNull())
-        .select("ts", "series", (F.try_divide("numerator", "denominator") * 100).alias("quality_pct"))
+        .select(F.timestamp_micros("t").alias("ts"), "series", (F.try_divide("numerator", "denominator") * 100).alias("quality_pct"))
     )
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig, configure_session
 from tiermill.operators.cleaning import COPIES, dedup, drop_nulls
@@ -12,7 +15,7 @@ from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
 from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import read_layer
-from tiermill.sources.messages import read_messages
+from tiermill.sources.messages import end_offsets, has_offsets, keep_offsets, last_offsets, read_messages
 
 
 def ingest_bronze(
@@ -21,45 +24,56 @@ def ingest_bronze(
     starting_offsets: str | None = None,
     ending_offsets: str | None = None,
     by_date: bool = False,
+    resume: bool = False,
 ) -> Run:
     """Topic to bronze, appended.
 
+    With `resume`, the run starts in each topic partition where the last one ended, so that a run over
+    the same topic adds only what is new; each run keeps where it ends, for which the offsets in hand are read once
+    (two columns). Offsets are JSON as a topic reader takes them, the end exclusive.
+
     Map-only: a topic is about in time order, so a task meets few dates and nothing is
     shuffled. For a backfill out of order, `by_date` groups the rows first.
     """
     configure_session(spark)
     ensure_table(spark, cfg, "bronze")
     with logged_run(spark, cfg, "ingest_bronze") as run:
+        if resume:
+            starting_offsets = last_offsets(spark, cfg) or starting_offsets
+        if has_offsets(cfg):
+            ending_offsets = end_offsets(spark, cfg, starting_offsets, ending_offsets)
         messages = read_messages(spark, cfg, starting_offsets, ending_offsets)
         bronze = add_date(parse_messages(messages, cfg.keep_lineage), cfg.ts_unit)
         if by_date:
             bronze = group_for_write(bronze, "date")
-        counts = write_observed(bronze, lambda df: append(df, cfg, "bronze"))
+        # What no dated run will meet again: messages that are no event, and events without a date.
+        counts = write_observed(bronze, lambda df: append(df, cfg, "bronze"), undated=F.count_if(F.col("date").isNull()))
         run.rows_in = run.rows_out = counts["rows"]
-        run.rows_rejected = 0
+        run.rows_rejected = counts["undated"]
+        run.dates = counts["dates"]
+        if has_offsets(cfg):
+            keep_offsets(spark, cfg, run.run_id, ending_offsets)
         run.first_date, run.last_date = counts["first_date"], counts["last_date"]
     return run
 
 
 def bronze_to_silver(
-    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, full_refresh: bool = False
+    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, full_refresh: bool = False, dates: Sequence | None = None
 ) -> Run:
     """Bronze to silver: clean, deduplicate, replace the dates in hand.
 
-    A date range confines scan, shuffle and write to those days; that is the daily run. Copies
-    share their timestamp, hence their date, so a day can be done without looking at another.
+    A date range, or a list of days, confines scan, shuffle and write to those days; that is the daily run.
+    Copies share their timestamp, hence their date, so a day can be done without looking at another.
     """
-    _check_refresh(date_from, date_to, full_refresh)
+    _check_refresh(date_from, date_to, full_refresh, dates)
     configure_session(spark)
     ensure_table(spark, cfg, "silver")
     with logged_run(spark, cfg, "bronze_to_silver") as run:
-        bronze = read_layer(spark, cfg, "bronze", date_from, date_to).select(*cfg.schema("silver").fieldNames())
+        # Rows without a date lie in no dated run; ingest has counted them.
+        bronze = read_layer(spark, cfg, "bronze", date_from, date_to, dates).where(F.col("date").isNotNull()).select(*cfg.schema("silver").fieldNames())
         silver = add_date_if_missing(dedup(drop_nulls(bronze), count_copies=True), cfg.ts_unit)
-        if date_from is None or date_from != date_to:
-            # A single day needs no grouping: the partitions of the dedup shuffle are its files.
-            silver = group_for_write(silver, "date")
-        silver = sort_for_write(silver, "date", "location", "timestamp")
-        counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), copies=COPIES)
+        silver = sort_for_write(group_for_write(silver, "date"), "date", "location", "timestamp")
+        counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), helper=COPIES, copies=F.coalesce(F.sum(COPIES), F.lit(0)))
         # Read from file footers, not from the data.
         run.rows_in = bronze.count()
         run.rows_rejected = run.rows_in - counts["copies"]
@@ -69,14 +83,14 @@ def bronze_to_silver(
 
 
 def silver_to_gold(
-    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, full_refresh: bool = False
+    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, full_refresh: bool = False, dates: Sequence | None = None
 ) -> Run:
     """Silver to gold: hourly means per location, replacing the partitions in hand."""
-    _check_refresh(date_from, date_to, full_refresh)
+    _check_refresh(date_from, date_to, full_refresh, dates)
     configure_session(spark)
     ensure_table(spark, cfg, "gold")
     with logged_run(spark, cfg, "silver_to_gold") as run:
-        silver = read_layer(spark, cfg, "silver", date_from, date_to)
+        silver = read_layer(spark, cfg, "silver", date_from, date_to, dates)
         gold = group_for_write(gold_hourly(silver, cfg.ts_unit), *cfg.partition_by("gold"))
         gold = sort_for_write(gold, "date", "location", "hour")
         counts = write_observed(gold, lambda df: _replace(df, cfg, "gold", full_refresh))
@@ -88,19 +102,18 @@ def silver_to_gold(
 
 
 def run_medallion(
-    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, touched_only: bool = False
+    spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, touched_only: bool = False, resume: bool = False
 ) -> tuple[list[Run], DataFrame]:
     """All jobs in order; their runs and the maintenance report.
 
-    With `touched_only`, silver and gold are redone from the first to the last date among the
-    messages just ingested. Older days then stay as they are: their bronze has not changed.
+    With `touched_only`, silver and gold are redone for exactly the days among the messages just ingested: a stray
+    date adds its own day and none between. All other days stay as they are: their bronze has not changed.
     """
-    runs = [ingest_bronze(spark, cfg)]
-    if touched_only:
-        date_from, date_to = runs[0].first_date, runs[0].last_date
-    if not touched_only or date_from is not None:
-        runs.append(bronze_to_silver(spark, cfg, date_from, date_to))
-        runs.append(silver_to_gold(spark, cfg, date_from, date_to))
+    runs = [ingest_bronze(spark, cfg, resume=resume)]
+    dates = runs[0].dates if touched_only else None
+    if dates is None or dates:
+        runs.append(bronze_to_silver(spark, cfg, date_from, date_to, dates=dates))
+        runs.append(silver_to_gold(spark, cfg, date_from, date_to, dates=dates))
     return runs, maintenance_report(spark, cfg)
 
 
@@ -108,6 +121,6 @@ def _replace(df, cfg: PipelineConfig, layer: str, full_refresh: bool) -> None:
     (overwrite_all if full_refresh else overwrite_partitions)(df, cfg, layer)
 
 
-def _check_refresh(date_from, date_to, full_refresh: bool) -> None:
-    if full_refresh and not (date_from is None and date_to is None):
+def _check_refresh(date_from, date_to, full_refresh: bool, dates) -> None:
+    if full_refresh and not (date_from is None and date_to is None and dates is None):
         raise ValueError("full_refresh replaces the whole table and cannot go with a date range")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
@@ -31,6 +31,7 @@ class Run:
     # Dates written, as text: a stray one may lie beyond what a Python date can hold.
     first_date: str | None = None
     last_date: str | None = None
+    dates: list[str] | None = None
     status: str = "running"
 
     @property
@@ -50,10 +51,14 @@ def logged_run(spark: SparkSession, cfg: PipelineConfig, job: str) -> Iterator[R
         run.status = "ok"
     except Exception as error:
         run.status = f"failed: {type(error).__name__}"
-        raise
-    finally:
         run.elapsed_s = time.monotonic() - begin
-        _add_to_log(spark, cfg, run)
+        try:
+            _add_to_log(spark, cfg, run)
+        except Exception as another:
+            error.add_note(f"and the run log could not be written: {another}")
+        raise
+    run.elapsed_s = time.monotonic() - begin
+    _add_to_log(spark, cfg, run)
 
 
 def _add_to_log(spark: SparkSession, cfg: PipelineConfig, run: Run) -> None:
@@ -62,21 +67,21 @@ def _add_to_log(spark: SparkSession, cfg: PipelineConfig, run: Run) -> None:
     append(spark.range(0, 1, 1, 1).select(*row), cfg, "run_log")
 
 
-def write_observed(df: DataFrame, write: Callable[[DataFrame], None], copies: str | None = None) -> dict:
-    """Write once and take rows, first and last date in passing, without a second job.
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], helper: str | None = None, **more: Column) -> dict:
+    """Write once and take rows, dates and `more` aggregates in passing, without a second job.
 
     The counters sit right before the write, in the last stage: there a lost executor's tasks
-    are counted once, while a counter before a shuffle would count a rerun map task again.
-    `copies` names a helper column to add up and leave out of the write.
+    are counted once, while a counter before a shuffle would count a rerun map task again. `dates` has
+    as many entries as partitions are written. `helper` names a column for the aggregates alone.
     """
     observation = Observation()
     metrics = [
         F.count(F.lit(1)).alias("rows"),
+        F.collect_set(F.col("date").cast("string")).alias("dates"),
         F.min("date").cast("string").alias("first_date"),
         F.max("date").cast("string").alias("last_date"),
+        *[value.alias(name) for name, value in more.items()],
     ]
-    if copies:
-        metrics.append(F.coalesce(F.sum(copies), F.lit(0)).alias("copies"))
     observed = df.observe(observation, *metrics)
-    write(observed.drop(copies) if copies else observed)
+    write(observed.drop(helper) if helper else observed)
     return observation.get

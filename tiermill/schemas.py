@@ -84,3 +84,22 @@ RUN_LOG = T.StructType(
         T.StructField("status", T.StringType()),
     ]
 )
+
+# Micro-batches that are in their table.
+STREAM_BATCHES = T.StructType(
+    [
+        T.StructField("checkpoint", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("written_at", T.TimestampType()),
+    ]
+)
+
+# For each ingest run and topic partition, the offset at which the next run starts.
+OFFSETS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("next_offset", T.LongType()),
+    ]
+)

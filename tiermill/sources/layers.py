@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermill.config import PipelineConfig
-from tiermill.functions.predicates import between_dates
+from tiermill.functions.predicates import between_dates, on_dates
 
 
-def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=None, date_to=None) -> DataFrame:
-    """A layer's table; a date range reads only those partitions.
+def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=None, date_to=None, dates: Iterable | None = None) -> DataFrame:
+    """A layer's table; a date range, or a list of days, reads only those partitions.
 
     A session remembers which files a file table had; a stream or another application may have
     added some since, so the memory is dropped first. Only the partitions read are listed anew.
@@ -17,6 +19,8 @@ def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=N
     if not cfg.is_v2:
         spark.catalog.refreshTable(cfg.table_name(layer))
     df = spark.table(cfg.table_name(layer))
+    if dates is not None:
+        df = df.where(on_dates(dates))
     if date_from is None and date_to is None:
         return df
     return df.where(between_dates(date_from, date_to))

@@ -9,11 +9,14 @@ Three message formats:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.schemas import MESSAGE
+from tiermill.sinks.tables import append, ensure_table
 
 
 def read_messages(
@@ -31,9 +34,65 @@ def read_messages(
             .option("endingOffsets", ending_offsets or cfg.ending_offsets)
             .load()
         )
+    starts, ends = (_offsets_of(cfg, x) for x in (starting_offsets, ending_offsets))
     if cfg.message_format == "parquet":
-        return spark.read.schema(MESSAGE).parquet(_path(cfg))
-    return _lines_as_messages(spark.read.text(_path(cfg)), cfg)
+        messages = spark.read.schema(MESSAGE).parquet(_path(cfg))
+        return messages.where(_within(starts, ends))
+    path = _path(cfg)
+    if starts or ends:
+        raise ValueError("a landing folder of text lines has no offsets to read by")
+    return _lines_as_messages(spark.read.text(path), cfg)
+
+
+def has_offsets(cfg: PipelineConfig) -> bool:
+    """Whether a bounded scan can resolve its own end. A topic's reader would have to read all messages for that."""
+    return cfg.message_format == "parquet"
+
+
+def _offsets_of(cfg: PipelineConfig, offsets: str | None) -> dict[int, int]:
+    """Offset by partition, from JSON {topic: {partition: offset}}; -2 and -1 are the ends and set no bound."""
+    if offsets in (None, "earliest", "latest"):
+        return {}
+    by_topic = json.loads(offsets)
+    if set(by_topic) - {cfg.topic}:
+        raise ValueError(f"offsets of another topic than {cfg.topic!r}: {sorted(by_topic)}")
+    return {int(p): int(o) for p, o in by_topic.get(cfg.topic, {}).items() if int(o) >= 0}
+
+
+def _within(starts: dict[int, int], ends: dict[int, int]) -> Column:
+    """From the start on and before the end of each partition; both are pushed into the scan.
+
+    Where ends are given, partitions without one are left out: they came later.
+    """
+    partition, offset = F.col("partition"), F.col("offset")
+    inside = partition.isin(list(ends)) if ends else F.lit(True)
+    for bounds, fits in ((starts, offset.__ge__), (ends, offset.__lt__)):
+        for p, bound in bounds.items():
+            inside = inside & ((partition != p) | fits(bound))
+    return inside
+
+
+def end_offsets(spark: SparkSession, cfg: PipelineConfig, starting_offsets: str | None = None, ending_offsets: str | None = None) -> str:
+    """Where a scan of what is there now ends, as JSON; two columns are read."""
+    seen = read_messages(spark, cfg, starting_offsets, ending_offsets).groupBy("partition").agg((F.max("offset") + 1).alias("end"))
+    known = _offsets_of(cfg, starting_offsets) | {r["partition"]: r["end"] for r in seen.collect()}
+    return json.dumps({cfg.topic: {str(p): known[p] for p in sorted(known)}})
+
+
+def keep_offsets(spark: SparkSession, cfg: PipelineConfig, run_id: str, offsets: str) -> None:
+    """Remember where a run ended."""
+    ensure_table(spark, cfg, "offsets")
+    rows = [(run_id, cfg.topic, p, o) for p, o in _offsets_of(cfg, offsets).items()]
+    if rows:
+        append(spark.createDataFrame(rows, cfg.schema("offsets")).coalesce(1), cfg, "offsets")
+
+
+def last_offsets(spark: SparkSession, cfg: PipelineConfig) -> str | None:
+    """Where the next run starts, as JSON: the farthest that a run has come in each partition."""
+    ensure_table(spark, cfg, "offsets")
+    kept = spark.table(cfg.table_name("offsets")).where(F.col("topic") == cfg.topic)
+    ends = {str(r["partition"]): r["end"] for r in kept.groupBy("partition").agg(F.max("next_offset").alias("end")).collect()}
+    return json.dumps({cfg.topic: ends}) if ends else None
 
 
 def read_message_stream(spark: SparkSession, cfg: PipelineConfig, max_per_trigger: int | None = None) -> DataFrame:

@@ -1,12 +1,13 @@
 """The layers as Structured Streaming queries.
 
 Every query runs what has arrived and stops (`availableNow`), unless given another trigger, and
-keeps its offsets in a checkpoint: a second run reads only what is new.
+keeps its offsets in a checkpoint: a second run reads only what is new. All of them write micro-batch
+by micro-batch through the same table writes as the jobs, so that batch and stream may share a table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,24 +15,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.event_time import event_timestamp
-from tiermill.functions.predicates import between_dates
 from tiermill.operators.cleaning import dedup, drop_nulls
+from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, parse_messages
-from tiermill.schemas import DEDUP_KEYS, MEASURES, SILVER
-from tiermill.sinks.tables import append, ensure_table, sort_for_write
+from tiermill.schemas import DEDUP_KEYS, MEASURES, SILVER, STREAM_BATCHES
+from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import read_layer
 
 _ONCE: Mapping = {"availableNow": True}
 
-# Days of a micro-batch that are pruned one by one; beyond that, by their range.
-LISTED_DAYS = 366
-
 
 def stream_bronze(messages: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
-    """Messages to bronze. The sink commits a micro-batch's files once, so replays add nothing."""
+    """Messages to bronze, appended.
+
+    A ledger names the micro-batches that are in the table; one that comes again after a failure is passed
+    over. Where the failure falls between the append and its entry, the batch is there twice: silver drops copies.
+    """
     ensure_table(messages.sparkSession, cfg, "bronze")
     bronze = add_date(parse_messages(messages, cfg.keep_lineage), cfg.ts_unit)
-    return _into_table(bronze, cfg, "bronze", "stream_bronze", trigger)
+    return _each_batch(bronze, cfg, "stream_bronze", trigger, _once_each(cfg, "stream_bronze", lambda batch: append(batch, cfg, "bronze")))
 
 
 def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
@@ -46,33 +48,21 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
     ensure_table(bronze.sparkSession, cfg, "silver")
 
     def add_new(batch: DataFrame, batch_id: int) -> None:
-        present = read_layer(batch.sparkSession, cfg, "silver").where(_on_days_of(batch)).select(*DEDUP_KEYS)
+        present = read_layer(batch.sparkSession, cfg, "silver", dates=_days_of(batch)).select(*DEDUP_KEYS)
         fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
-        new = fresh.join(present, list(DEDUP_KEYS), "left_anti")
+        new = group_for_write(fresh.join(present, list(DEDUP_KEYS), "left_anti"), "date")
         append(sort_for_write(new, "date", "location", "timestamp"), cfg, "silver")
 
-    return (
-        bronze.writeStream.foreachBatch(add_new)
-        .trigger(**trigger)
-        .option("checkpointLocation", cfg.checkpoint("stream_silver"))
-        .queryName("stream_silver")
-        .start()
-    )
+    return _each_batch(bronze, cfg, "stream_silver", trigger, add_new)
 
 
-def _on_days_of(batch: DataFrame) -> Column:
-    """Filter for the partitions a micro-batch can meet, from its partition values alone.
+def _days_of(batch: DataFrame) -> list[str]:
+    """All days of a micro-batch, from its partition values alone: as many as the partitions it meets.
 
-    Days are listed up to a year's worth, so that a stray date far off opens no days between;
-    beyond that their range serves, which only reads more.
+    As text: a stray date may lie beyond what a Python date can hold.
     """
-    # As text: a stray date may lie beyond what a Python date can hold.
     days = batch.where(F.col("date").isNotNull()).select(F.col("date").cast("string").alias("day")).distinct()
-    listed = [r["day"] for r in days.limit(LISTED_DAYS + 1).collect()]
-    if len(listed) <= LISTED_DAYS:
-        return F.col("date").isin([F.lit(d).cast("date") for d in listed])
-    first, last = batch.agg(F.min("date").cast("string"), F.max("date").cast("string")).head()
-    return between_dates(first, last)
+    return sorted(r["day"] for r in days.collect())
 
 
 def stream_silver_stateful(
@@ -97,7 +87,8 @@ def stream_silver_stateful(
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_spread"), F.lit(salts)))
         rows = rows.dropDuplicatesWithinWatermark([*DEDUP_KEYS, "_salt"])
     rows = rows.dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
-    return _into_table(rows.select(*SILVER.fieldNames()), cfg, "silver", "stream_silver_stateful", trigger)
+    name = "stream_silver_stateful"
+    return _each_batch(rows.select(*SILVER.fieldNames()), cfg, name, trigger, _once_each(cfg, name, lambda batch: append(batch, cfg, "silver")))
 
 
 def hourly_windows(silver: DataFrame, delay: str = "2 hours", ts_unit: str = "ms") -> DataFrame:
@@ -112,21 +103,39 @@ def hourly_windows(silver: DataFrame, delay: str = "2 hours", ts_unit: str = "ms
     )
 
 
-def stream_gold_hourly(
-    silver: DataFrame, cfg: PipelineConfig, delay: str = "2 hours", trigger: Mapping = _ONCE
-) -> StreamingQuery:
-    """Silver to gold; an hour is appended, once and for good, when the watermark has passed its end."""
+def stream_gold_hourly(silver: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
+    """Silver to gold: the days that a micro-batch touches are taken anew from silver and replaced.
+
+    So gold is complete after each micro-batch, however late a row comes, and a micro-batch that is run again
+    changes nothing. A day costs a scan of that day of silver; longer triggers do it less often.
+    """
     ensure_table(silver.sparkSession, cfg, "gold")
-    return _into_table(hourly_windows(silver, delay, cfg.ts_unit), cfg, "gold", "stream_gold_hourly", trigger)
 
+    def redo(batch: DataFrame, batch_id: int) -> None:
+        days = _days_of(batch)
+        if days:
+            whole = read_layer(batch.sparkSession, cfg, "silver", dates=days)
+            gold = group_for_write(gold_hourly(whole, cfg.ts_unit), *cfg.partition_by("gold"))
+            overwrite_partitions(sort_for_write(gold, "date", "location", "hour"), cfg, "gold")
 
-def _into_table(df: DataFrame, cfg: PipelineConfig, layer: str, name: str, trigger: Mapping) -> StreamingQuery:
-    return (
-        df.writeStream.format(cfg.table_format)
-        .outputMode("append")
-        .partitionBy(*cfg.partition_by(layer))
-        .trigger(**trigger)
-        .option("checkpointLocation", cfg.checkpoint(name))
-        .queryName(name)
-        .toTable(cfg.table_name(layer))
-    )
+    return _each_batch(silver, cfg, "stream_gold_hourly", trigger, redo)
+
+
+def _once_each(cfg: PipelineConfig, query: str, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+    """`write` for micro-batches that the ledger doesn't name yet. Batches are counted per checkpoint folder."""
+    place = cfg.checkpoint(query)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ensure_table(spark, cfg, "stream_batches")
+        done = spark.table(cfg.table_name("stream_batches")).where((F.col("checkpoint") == place) & (F.col("batch_id") == batch_id))
+        if done.isEmpty():
+            write(batch)
+            entry = {"checkpoint": F.lit(place), "batch_id": F.lit(batch_id), "written_at": F.current_timestamp()}
+            append(spark.range(0, 1, 1, 1).select(*[entry[f.name].cast(f.dataType).alias(f.name) for f in STREAM_BATCHES.fields]), cfg, "stream_batches")
+
+    return run
+
+
+def _each_batch(df: DataFrame, cfg: PipelineConfig, name: str, trigger: Mapping, work: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    return df.writeStream.foreachBatch(work).trigger(**trigger).option("checkpointLocation", cfg.checkpoint(name)).queryName(name).start()

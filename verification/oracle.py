@@ -176,18 +176,31 @@ def _newest(metric: str) -> str:
     return f"arg_max(value, second) FILTER (metric = '{metric}')"
 
 
+def _on_grid(metric: str) -> str:
+    """The newest value, of the last 300 seconds, of each series at every step of 15 seconds."""
+    return f"""
+      SELECT series, job_id, query_id, t, arg_max(value, second) AS value
+      FROM (SELECT *, unnest(range(CAST(ceil(second / 15.0) AS BIGINT) * 15, second + 301, 15)) AS t
+            FROM samples WHERE metric = '{metric}')
+      GROUP BY series, job_id, query_id, t"""
+
+
 _JOBS = """
 jobs AS (
   SELECT 'ingest_bronze' AS job, 'bronze' AS layer, (SELECT count(*) FROM all_bronze) AS rows_in,
-         0 AS rows_rejected, (SELECT count(*) FROM all_bronze) AS rows_out
+         (SELECT count(*) FROM all_bronze WHERE date IS NULL) AS rows_rejected, (SELECT count(*) FROM all_bronze) AS rows_out
   UNION ALL
-  SELECT 'bronze_to_silver', 'silver', (SELECT count(*) FROM all_bronze),
-         (SELECT count(*) FROM all_bronze) - (SELECT count(*) FROM present), (SELECT count(*) FROM silver)
+  SELECT 'bronze_to_silver', 'silver', (SELECT count(date) FROM all_bronze),
+         (SELECT count(date) FROM all_bronze) - (SELECT count(*) FROM present), (SELECT count(*) FROM silver)
   UNION ALL
   SELECT 'silver_to_gold', 'gold', (SELECT count(*) FROM silver), 0, (SELECT count(*) FROM gold)
 )"""
 
 
+#: Bronze has each message twice, once from either; the layers above have each key once.
+_TWICE_BRONZE = "SELECT layer, CASE layer WHEN 'bronze' THEN 2 * row_count ELSE row_count END AS row_count FROM counts"
+
+
 def oracle_sql() -> dict[str, str]:
     over_layers = {
         "scan_messages": f"""
@@ -291,10 +304,16 @@ def oracle_sql() -> dict[str, str]:
         "stream_bronze": f"SELECT {_DATED_ROWS} FROM all_bronze",
         "stream_silver": f"SELECT {_DATED_ROWS} FROM silver",
         "stream_silver_stateful": f"SELECT {_DATED_ROWS} FROM silver",
-        "stream_gold_hourly": f"""
-            SELECT {_GOLD_ROWS} FROM gold
-            WHERE CAST(date AS TIMESTAMP) + to_hours(hour + 1)
-                  <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL '2' HOUR FROM silver)""",
+        "stream_gold_hourly": f"SELECT {_GOLD_ROWS} FROM gold",
+        "scan_messages_offsets": f"""
+            SELECT partition, count(*) AS messages, min("offset") AS first_offset, max("offset") AS last_offset
+            FROM (SELECT CAST(event_id % 3 AS INT) AS partition, event_id * 2 + copy AS "offset" FROM sent
+                  UNION ALL SELECT 3, doc_id FROM documents)
+            WHERE CASE partition WHEN 0 THEN "offset" >= 300 AND "offset" < 900 WHEN 1 THEN "offset" >= 0 AND "offset" < 500
+                  WHEN 2 THEN "offset" >= 100 AND "offset" < 800 ELSE "offset" >= 20 AND "offset" < 90 END
+            GROUP BY partition""",
+        "ingest_twice_adds_nothing": f"SELECT {_DATED_ROWS} FROM all_bronze",
+        "storage_usage": "SELECT CAST(date AS VARCHAR) AS date, true AS has_files, true AS has_bytes FROM silver GROUP BY date",
     }
     over_counts = {
         "register_tables": "SELECT layer, row_count FROM counts",
@@ -302,6 +321,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE layer WHEN 'bronze' THEN 'measurements_raw' WHEN 'silver' THEN 'measurements_clean'
                               ELSE 'measurements_hourly' END AS table_name, row_count FROM counts""",
         "maintenance_report": "SELECT layer, row_count, CAST(1 AS BIGINT) AS commits, 'ok' AS status FROM counts",
+        "stream_then_batch": _TWICE_BRONZE,
+        "batch_then_stream": _TWICE_BRONZE,
         "layer_row_counts": "SELECT layer, row_count FROM counts UNION ALL SELECT 'messages', count(*) FROM all_bronze",
         "table_metrics": f"""
             SELECT layer || '_table_row_count' AS metric, 'all' AS series,
@@ -318,6 +339,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT job, rows_in, CAST(rows_rejected AS BIGINT) AS rows_rejected, rows_out, 'ok' AS status,
                    true AS has_rate FROM jobs""",
         "table_history": "SELECT layer, rows_in, rows_out FROM jobs",
+        "error_rate_dated": """
+            SELECT job, rows_in, CAST(rows_rejected AS BIGINT) AS rows_rejected FROM jobs WHERE job <> 'silver_to_gold'""",
         "error_rate": """
             SELECT job, rows_in, CAST(rows_rejected AS BIGINT) AS rows_rejected,
                    round(rows_rejected / nullif(rows_in, 0) * 100, 6) AS error_pct FROM jobs""",
@@ -332,17 +355,17 @@ def oracle_sql() -> dict[str, str]:
         "metric_time_range": f"""
             SELECT metric, series, count(*) AS samples, min(second) AS first_ts, max(second) AS last_ts
             FROM samples WHERE second BETWEEN {as_of} - 3600 AND {as_of} GROUP BY metric, series""",
-        "avg_by_label": """
-            SELECT second AS ts, job_id AS label, round(avg(value), 6) AS value
-            FROM samples WHERE metric = 'spark_job_duration' GROUP BY ALL
+        "avg_by_label": f"""
+            SELECT t AS ts, job_id AS label, round(avg(value), 6) AS value
+            FROM ({_on_grid("spark_job_duration")}) GROUP BY ALL
             UNION ALL
-            SELECT second, query_id, round(avg(value), 6)
-            FROM samples WHERE metric = 'trino_query_elapsed_time_seconds' GROUP BY ALL""",
+            SELECT t, query_id, round(avg(value), 6)
+            FROM ({_on_grid("trino_query_elapsed_time_seconds")}) GROUP BY ALL""",
         "quality_pct": f"""
             SELECT ts, series, round(pct, 6) AS quality_pct, {_colour('pct', 'red', (80, 'yellow'), (95, 'green'))} AS status
-            FROM (SELECT s.second AS ts, s.series, s.value / nullif(b.value, 0) * 100 AS pct
-                  FROM samples s JOIN samples b ON s.second = b.second AND s.series = b.series
-                  WHERE s.metric = 'silver_table_row_count' AND b.metric = 'bronze_table_row_count')""",
+            FROM (SELECT s.t AS ts, s.series, s.value / nullif(b.value, 0) * 100 AS pct
+                  FROM ({_on_grid("silver_table_row_count")}) s JOIN ({_on_grid("bronze_table_row_count")}) b
+                    ON s.t = b.t AND s.series = b.series)""",
         "metric_status": f"""
             SELECT metric, {_colour('value', 'green', (80, 'red'))} AS status, count(*) AS samples
             FROM samples WHERE {row_counts} GROUP BY ALL""",
@@ -362,7 +385,12 @@ def oracle_sql() -> dict[str, str]:
     bronze_rows = _rate("bronze_table_row_count", 300)
     over_rates = {
         "counter_rate_1m": (messages_in, "SELECT series, ts, round(rate, 6) AS rate FROM rates"),
-        "throughput_total": (messages_in, "SELECT ts, round(sum(rate), 6) AS rate FROM rates GROUP BY ts"),
+        "throughput_total": (messages_in, """
+            SELECT t AS ts, round(sum(rate), 6) AS rate FROM (
+              SELECT g.series, t, (sum(increase) - arg_min(increase, second)) / (max(second) - min(second)) AS rate
+              FROM (SELECT unnest(range((SELECT min(second) // 15 * 15 FROM one), (SELECT max(second) + 61 FROM one), 15)) AS t) steps
+              JOIN grown g ON g.second BETWEEN t - 60 AND t
+              GROUP BY g.series, t HAVING count(*) > 1) GROUP BY t"""),
         "counter_rate_5m": (
             bronze_rows,
             f"""SELECT series, ts, round(rate, 6) AS rate,

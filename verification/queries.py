@@ -91,6 +91,24 @@ def scan_messages(spark, sf_dir):
     )
 
 
+@query
+def scan_messages_offsets(spark, sf_dir):
+    """A part of each topic partition, from one offset on and before another."""
+    cfg = inputs.built_pipeline(spark, sf_dir, "messages")
+    starts, ends = (f'{{"{cfg.topic}": {{{", ".join(f"{chr(34)}{p}{chr(34)}: {o}" for p, o in enumerate(x))}}}}}' for x in ((300, -2, 100, 20), (900, 500, 800, 90)))
+    messages = message_scans.read_messages(spark, cfg, starts, ends)
+    return messages.groupBy("partition").agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
+
+
+@query
+def ingest_twice_adds_nothing(spark, sf_dir):
+    """The second run starts where the first one ended."""
+    cfg = _stream_config(spark, sf_dir)
+    for _ in range(2):
+        jobs.ingest_bronze(spark, cfg, resume=True)
+    return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
+
+
 @query
 def scan_bronze(spark, sf_dir):
     return rows_shown(_layer(spark, sf_dir, "bronze"))
@@ -225,7 +243,7 @@ def top_locations(spark, sf_dir):
 @query
 def top_locations_weighted(spark, sf_dir):
     silver = _layer(spark, sf_dir, "silver")
-    return analysis.top_locations_weighted(hourly.gold_kpis(silver, probabilities=(0.5,)), as_of=AS_OF)
+    return analysis.top_locations_weighted(hourly.gold_kpis(silver, probabilities=()), as_of=AS_OF)
 
 
 @query
@@ -400,6 +418,18 @@ def error_rate(spark, sf_dir):
     return quality.error_rate(spark.table(cfg.table_name("run_log"))).drop("run_id")
 
 
+@query
+def error_rate_dated(spark, sf_dir):
+    """Rows read and rejected, summed over an ingest and runs over parts of the days: as for a whole run."""
+    built = inputs.built_pipeline(spark, sf_dir, "bronze")
+    cfg = dataclasses.replace(inputs.fresh_config(spark), bronze_db=built.bronze_db)
+    for first, last in ((None, "2024-01-14"), ("2024-01-15", "2024-01-15"), ("2024-01-16", None)):
+        jobs.bronze_to_silver(spark, cfg, first, last)
+    ingested = spark.table(built.table_name("run_log")).where("job = 'ingest_bronze'")
+    log = spark.table(cfg.table_name("run_log")).unionByName(ingested)
+    return log.groupBy("job").agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_rejected").alias("rows_rejected"))
+
+
 @query
 def quality_report(spark, sf_dir):
     return quality.quality_report(_layer(spark, sf_dir, "bronze"))
@@ -420,7 +450,8 @@ def table_metrics(spark, sf_dir):
 
 @query
 def storage_usage(spark, sf_dir):
-    return storage.storage_usage(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
+    used = storage.storage_usage(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
+    return used.select("date", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 # --- metric series ----------------------------------------------------------------------------
@@ -533,8 +564,33 @@ def stream_silver_stateful(spark, sf_dir):
 
 @query
 def stream_gold_hourly(spark, sf_dir):
-    """Hours whose end the watermark has passed."""
     built = inputs.built_pipeline(spark, sf_dir, "silver")
     cfg = dataclasses.replace(inputs.fresh_config(spark), silver_db=built.silver_db)
     streams.stream_gold_hourly(layer_scans.read_layer_stream(spark, cfg, "silver"), cfg).awaitTermination()
     return layer_scans.read_layer(spark, cfg, "gold")
+
+
+def _stream_all(spark, cfg):
+    streams.stream_bronze(message_scans.read_message_stream(spark, cfg), cfg).awaitTermination()
+    streams.stream_silver(layer_scans.read_layer_stream(spark, cfg, "bronze"), cfg).awaitTermination()
+    streams.stream_gold_hourly(layer_scans.read_layer_stream(spark, cfg, "silver"), cfg).awaitTermination()
+
+
+@query
+def stream_then_batch(spark, sf_dir):
+    """All layers by streams, and then all jobs on the same tables."""
+    cfg = _stream_config(spark, sf_dir)
+    _stream_all(spark, cfg)
+    jobs.run_medallion(spark, cfg)
+    return monitoring.layer_row_counts(spark, cfg)
+
+
+@query
+def batch_then_stream(spark, sf_dir):
+    """Half of the days by jobs, and then all streams on the same tables."""
+    cfg = _stream_config(spark, sf_dir)
+    jobs.ingest_bronze(spark, cfg)
+    jobs.bronze_to_silver(spark, cfg, None, "2024-01-15")
+    jobs.silver_to_gold(spark, cfg)
+    _stream_all(spark, cfg)
+    return monitoring.layer_row_counts(spark, cfg)
