@@ -7,6 +7,7 @@ sink that keeps nothing.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 import sys
@@ -22,7 +23,8 @@ from tiermill.operators import analysis, cleaning, hourly, quality, series  # no
 from tiermill.plans import bronze_to_silver, ingest_bronze, silver_to_gold  # noqa: E402
 from tiermill.plans.monitoring import layer_row_counts  # noqa: E402
 from tiermill.sources import metrics as M  # noqa: E402
-from tiermill.sources import read_layer  # noqa: E402
+from tiermill.sources import read_layer, read_layer_stream, read_message_stream  # noqa: E402
+from tiermill.streaming import stream_bronze, stream_gold_hourly, stream_silver  # noqa: E402
 from verification import inputs  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -40,6 +42,14 @@ def drain(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def streamed(spark, cfg) -> None:
+    """The same messages through the three streams, into tables of their own."""
+    own = dataclasses.replace(inputs.fresh_config(spark), message_path=cfg.message_path)
+    stream_bronze(read_message_stream(spark, own), own).awaitTermination()
+    stream_silver(read_layer_stream(spark, own, "bronze"), own).awaitTermination()
+    stream_gold_hourly(read_layer_stream(spark, own, "silver"), own).awaitTermination()
+
+
 def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -68,6 +78,9 @@ def main() -> None:
     ):
         timed[name] = seconds(lambda name=name, job=job: runs.update({name: job(spark, cfg)}))
 
+    timed["one_day_to_gold"] = seconds(lambda: (bronze_to_silver(spark, cfg, inputs.AS_OF, inputs.AS_OF), silver_to_gold(spark, cfg, inputs.AS_OF, inputs.AS_OF)))
+    timed["stream_to_gold"] = seconds(lambda: streamed(spark, cfg))
+
     def layer(name):
         return read_layer(spark, cfg, name)
 

@@ -4,6 +4,7 @@ import pytest
 
 from tiermill import PipelineConfig, cluster_settings, lake_settings
 from tiermill.__main__ import parser
+from tiermill.config import sized_shuffles
 from tiermill.sources import read_messages
 
 
@@ -29,9 +30,30 @@ def test_no_secret_in_the_configuration():
     assert not [k for k in settings if any(w in k for w in (*words, "jdbc.user", "access.key"))]
 
 
-def test_shuffle_sizing_follows_the_input():
-    assert cluster_settings(1 << 30)["spark.sql.shuffle.partitions"] == "200"
-    assert cluster_settings(100 << 40)["spark.sql.shuffle.partitions"] == str((100 << 40) // (128 << 20))
+@pytest.mark.parametrize(("size", "partitions"), [(0, 1), (1 << 30, 8), (2 << 40, 16_384), (100 << 40, 20_000)])
+def test_shuffle_sizing_follows_the_input(size, partitions):
+    assert cluster_settings(size)["spark.sql.shuffle.partitions"] == str(partitions)
+
+
+def test_shuffles_are_sized_for_a_run(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 2 << 40):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16384"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_catalog_settings_come_from_the_environment():
+    env = {"TABLE_FORMAT": "iceberg", "ICEBERG_CATALOG": "lake", "POSTGRES_HOST": "db", "POSTGRES_DB": "cat", "MINIO_BUCKET": "b", "MINIO_ENDPOINT": "http://s:9000"}
+    settings = PipelineConfig.from_env(env).session_settings()
+    assert settings["spark.sql.catalog.lake.uri"] == "jdbc:postgresql://db:5432/cat"
+    assert settings["spark.sql.catalog.lake.warehouse"] == "s3a://b/warehouse"
+    assert settings["spark.hadoop.fs.s3a.endpoint"] == "http://s:9000"
+    assert PipelineConfig.from_env({}).session_settings() == {}
+
+
+def test_the_layers_name_wins_over_the_ingest_jobs():
+    assert PipelineConfig.from_env({"ICEBERG_DB": "a", "ICEBERG_TABLE": "t"}).table_name("bronze") == "a.t"
+    assert PipelineConfig.from_env({"ICEBERG_DB": "a", "BRONZE_DB": "b"}).bronze_db == "b"
 
 
 def test_checkpoints_need_a_place():

@@ -15,13 +15,16 @@ from tiermill.plans import (
     maintenance_report,
     register_tables,
     run_medallion,
+    run_samples,
     silver_to_gold,
     table_history,
     table_metrics,
 )
 from tiermill.schemas import MESSAGE
 from tiermill.sinks import tables
+from tiermill.sources import metrics as M
 from tiermill.sources import read_layer, read_metrics
+from tiermill.sources.layers import bytes_to_read
 
 DAY_MS = 86_400_000
 FIRST = 1721347200000  # 2024-07-19 00:00 UTC
@@ -156,10 +159,34 @@ def test_table_metrics_append_samples(spark, cfg, three_days):
     table_metrics(spark, cfg, "2024-07-22 00:00:00")
     table_metrics(spark, cfg, "2024-07-22 00:00:30")
     samples = read_metrics(spark, cfg)
-    assert samples.count() == 10
+    assert samples.count() == 8
+    assert read_metrics(spark, cfg, "2024-07-23").count() == 0
     assert samples.where("metric = 'silver_table_row_count'").select("value").distinct().collect()[0][0] == 12.0
 
 
+def test_metrics_and_runs_are_read_by_day(spark, cfg, three_days):
+    run_medallion(spark, cfg)
+    table_metrics(spark, cfg, "2024-07-22 00:00:00")
+    plan = read_metrics(spark, cfg, "2024-07-22", "2024-07-22")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert cfg.partition_by("run_log") == ("date",)
+    found = {(r["metric"], r["job_id"]): r["value"] for r in run_samples(spark.table(cfg.table_name("run_log"))).collect()}
+    assert found[M.MESSAGES_IN, "ingest_bronze"] == 15
+    assert all(found[M.JOB_DURATION, job] > 0 for job in ("ingest_bronze", "bronze_to_silver", "silver_to_gold"))
+
+
+def test_lineage_for_a_table_without_it_is_refused(spark, cfg, three_days):
+    ingest_bronze(spark, cfg)
+    with pytest.raises(ValueError, match="_offset"):
+        ingest_bronze(spark, dataclasses.replace(cfg, keep_lineage=True))
+
+
+def test_a_scan_tells_its_size(spark, cfg, three_days):
+    run_medallion(spark, cfg)
+    whole, day = bytes_to_read(read_layer(spark, cfg, "silver")), bytes_to_read(read_layer(spark, cfg, "silver", "2024-07-19", "2024-07-19"))
+    assert 0 < day < whole < 1 << 20
+
+
 def test_lineage_survives_to_bronze_and_not_to_silver(spark, cfg, three_days):
     kept = dataclasses.replace(cfg, keep_lineage=True)
     ingest_bronze(spark, kept)

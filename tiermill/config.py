@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, fields
 
 from pyspark.sql import SparkSession
@@ -29,7 +30,14 @@ ENVIRONMENT = {
     "message_format": "MESSAGE_FORMAT",
     "message_path": "MESSAGE_PATH",
     "checkpoint_root": "STREAM_CHECKPOINTS",
+    "store_endpoint": "MINIO_ENDPOINT",
+    "store_bucket": "MINIO_BUCKET",
+    "catalog_host": "POSTGRES_HOST",
+    "catalog_port": "POSTGRES_PORT",
+    "catalog_name": "POSTGRES_DB",
 }
+# Names that the ingest job alone goes by; the layer's own names win over them.
+INGEST_ENVIRONMENT = {"bronze_db": "ICEBERG_DB", "bronze_table": "ICEBERG_TABLE"}
 
 
 @dataclass(frozen=True)
@@ -58,6 +66,13 @@ class PipelineConfig:
     kafka_min_partitions: int | None = None
     checkpoint_root: str | None = None
 
+    # Where an Iceberg catalog over JDBC and its files are; users and passwords are the session's business.
+    store_endpoint: str | None = None
+    store_bucket: str | None = None
+    catalog_host: str | None = None
+    catalog_port: str = "5432"
+    catalog_name: str | None = None
+
     # Unit of the event's `timestamp`: "ms" is what producers send, "s" reads the number as seconds.
     ts_unit: str = "ms"
     # ("date",) keeps a day's gold in few files; ("date", "location") gives one folder per place.
@@ -67,9 +82,17 @@ class PipelineConfig:
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ, **overrides) -> PipelineConfig:
         known = {f.name for f in fields(cls)}
-        from_env = {k: env[v] for k, v in ENVIRONMENT.items() if k in known and env.get(v)}
+        from_env = {k: env[v] for names in (INGEST_ENVIRONMENT, ENVIRONMENT) for k, v in names.items() if k in known and env.get(v)}
         return cls(**{**from_env, **overrides})
 
+    def session_settings(self) -> dict[str, str]:
+        """Settings that a session needs from its start on: those of the catalog, where the tables are in one."""
+        if self.table_format != "iceberg" or not (self.catalog_host and self.catalog_name):
+            return {}
+        warehouse = self.warehouse or f"s3a://{self.store_bucket}/warehouse"
+        uri = f"jdbc:postgresql://{self.catalog_host}:{self.catalog_port}/{self.catalog_name}"
+        return lake_settings(self.catalog, warehouse, uri, self.store_endpoint)
+
     @property
     def is_v2(self) -> bool:
         """True where tables take the DataFrameWriterV2 path."""
@@ -115,14 +138,15 @@ class PipelineConfig:
             "bronze": schemas.BRONZE_WITH_LINEAGE if self.keep_lineage else schemas.BRONZE,
             "silver": schemas.SILVER,
             "gold": schemas.GOLD,
-            "metrics": schemas.METRICS,
+            "metrics": schemas.METRICS_BY_DATE,
             "run_log": schemas.RUN_LOG,
             "offsets": schemas.OFFSETS,
             "stream_batches": schemas.STREAM_BATCHES,
         }[layer]
 
     def partition_by(self, layer: str) -> tuple[str, ...]:
-        return {"bronze": ("date",), "silver": ("date",), "gold": self.gold_partition_by}.get(layer, ())
+        by_date = ("date",)
+        return {"bronze": by_date, "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date}.get(layer, ())
 
     def checkpoint(self, query: str) -> str:
         """Offset folder of one streaming query; must lie on storage all executors share."""
@@ -146,23 +170,47 @@ def configure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_settings(input_bytes: int, target_bytes: int = 128 << 20) -> dict[str, str]:
-    """Shuffle sizing for an input of the given size.
+#: Bytes of input for each shuffle partition, and the most partitions that a driver and its shuffle service bear well.
+PARTITION_BYTES, MOST_PARTITIONS = 128 << 20, 20_000
+
 
-    The count is set for partitions of about `target_bytes`; adaptive execution merges those
-    that stay smaller and splits the skewed ones of joins and rebalances.
+def shuffle_sizing(input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for an input of the given size, and the size that adaptive execution aims at.
+
+    Partitions of PARTITION_BYTES, larger ones where that would give more than MOST_PARTITIONS: 8 for 1 GB, 16,384 for
+    2 TB, 20,000 of about 5 GB each for 100 TB (most of it gone before the shuffle, as aggregates are combined first).
     """
+    size = max(PARTITION_BYTES, -(-input_bytes // MOST_PARTITIONS))
+    return {
+        "spark.sql.shuffle.partitions": str(max(1, -(-input_bytes // size))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+    }
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """`shuffle_sizing` with the settings that go with it; adaptive execution merges and splits partitions."""
     return {
-        "spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // target_bytes))),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        **shuffle_sizing(input_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
     }
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Within it, shuffles have the partitions that the input asks for, and never fewer than the session's own."""
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = int(shuffle_sizing(input_bytes)["spark.sql.shuffle.partitions"])
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(before, wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
 def lake_settings(catalog: str, warehouse: str, jdbc_uri: str, endpoint: str | None = None) -> dict[str, str]:
     """Settings of an Iceberg catalog kept over JDBC with its files in an S3-like store.
 

@@ -1,6 +1,6 @@
 from tiermill.plans.jobs import bronze_to_silver, ingest_bronze, run_medallion, silver_to_gold
 from tiermill.plans.maintenance import maintenance_report, register_tables, table_history
-from tiermill.plans.monitoring import layer_row_counts, table_metrics
+from tiermill.plans.monitoring import layer_row_counts, run_samples, table_metrics
 
 __all__ = [
     "bronze_to_silver",
@@ -9,6 +9,7 @@ __all__ = [
     "maintenance_report",
     "register_tables",
     "run_medallion",
+    "run_samples",
     "silver_to_gold",
     "table_history",
     "table_metrics",

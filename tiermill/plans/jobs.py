@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.config import PipelineConfig, configure_session
+from tiermill.config import PipelineConfig, configure_session, sized_shuffles
 from tiermill.operators.cleaning import COPIES, dedup, drop_nulls
 from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, add_date_if_missing, parse_messages
 from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
 from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
-from tiermill.sources.layers import read_layer
+from tiermill.sources.layers import bytes_to_read, read_layer
 from tiermill.sources.messages import end_offsets, has_offsets, keep_offsets, last_offsets, read_messages
 
 
@@ -73,7 +73,8 @@ def bronze_to_silver(
         bronze = read_layer(spark, cfg, "bronze", date_from, date_to, dates).where(F.col("date").isNotNull()).select(*cfg.schema("silver").fieldNames())
         silver = add_date_if_missing(dedup(drop_nulls(bronze), count_copies=True), cfg.ts_unit)
         silver = sort_for_write(group_for_write(silver, "date"), "date", "location", "timestamp")
-        counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), helper=COPIES, copies=F.coalesce(F.sum(COPIES), F.lit(0)))
+        with sized_shuffles(spark, bytes_to_read(bronze)):
+            counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), helper=COPIES, copies=F.coalesce(F.sum(COPIES), F.lit(0)))
         # Read from file footers, not from the data.
         run.rows_in = bronze.count()
         run.rows_rejected = run.rows_in - counts["copies"]
@@ -93,7 +94,8 @@ def silver_to_gold(
         silver = read_layer(spark, cfg, "silver", date_from, date_to, dates)
         gold = group_for_write(gold_hourly(silver, cfg.ts_unit), *cfg.partition_by("gold"))
         gold = sort_for_write(gold, "date", "location", "hour")
-        counts = write_observed(gold, lambda df: _replace(df, cfg, "gold", full_refresh))
+        with sized_shuffles(spark, bytes_to_read(silver)):
+            counts = write_observed(gold, lambda df: _replace(df, cfg, "gold", full_refresh))
         run.rows_in = silver.count()
         run.rows_rejected = 0
         run.rows_out = counts["rows"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiermill.config import LAYERS, PipelineConfig
@@ -13,7 +13,7 @@ from tiermill.schemas import METRICS
 from tiermill.sinks.tables import append, ensure_table
 from tiermill.sources.layers import read_layer
 from tiermill.sources.messages import read_messages
-from tiermill.sources.metrics import BRONZE_ROWS, GOLD_ROWS, LAST_UPDATE, MESSAGE_COUNT, SILVER_ROWS
+from tiermill.sources.metrics import BRONZE_ROWS, GOLD_ROWS, JOB_DURATION, LAST_UPDATE, MESSAGE_COUNT, MESSAGES_IN, SILVER_ROWS
 
 GAUGES = {"bronze": BRONZE_ROWS, "silver": SILVER_ROWS, "gold": GOLD_ROWS, "messages": MESSAGE_COUNT}
 
@@ -51,10 +51,32 @@ def gauge_samples(counts: DataFrame, as_of: datetime | str | None = None, series
     return counts.select(*sample(name, F.col("row_count"))).unionByName(updated)
 
 
+def run_samples(run_log: DataFrame) -> DataFrame:
+    """Runs as metric samples at their end: seconds of each run by job, and messages ingested so far.
+
+    The second is a counter over the runs of one job, a row per run.
+    """
+    ended = F.timestamp_micros(F.unix_micros("started_at") + (F.col("elapsed_s") * 1_000_000).cast("long"))
+    in_order = Window.partitionBy("job").orderBy("started_at", "run_id")
+    runs = run_log.where("status = 'ok'").withColumn("so_far", F.sum("rows_in").over(in_order)).withColumn("ended", ended)
+
+    def sample(metric: str, value: str):
+        columns = {"metric": F.lit(metric), "series": F.col("job"), "job_id": F.col("job"), "ts": F.col("ended"), "value": F.col(value)}
+        return F.struct(*[columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in METRICS.fields])
+
+    duration, messages = sample(JOB_DURATION, "elapsed_s"), sample(MESSAGES_IN, "so_far")
+    both = F.when(F.col("job") == "ingest_bronze", F.array(duration, messages)).otherwise(F.array(duration))
+    return runs.select(F.explode(both).alias("s")).select("s.*")
+
+
 def table_metrics(
-    spark: SparkSession, cfg: PipelineConfig, as_of: datetime | str | None = None, with_messages: bool = True
+    spark: SparkSession, cfg: PipelineConfig, as_of: datetime | str | None = None, with_messages: bool = False
 ) -> None:
-    """Measure the layers and append the samples to the metrics table."""
+    """Measure the layers and append the samples to the metrics table.
+
+    Counts of file tables come from file footers. Counting the messages reads the whole topic: it is off unless asked
+    for, and `run_samples` tells how many were ingested.
+    """
     ensure_table(spark, cfg, "metrics")
     samples = gauge_samples(layer_row_counts(spark, cfg, with_messages), as_of)
-    append(samples.coalesce(1), cfg, "metrics")
+    append(samples.withColumn("date", F.to_date("ts")).coalesce(1), cfg, "metrics")

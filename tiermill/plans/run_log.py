@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,6 +34,11 @@ class Run:
     dates: list[str] | None = None
     status: str = "running"
 
+    @property
+    def date(self) -> date:
+        """Day of the start, by which the log is kept."""
+        return self.started_at.date()
+
     @property
     def rows_per_s(self) -> float | None:
         if self.rows_out is None or self.elapsed_s <= 0:

@@ -69,6 +69,9 @@ METRICS = T.StructType(
     ]
 )
 
+# As kept: by day, so that a look at the last hour lists one day's files.
+METRICS_BY_DATE = T.StructType([*METRICS.fields, T.StructField("date", T.DateType())])
+
 RUN_LOG = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -82,6 +85,7 @@ RUN_LOG = T.StructType(
         T.StructField("first_date", T.DateType()),
         T.StructField("last_date", T.DateType()),
         T.StructField("status", T.StringType()),
+        T.StructField("date", T.DateType()),
     ]
 )
 

@@ -34,6 +34,8 @@ def publish_messages(
     if cfg.message_format == "text":
         encode_messages(events).select(F.col("value").cast("string")).write.mode("append").text(cfg.message_path)
         return
+    if cfg.message_format != "parquet":
+        raise ValueError(f"unknown message_format {cfg.message_format!r}")
     fields = [F.col(name) for name in EVENT.fieldNames()]
     columns = {
         "key": F.lit(None),

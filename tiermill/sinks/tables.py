@@ -91,8 +91,14 @@ def show_tables(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFra
 
 
 def _in_table_order(df: DataFrame, name: str) -> DataFrame:
-    """insertInto goes by position, and a file table has its partition columns last."""
-    return df.select(*df.sparkSession.table(name).columns)
+    """insertInto goes by position, and a file table has its partition columns last.
+
+    A column that the table lacks is an error: it would be lost without a word.
+    """
+    columns = df.sparkSession.table(name).columns
+    if more := sorted(set(df.columns) - set(columns)):
+        raise ValueError(f"table {name} has no columns {more}")
+    return df.select(*columns)
 
 
 def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:

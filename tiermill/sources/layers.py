@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import re
 from collections.abc import Iterable
+from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.predicates import between_dates, on_dates
@@ -26,6 +30,22 @@ def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=N
     return df.where(between_dates(date_from, date_to))
 
 
+def bytes_to_read(df: DataFrame) -> int:
+    """Spark's estimate of a scan after partition pruning: for file tables, the size of the files listed.
+
+    One line of the plan's text; 0 where Spark tells none. A condition on the partition column makes Spark list
+    the files, where it would else have no figure for a table that was never analysed.
+    """
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        df.where(F.col("date").isNotNull()).explain("cost")
+    found = re.search(r"Statistics\(sizeInBytes=([\d.]+) ([KMGTPE]?i?B)", plan.getvalue())
+    return int(float(found[1]) * _UNITS.get(found[2], 0)) if found else 0
+
+
+_UNITS = {unit: 1 << (10 * i) for i, unit in enumerate(("B", "KiB", "MiB", "GiB", "TiB", "PiB"))}
+
+
 def read_layer_stream(spark: SparkSession, cfg: PipelineConfig, layer: str, max_per_trigger: int | None = None) -> DataFrame:
     """Rows appended to a layer, as a stream."""
     reader = spark.readStream

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
+from tiermill.functions.predicates import between_dates
+from tiermill.schemas import METRICS
 
 # Metric names that existing dashboards query.
 BRONZE_ROWS = "bronze_table_row_count"
@@ -22,13 +24,20 @@ QUERY_ELAPSED = "trino_query_elapsed_time_seconds"
 ROW_COUNTS = (BRONZE_ROWS, SILVER_ROWS, GOLD_ROWS)
 
 
-def read_metrics(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return spark.table(cfg.table_name("metrics"))
+def read_metrics(spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None) -> DataFrame:
+    """Samples; a range of days reads only their partitions."""
+    samples = spark.table(cfg.table_name("metrics")).where(between_dates(date_from, date_to))
+    return samples.select(*METRICS.fieldNames())
 
 
 def time_range(samples: DataFrame, as_of: str | Column, hours: int = 1) -> DataFrame:
-    """Samples of the trailing hours, both ends included."""
+    """Samples of the trailing hours, both ends included.
+
+    Where the samples have their partition column `date`, the days in hand are pruned by it.
+    """
     end = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else as_of
+    if "date" in samples.columns:
+        samples = samples.where(F.col("date").between(F.to_date(end - F.expr(f"INTERVAL '{int(hours)}' HOUR")), F.to_date(end)))
     return samples.where((F.col("ts") >= end - F.expr(f"INTERVAL '{int(hours)}' HOUR")) & (F.col("ts") <= end))
 
 

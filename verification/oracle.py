@@ -338,6 +338,11 @@ def oracle_sql() -> dict[str, str]:
         "run_metrics": """
             SELECT job, rows_in, CAST(rows_rejected AS BIGINT) AS rows_rejected, rows_out, 'ok' AS status,
                    true AS has_rate FROM jobs""",
+        "run_log_metrics": """
+            SELECT 'spark_job_duration' AS metric, job AS series, job AS job_id, CAST(NULL AS DOUBLE) AS messages, true AS has_value FROM jobs
+            UNION ALL
+            SELECT 'kafka_server_brokertopicmetrics_messagesin_total', job, job, CAST(rows_in AS DOUBLE), true
+            FROM jobs WHERE job = 'ingest_bronze'""",
         "table_history": "SELECT layer, rows_in, rows_out FROM jobs",
         "error_rate_dated": """
             SELECT job, rows_in, CAST(rows_rejected AS BIGINT) AS rows_rejected FROM jobs WHERE job <> 'silver_to_gold'""",

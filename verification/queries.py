@@ -444,10 +444,19 @@ def layer_row_counts(spark, sf_dir):
 def table_metrics(spark, sf_dir):
     built = inputs.built_pipeline(spark, sf_dir)
     cfg = dataclasses.replace(built, ops_db=inputs.fresh_config(spark).ops_db)
-    monitoring.table_metrics(spark, cfg, as_of=f"{AS_OF} 00:00:00")
+    monitoring.table_metrics(spark, cfg, as_of=f"{AS_OF} 00:00:00", with_messages=True)
     return M.read_metrics(spark, cfg).select("metric", "series", "ts", "value")
 
 
+@query
+def run_log_metrics(spark, sf_dir):
+    """Durations and ingested messages, as the jobs leave them."""
+    cfg = inputs.built_pipeline(spark, sf_dir)
+    samples = monitoring.run_samples(spark.table(cfg.table_name("run_log")))
+    counted = F.when(F.col("metric") == M.MESSAGES_IN, F.col("value"))
+    return samples.select("metric", "series", "job_id", counted.alias("messages"), (F.col("value") > 0).alias("has_value"))
+
+
 @query
 def storage_usage(spark, sf_dir):
     used = storage.storage_usage(spark, inputs.built_pipeline(spark, sf_dir, "silver"), "silver")
