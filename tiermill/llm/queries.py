@@ -29,11 +29,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that lose repeated spans, where, and the documents that keep them."""
+    """What documents lose, by the document that keeps it: number, characters and places of the spans."""
     gone = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["stop"])), ",")
     lost = F.aggregate("spans", F.lit(0), lambda a, s: a + s["stop"] - s["start"])
-    return gone.select("doc_id", F.size("spans").alias("n_spans"), lost.alias("n_chars_removed"), listed.alias("spans"), F.array_sort("first_docs").alias("first_doc_ids"))
+    return gone.select("doc_id", "first_doc_id", F.size("spans").alias("n_spans"), lost.alias("n_chars"), listed.alias("spans"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules.SQL, "op7_near_dedup": near_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}
+    return {"op4_substring_dedup": substring_dedup.SQL, "op5_quality_rules": quality_rules.SQL, "op7_near_dedup": near_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}

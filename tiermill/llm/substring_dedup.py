@@ -98,14 +98,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-MERGED = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("first_docs", pa.list_(pa.int64())), ("spans", _SPANS)])
+MERGED = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("first_doc_id", pa.int64()), ("spans", _SPANS)])
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, version, first_docs, spans: what each document that repeats earlier spans loses.
+    """doc_id, version, first_doc_id, spans: what each document that repeats earlier spans of another, or its own, loses.
 
     Earlier is by id (a null id is the lowest), then by place in the text, so that of texts that share a passage the
-    lowest id keeps it; first_docs has the ids that keep what is lost here. Places are in code points, ends exclusive.
+    lowest id keeps it; first_doc_id is the one that keeps these spans, and a document has a row for each of them. Places are in code points, ends exclusive.
     `version` is xxhash64 of the text: rows that repeat an id and a text are one document. A null or empty text, or one
     with too few words, has no spans. Other columns are not read.
     """
@@ -117,8 +117,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     met = cut(every.join(again, ["h", "g"]))
     first = cut(met.groupBy("h", "g").agg(F.min(F.struct("doc_id", "start", "version")).alias("first")))
     gone = met.join(first, ["h", "g"]).filter(~F.struct("doc_id", "start", "version").eqNullSafe(F.col("first")))
-    by_doc = gone.groupBy("doc_id", "version").agg(F.collect_set("first.doc_id").alias("first_docs"), F.collect_list(F.struct("start", "stop")).alias("found"))
-    return by_doc.mapInArrow(_merged, "doc_id long, version long, first_docs array<long>, spans array<struct<start:int,stop:int>>")
+    by_doc = gone.groupBy("doc_id", "version", F.col("first.doc_id").alias("first_doc_id")).agg(F.collect_list(F.struct("start", "stop")).alias("found"))
+    return by_doc.mapInArrow(_merged, "doc_id long, version long, first_doc_id long, spans array<struct<start:int,stop:int>>")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,7 +126,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     One row per row of `docs`; all columns pass through inside `_row`, so none can clash.
     """
-    gone = repeated_spans(docs, id_col, text_col)
+    each = repeated_spans(docs, id_col, text_col).groupBy("doc_id", "version").agg(F.min("first_doc_id").alias("first_doc_id"), F.flatten(F.collect_list("spans")).alias("found"))
+    gone = each.mapInArrow(_merged, "doc_id long, version long, first_doc_id long, spans array<struct<start:int,stop:int>>")
     whole = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_version"), F.struct("*").alias("_row"))
     text = F.col("_row")[text_col]
     joined = whole.join(gone, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_version") == F.col("version")), "left")
@@ -134,3 +135,33 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = F.transform("spans", lambda s, i: F.substring(text, F.coalesce(F.get("spans", i - 1)["stop"], F.lit(0)) + 1, s["start"] - F.coalesce(F.get("spans", i - 1)["stop"], F.lit(0))))
     rest = F.substring(text, F.element_at("spans", -1)["stop"] + 1, F.length(text))
     return joined.select("_row", F.when(F.col("spans").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest)).alias("_text"), F.col("spans").alias("_spans"))
+
+
+_BLANK = r"[\x20\x09-\x0D]"
+#: The repeated spans in SQL: for each document and the one that keeps them.
+SQL = f"""
+WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+{_BLANK}*') AS pieces,
+  len(text) - len(regexp_replace(text, '^{_BLANK}+', '')) AS lead FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, lead, unnest(pieces) AS piece, unnest(range(1, len(pieces) + 1)) AS i, len(pieces) AS n FROM d),
+w AS (SELECT doc_id, i, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, place AS start, place + len(word) AS stop,
+  right(word, 1) IN ('.', '!', '?', ';') OR contains(piece, chr(10)) OR i = n AS ends, right(word, 1) IN (',', ':') AS soft
+  FROM (SELECT *, regexp_replace(piece, '{_BLANK}+$', '') AS word,
+    lead + coalesce(sum(len(piece)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM p)),
+s AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM w),
+e AS (SELECT *, ends OR (soft AND count(*) OVER (PARTITION BY doc_id, s) > {LONG}) AS cut FROM s),
+u AS (SELECT *, coalesce(sum(CAST(cut AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM e),
+unit AS (SELECT doc_id, u, min(i) AS a, max(i) AS b, min(start) AS start, max(stop) AS stop FROM u GROUP BY doc_id, u),
+reach AS (SELECT x.doc_id, x.a, x.start, min(y.u) AS u FROM unit x JOIN unit y ON x.doc_id = y.doc_id
+  AND y.u BETWEEN x.u + {LEAST_SENTENCES - 1} AND x.u + {LEAST_WORDS} AND y.b - x.a + 1 >= {LEAST_WORDS} GROUP BY ALL),
+words AS (SELECT doc_id, list(low ORDER BY i) AS ws FROM u GROUP BY doc_id),
+span AS (SELECT doc_id, reach.start, unit.stop, array_to_string(ws[reach.a:unit.b], ' ') AS body
+  FROM reach JOIN unit USING (doc_id, u) JOIN words USING (doc_id)),
+gone AS (SELECT doc_id, start, stop, first FROM (SELECT *, row_number() OVER o AS nth, first_value(doc_id) OVER o AS first FROM span
+  WINDOW o AS (PARTITION BY body ORDER BY doc_id, start)) WHERE nth > 1),
+new AS (SELECT *, start > coalesce(max(stop) OVER (PARTITION BY doc_id, first ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS is_new FROM gone),
+island AS (SELECT *, sum(CAST(is_new AS INT)) OVER (PARTITION BY doc_id, first ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS k FROM new),
+merged AS (SELECT doc_id, first, min(start) AS start, max(stop) AS stop FROM island GROUP BY doc_id, first, k)
+SELECT doc_id, first AS first_doc_id, CAST(count(*) AS INT) AS n_spans, CAST(sum(stop - start) AS INT) AS n_chars,
+  string_agg(CAST(start AS INT) || ':' || CAST(stop AS INT), ',' ORDER BY start) AS spans
+FROM merged GROUP BY doc_id, first
+"""
