@@ -7,7 +7,9 @@ about 7 in 100,000.
 
 Links matter only for what they connect. Within the ids of one key, all are first compared with the smallest. Where
 a key then still holds several components, ids of different components are compared, but for pairs that can't be
-similar enough by their sizes and by the shingles that no other candidate has.
+similar enough by their sizes and their rare shingles, those of at most FEW candidates: either two ids share none of
+them, and then all of either count as missing in the other, or they meet in an index of the rare shingles. So a large
+group of copies of one text costs pairs in proportion to its size. The bounds lose no pair.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from tiermill.llm.words import LOWER, Words, mix
 
 SHINGLE, PERCENT = 3, 85
 ALONG, PER_BAND = 8, 2
+#: Candidates that a shingle has at most to count as rare.
+FEW = 32
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
@@ -119,12 +123,17 @@ def _across(shared: DataFrame, nodes: DataFrame, stars: DataFrame, sets: DataFra
     part = cut(components(links)).select(F.col("id").alias("node"), F.col("component").alias("c"))
     rows = cut(shared.drop("hub").join(part, "node", "left").withColumn("c", F.coalesce("c", "node")))
     mixed = cut(rows.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("key"))
-    rows = rows.join(mixed, "key", "left_semi")
-    # shingles that no other candidate has can't be in an intersection
-    alone = sets.select("node", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1").groupBy("node").agg(F.count("*").alias("u"))
-    # a pair is similar enough only if reach >= percent * size, both ways
-    reach = F.col("n") * 100 - F.coalesce(F.col("u"), F.lit(0)) * (100 + percent)
-    rows = cut(rows.join(cut(alone), "node", "left").select("node", "n", "i", "j", "key", "c", reach.alias("reach")))
+    rows = cut(rows.join(mixed, "key", "left_semi"))
+    left_over = cut(rows.select("node", "n", "c").distinct())
+    held = sets.join(left_over, "node", "left_semi").select("node", F.explode("s").alias("h"))
+    few = cut(held.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("only")).filter(F.col("k") <= FEW))
+    shared_few = cut(held.join(few.filter("k > 1").select("h"), "h"))
+    alone = few.filter("k = 1").select(F.col("only").alias("node"))
+    rare = cut(alone.union(shared_few.select("node")).groupBy("node").agg(F.count("*").alias("r")))
+    known = cut(left_over.join(rare, "node", "left").fillna(0, ["r"]))
+    # a pair without a rare shingle in common is similar enough only if reach >= percent * size, both ways
+    reach = F.col("n") * 100 - F.col("r") * (100 + percent)
+    rows = cut(rows.join(known.select("node", "r"), "node").select("node", "n", "i", "j", "key", "c", reach.alias("reach")))
     bounds = cut(rows.groupBy("key").agg(F.min("n").alias("least"), F.max("reach").alias("far"), F.min("c").alias("c1"), F.max("c").alias("c2")))
     rows = cut(rows.join(bounds, "key").filter((F.col("least") * percent <= F.col("reach")) & (F.col("n") * percent <= F.col("far"))).select(*rows.columns))
     left = cut(rows.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("key"))
@@ -142,6 +151,16 @@ def _across(shared: DataFrame, nodes: DataFrame, stars: DataFrame, sets: DataFra
         & (first("left") == F.col("x_i") + 1)
         & (first("right") == F.col("x_j") + 1),
     ).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
+    # pairs with rare shingles in common: these w, and at most all that are not rare
+    own = shared_few.join(known, "node")
+    x = own.select(F.col("h").alias("x_h"), *(F.col(c).alias(f"x_{c}") for c in known.columns))
+    y = own.select(F.col("h").alias("y_h"), *(F.col(c).alias(f"y_{c}") for c in known.columns))
+    fits = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
+    met = x.join(y, (F.col("x_h") == F.col("y_h")) & (F.col("x_c") < F.col("y_c")) & fits)
+    met = met.groupBy("x_node", "y_node", "x_n", "y_n", "x_r", "y_r").agg(F.count("*").alias("w"))
+    most = F.least(F.col("x_n") - F.col("x_r"), F.col("y_n") - F.col("y_r")) + F.col("w")
+    met = met.filter(most * 100 >= (F.col("x_n") + F.col("y_n") - most) * percent)
+    pairs = cut(pairs.union(met.select(F.least("x_node", "y_node"), F.greatest("x_node", "y_node"))).distinct())
     return cut(_similar(cut(pairs.join(stars, ["a", "b"], "left_anti")), sets, percent))
 
 
