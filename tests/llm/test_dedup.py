@@ -52,26 +52,25 @@ def losses(docs):
     for i, text in docs:
         for words, a, b in spans_of(text):
             met[words].append((i, a, b))
-    lost = collections.defaultdict(lambda: (set(), []))
+    lost = collections.defaultdict(list)
     for places in met.values():
         first, *rest = sorted(places)
         for i, a, b in rest:
-            lost[i][0].add(first[0])
-            lost[i][1].append((a, b))
+            lost[i, first[0]].append((a, b))
     out = {}
-    for i, (firsts, places) in lost.items():
+    for pair, places in lost.items():
         merged = []
         for a, b in sorted(places):
             if merged and a <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], b)
             else:
                 merged.append([a, b])
-        out[i] = (sorted(firsts), [tuple(m) for m in merged])
+        out[pair] = [tuple(m) for m in merged]
     return out
 
 
 def found(df):
-    return {r.doc_id: (sorted(r.first_docs), [(s.start, s.stop) for s in r.spans]) for r in df.collect()}
+    return {(r.doc_id, r.first_doc_id): [(s.start, s.stop) for s in r.spans] for r in df.collect()}
 
 
 def test_spans_equal_brute_force(spark, sf_dir):
@@ -84,7 +83,7 @@ def test_a_passage_inside_other_texts(docs_of, prose):
     passage = "One small fox ran by the river. It saw a lamp in the night, and then the rain came; all doors were shut. No key fit, so the fox sat on a stone and waited for the sun to rise."
     texts = [prose(1), f"{prose(2)} and then {passage} {prose(3)}", prose(4), f"{prose(5)}\n{passage}", f"{passage} {prose(6)}"]
     gone = found(substring_dedup.repeated_spans(docs_of(texts)))
-    assert gone.keys() == {3, 4} and {tuple(f) for f, _ in gone.values()} == {(1,)}
+    assert gone.keys() == {(3, 1), (4, 1), (4, 3)}
     cleaned = {r.i: r for r in substring_dedup.substring_dedup(docs_of(texts)).select(F.col("_row.doc_id").alias("i"), "_text", "_row.*").collect()}
     assert len(cleaned) == 5 and cleaned[0]._text == texts[0] and cleaned[1]._text == texts[1]
     assert "waited for the sun" in cleaned[1]._text and not any("waited for the sun" in cleaned[i]._text for i in (3, 4))
@@ -93,7 +92,7 @@ def test_a_passage_inside_other_texts(docs_of, prose):
 
 def test_span_edges(edges):
     gone = found(substring_dedup.repeated_spans(edges))
-    assert gone.keys() <= {7}
+    assert gone.keys() <= {(7, 7)}
     assert substring_dedup.substring_dedup(edges).count() == 9
     assert substring_dedup.repeated_spans(edges.limit(0)).count() == 0
 
@@ -101,7 +100,7 @@ def test_span_edges(edges):
 def test_a_span_repeated_in_its_own_text(docs_of):
     line = "The fox ran by the old river. A lamp was lit in the house, and nobody came to the door."
     gone = found(substring_dedup.repeated_spans(docs_of([f"{line}\n{line}"])))
-    assert gone == {0: ([0], [(len(line) + 1, 2 * len(line) + 1)])}
+    assert gone == {(0, 0): [(len(line) + 1, 2 * len(line) + 1)]}
 
 
 # --- chunks of lines
@@ -212,8 +211,9 @@ def test_near_edges(edges):
 
 def test_rows_of_one_id_are_one_document(docs_of, prose):
     rows = [(9, prose(1)), (9, prose(2)), (3, prose(1)), (5, prose(2)), (7, prose(4))]
-    got = {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs_of(rows)).collect()}
-    assert got == {9: 3, 3: 3, 5: 3, 7: 7}
+    got = [(r.doc_id, r.component_id) for r in near_dedup.near_dedup(docs_of(rows)).collect()]
+    assert len(got) == 5 and {c for i, c in got if i == 9} in ({3}, {5})
+    assert {i: c for i, c in got if i != 9} == {3: 3, 5: 5, 7: 7}
 
 
 def test_components_of_random_graphs(spark):

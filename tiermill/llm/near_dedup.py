@@ -86,35 +86,34 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     """doc_id, n_shingles, component_id (the smallest id reachable by links), kept (it is the smallest itself).
 
     Texts are linked if 100 * intersection >= percent * union of their shingle sets. One row per row of `docs`. Texts
-    without words are linked with nothing. Rows of one id are one document: the links of any are links of all. Rows without an
-    id are compared with nothing: component_id is null, kept is true. Other columns are not read.
+    without words are linked with nothing. Rows of one id are one document; of its texts with words the one of the lowest
+    xxhash64 is compared. Rows without an id are compared with nothing: component_id is null, kept is true. Other
+    columns are not read.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
     schema = "n_shingles long, sum1 long, sum2 long, left array<long>, right array<long>"
-    signed = cut(map_texts(texts, lambda some: signatures(some, shingle, along), schema, {"doc_id": F.col("doc_id")}))
+    signed = cut(map_texts(texts, lambda some: signatures(some, shingle, along), schema, {"doc_id": F.col("doc_id"), "version": F.col("version")}))
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
+    usable = cut(usable.groupBy("doc_id").agg(F.min_by(F.struct("version", "n_shingles", "sum1", "sum2", "left", "right"), "version").alias("one")).select("doc_id", "one.*"))
     # equal sets first: each class is one node, its smallest id
     classes = cut(usable.groupBy("sum1", "sum2", "n_shingles").agg(F.min("doc_id").alias("node")))
-    members = cut(usable.join(classes, ["sum1", "sum2", "n_shingles"]).select("doc_id", "node", F.col("n_shingles").alias("n"), "left", "right"))
-    nodes = members.filter("doc_id = node").select("node", "n", "left", "right").distinct()
+    members = cut(usable.join(classes, ["sum1", "sum2", "n_shingles"]).select("doc_id", "version", "node", F.col("n_shingles").alias("n"), "left", "right"))
+    nodes = members.filter("doc_id = node").select("node", "version", "n", "left", "right")
     tables = F.array([F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.xxhash64(F.lit(i * along + j), F.get("left", i), F.get("right", j)).alias("key")) for i in range(along) for j in range(along)])
-    keyed = nodes.select("node", "n", F.explode(tables).alias("k")).select("node", "n", "k.*")
+    keyed = nodes.select("node", "version", "n", F.explode(tables).alias("k")).select("node", "version", "n", "k.*")
     hubs = cut(keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).filter("hub.node <> last").select("key", "hub"))
     shared = cut(keyed.join(hubs, "key"))
     fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
     stars = cut(shared.filter((F.col("node") != F.col("hub.node")) & fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
-    involved = cut(shared.select("node").distinct())
-    chosen = texts.join(involved, texts["doc_id"] == involved["node"]).select("node", "text").dropDuplicates(["node"])
+    involved = cut(shared.select("node", F.col("version").alias("own")).distinct())
+    chosen = texts.join(involved, (F.col("doc_id") == F.col("node")) & (F.col("version") == F.col("own"))).select("node", "text").dropDuplicates(["node"])
     sets = cut(map_texts(chosen, lambda some: {"s": [x.view(np.int64) for x in shingles(some, shingle)]}, "s array<long>", {"node": F.col("node")}))
     links = cut(_similar(stars, sets, percent))
-    across = _across(shared, nodes, stars, sets, links, percent)
-    # rows of one id with different texts link their classes
-    own = members.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).join(nodes.select(F.col("node").alias("a")), "a", "left_semi").distinct()
-    found = cut(components(links.union(across).union(own)))
-    placed = members.select("doc_id", "node").distinct().join(found, F.col("node") == F.col("id"), "left")
-    placed = placed.groupBy(F.col("doc_id").alias("_doc")).agg(F.min(F.coalesce("component", "node")).alias("component"))
+    across = _across(shared.drop("version"), nodes.drop("version"), stars, sets, links, percent)
+    found = cut(components(links.union(across)))
+    placed = members.select(F.col("doc_id").alias("_doc"), "node").join(found, F.col("node") == F.col("id"), "left")
     done = signed.select("doc_id", "n_shingles").join(placed, F.col("doc_id") == F.col("_doc"), "left")
-    own_id = F.coalesce("component", "doc_id")
+    own_id = F.coalesce("component", "node", "doc_id")
     return done.select("doc_id", "n_shingles", own_id.alias("component_id"), F.coalesce(own_id == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
