@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tiermill.llm import quality_classifier, toxicity
 from tiermill.llm.labelled import Sparse, fold_of
@@ -37,7 +38,7 @@ def test_held_out_labels_have_no_effect(spark, docs_of, prose, score, label, cut
     docs = docs_of([prose(i) + (" idiot" if i % 3 == 0 else " kind") for i in range(60)])
     held = fold_of(docs["doc_id"], 5 if label == "toxic" else 4) == (0 if label == "toxic" else 2)
     one = docs.select("doc_id", (docs["doc_id"] % 3 == 0).cast("int").alias(label))
-    other = docs.select("doc_id", ((docs["doc_id"] % 3 == 0) ^ held).cast("int").alias(label))
+    other = docs.select("doc_id", F.when(held, docs["doc_id"] % 3 != 0).otherwise(docs["doc_id"] % 3 == 0).cast("int").alias(label))
     first, second = ({r.doc_id: (r.score, r.predicted) for r in score(docs, x).collect()} for x in (one, other))
     assert first == second and all(p == (s >= cut) for s, p in first.values())
 
@@ -75,16 +76,17 @@ def test_swaps_take_the_weight_off_group_mentions():
     insults = [" ".join([*rng.sample(filler, 20), "idiot"]) for _ in range(200)]
     rates = {}
     for fair in (0.0, 1.0):
-        scorer = toxicity.Scorer(toxicity.train(made["places"], made["other"], np.array(labels, float), fair))
+        scorer = toxicity.Scorer(toxicity.train(made["places"], made["lost"], made["gained"], np.array(labels, float), fair))
         rates[fair] = np.mean(np.array(scorer.scores(neutral)) >= 0.5), np.mean(np.array(scorer.scores(insults)) >= 0.5)
     assert rates[0.0][0] > 0.9 and rates[1.0][0] < 0.1
     assert rates[1.0][1] > 0.9
 
 
-def test_counterfactual_is_none_without_a_group():
-    made = toxicity.features(["Plain words", "a Muslim neighbour", ""])
-    assert made["other"][0] is None and made["other"][2] is None
-    assert made["other"][1] == toxicity.features(["a christian neighbour"])["places"][0]
+def test_what_a_swap_changes():
+    made = toxicity.features(["Plain words", "a Muslim neighbour", "a christian neighbour", ""])
+    assert [made[x][i] for x in ("lost", "gained") for i in (0, 3)] == [[]] * 4
+    muslim, christian = set(made["places"][1]), set(made["places"][2])
+    assert set(made["lost"][1]) == muslim - christian and set(made["gained"][1]) == christian - muslim
 
 
 def test_sparse_rows():

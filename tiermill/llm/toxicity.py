@@ -1,8 +1,9 @@
 """Toxicity by a linear classifier over hashed words and word beginnings, trained to ignore identity terms.
 
 For each labelled text that names a group, its counterfactual names another group instead. Besides the logistic
-loss, training penalises the square of the difference between the two scores, so that the weight can't rest on the
-mention of a group. Weights aren't negative, so that what is toxic in a long text can't drown in the rest of it,
+loss, training penalises the square of the difference between the two scores. Only the terms that were swapped out
+follow that penalty, the counterfactual's score being the aim; else it could be met by raising what was swapped in.
+So the weight can't rest on the mention of a group. Weights aren't negative, so that what is toxic in a long text can't drown in the rest of it,
 and an L1 penalty keeps them sparse.
 """
 
@@ -43,14 +44,16 @@ def chunks_of(text: str) -> set[str]:
 
 
 def features(texts: list[str]) -> dict[str, list]:
-    """Distinct places of each text, and those of its counterfactual where the text names a group (else none)."""
-    places, other = [], []
+    """Distinct places of each text; and those that its counterfactual loses and gains, if it names a group."""
+    out: dict[str, list] = {"places": [], "lost": [], "gained": []}
     for text in texts:
         words = {c.strip(MARKS) for c in chunks_of(text)} - {""}
-        places.append(sorted({p for w in words for p in word_places(w)}))
-        swapped = {SWAP.get(w, w) for w in words}
-        other.append(sorted({p for w in swapped for p in word_places(w)}) if words & SWAP.keys() else None)
-    return {"places": places, "other": other}
+        own = {p for w in words for p in word_places(w)}
+        swapped = {p for w in words for p in word_places(SWAP.get(w, w))} if words & SWAP.keys() else own
+        out["places"].append(sorted(own))
+        out["lost"].append(sorted(own - swapped))
+        out["gained"].append(sorted(swapped - own))
+    return out
 
 
 class Model:
@@ -58,17 +61,14 @@ class Model:
         self.weights, self.bias = weights, bias
 
 
-def train(places: list, other: list, labels: np.ndarray, fair: float = FAIR, seed: int = 0) -> Model:
+def train(places: list, lost: list, gained: list, labels: np.ndarray, fair: float = FAIR, seed: int = 0) -> Model:
     """Adaptive gradient steps on the logistic loss plus `fair` times the squared difference of the two logits."""
     n = len(labels)
     positive = int(labels.sum())
     model = Model(np.zeros(PLACES), float(np.log((positive + 1) / (n - positive + 1))))
     if not n:
         return model
-    own, pairs = Sparse(places), [(i, o) for i, o in enumerate(other) if o is not None]
-    counter = Sparse([o for _, o in pairs])
-    paired = np.full(n, -1)
-    paired[[i for i, _ in pairs]] = np.arange(len(pairs))
+    own, out, into = Sparse(places), Sparse(lost), Sparse(gained)
     squares, bias_squares = np.full(PLACES, 1e-6), 1e-6
     steps, seen = 0, np.zeros(PLACES, np.int64)
     random = np.random.default_rng(seed)
@@ -80,15 +80,10 @@ def train(places: list, other: list, labels: np.ndarray, fair: float = FAIR, see
             at, _, row = own.rows(rows)
             logit = np.bincount(row, w[at], len(rows)) + model.bias
             miss = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[rows]
-            touched, grads = [at], [miss[row]]
-            twins = np.flatnonzero(paired[rows] >= 0)
-            if len(twins) and fair:
-                at2, _, row2 = counter.rows(paired[rows[twins]])
-                gap = logit[twins] - np.bincount(row2, w[at2], len(twins)) - model.bias
-                pull = np.zeros(len(rows))
-                pull[twins] = 2 * fair * np.clip(gap, -10, 10)
-                touched += [at, at2]
-                grads += [pull[row], -pull[twins][row2]]
+            at_out, _, row_out = out.rows(rows)
+            at_into, _, row_into = into.rows(rows)
+            gap = np.bincount(row_out, w[at_out], len(rows)) - np.bincount(row_into, w[at_into], len(rows))
+            touched, grads = [at, at_out], [miss[row], 2 * fair * np.clip(gap, -10, 10)[row_out]]
             place, which = np.unique(np.concatenate(touched), return_inverse=True)
             grad = np.bincount(which, np.concatenate(grads), len(place)) / len(rows)
             squares[place] += grad**2
@@ -134,8 +129,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, fai
     """
     spark = docs.sparkSession
     learn = fold_of(F.col("doc_id"), FOLDS) != HELD_OUT
-    rows = sample(docs, labels, "toxic", learn, most_rows, features, "places array<int>, other array<int>")
-    model = train([r.places for r in rows], [r.other for r in rows], np.array([r.label for r in rows], np.float64), fair)
+    rows = sample(docs, labels, "toxic", learn, most_rows, features, "places array<int>, lost array<int>, gained array<int>")
+    model = train([r.places for r in rows], [r.lost for r in rows], [r.gained for r in rows], np.array([r.label for r in rows], np.float64), fair)
     sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
     state: dict[str, Scorer] = {}
 
