@@ -145,6 +145,37 @@ def test_hot_chunk_beside_unique_lines(docs_of, prose):
     assert all(prose(i, 24).split("\n")[0] in rows[i][0] for i in range(40))
 
 
+def runs_left(rows):
+    """rows (id, text) with ids: what is left of each, and the number of lines that went, by all places of all pairs of lines."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        lines = text.split("\n")
+        full, gone = [k for k, line in enumerate(lines) if line.strip(" ")], set()
+        for a, b in zip(full, full[1:]):
+            pair = tuple(lines[a : b + 1])
+            gone |= set(range(a, b + 1)) if pair in seen else set()
+            seen.add(pair)
+        out[i] = ("\n".join(line for k, line in enumerate(lines) if k not in gone), len(gone))
+    return out
+
+
+def test_runs_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = runs_left([(r.doc_id, r.text or "") for r in docs.collect()])
+    got = {r._id: (r._text or "", r._removed) for r in line_dedup.line_dedup(docs).collect()}
+    assert got == expected and sum(n for _, n in expected.values()) > 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5])
+def test_short_passages_inside_other_texts_go(docs_of, prose, n):
+    passages = [prose(1000 + i, 12 * n) for i in range(30)]
+    texts = [f"{prose(i, 36)}\n{p}\n{prose(100 + i, 36)}" for i, p in enumerate(passages)]
+    texts += [f"{prose(200 + i, 24)}\n\n{p}\n\n{prose(300 + i, 24)}" for i, p in enumerate(passages)]
+    rows = {i: (text, gone) for i, text, gone in cleaned(docs_of(texts))}
+    assert all(rows[i] == (texts[i], 0) for i in range(30))
+    assert all(rows[30 + i][1] == n and not set(p.split("\n")) & set(rows[30 + i][0].split("\n")) for i, p in enumerate(passages))
+
+
 # --- near-duplicates
 
 

@@ -1,8 +1,10 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by runs of whole lines.
 
-A rolling hash over the hashes of two lines decides where a chunk ends, so that chunks find the same borders again
-after an insertion. Chunks of several lines whose hash occurs again are compared, byte by byte, with their first
-occurrence, and removed where they equal it. Only DataFrame functions are used.
+Every two neighbouring lines (blank ones between them aside) are a window, at each place of a text. Windows whose hash
+occurs again are compared, byte by byte, with their first occurrence, and removed where they equal it. So each line
+goes that lies in a run of two lines or more which an earlier place holds, wherever the run begins and ends, and every
+line stays at its first place. The coarser rule of SQL takes chunks between borders that a rolling hash sets instead,
+and loses runs that no whole chunk fits into. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -39,62 +41,80 @@ def _chunks(lines: Column) -> Column:
             lambda e: F.transform(e, lambda end, k: F.struct((F.coalesce(F.get(e, k - 1), F.lit(0)) + 1).alias("start"), (end - F.coalesce(F.get(e, k - 1), F.lit(0))).alias("n"))),
         )
 
-    def many(all_lines: Column) -> Column:
-        hashes = F.transform(all_lines, lambda line: F.conv(F.substring(F.md5(line), 1, DIGITS), 16, 10).cast("long"))
-        return F.filter(_once(hashes, cuts), lambda c: F.size(F.filter(F.slice(all_lines, c["start"], c["n"]), lambda x: F.trim(x) != "")) >= 2)
+    hashes = F.transform(lines, lambda line: F.conv(F.substring(F.md5(line), 1, DIGITS), 16, 10).cast("long"))
+    return F.filter(_once(hashes, cuts), lambda c: F.size(F.filter(F.slice(lines, c["start"], c["n"]), lambda x: F.trim(x) != "")) >= 2)
 
-    return _once(lines, many)
 
+def _windows(lines: Column) -> Column:
+    """(start, n) from each line that isn't blank to the next such line, start from 1."""
+    full = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.trim(F.get(lines, i - 1)) != "")
+    pair = lambda f, i, k: F.struct(i.alias("start"), (F.get(f, k + 1) - i + 1).alias("n"))
+    return _once(full, lambda f: F.transform(F.slice(f, 1, F.greatest(F.size(f) - 1, F.lit(0))), lambda i, k: pair(f, i, k)))
 
-def _text_of(text: Column, start: Column, n: Column) -> Column:
-    return F.array_join(F.slice(F.split(text, "\n", -1), start, n), "\n")
 
-
-def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """Of rows (id, version, text): id, version, start, n of chunks that equal an earlier one.
+def repeated_chunks(rows: DataFrame, runs: bool = True) -> DataFrame:
+    """Of rows (id, version, text): id, version, start, n of windows (chunks, if not `runs`) that equal an earlier one.
 
     Earlier is by id, then by place. Rows of the same id and text are one document.
     """
-    found = F.explode(_chunks(F.split("text", "\n", -1))).alias("c")
-    chunks = cut(
-        rows.select("id", "version", "text", found).select("id", "version", "c.start", "c.n", F.md5(_text_of(F.col("text"), F.col("c.start"), F.col("c.n"))).alias("hash"))
-    )
+
+    def hashed(lines: Column) -> Column:
+        places = _windows(lines) if runs else _chunks(lines)
+        own = F.transform(lines, lambda x: F.xxhash64(x))
+        return _once(own, lambda h: F.transform(places, lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.xxhash64(F.slice(h, c["start"], c["n"])).alias("hash"))))
+
+    found = F.explode(_once(F.split("text", "\n", -1), hashed)).alias("c")
+    chunks = cut(rows.select("id", "version", found).select("id", "version", "c.*"))
     # an aggregate with map-side combination: a chunk in a third of all documents is one row per task
     first = chunks.groupBy("hash").agg(F.min(F.struct("id", "start", "version")).alias("first"), F.max(F.struct("id", "start", "version")).alias("last"))
     first = cut(first.filter("first <> last").select("hash", "first"))
     # both sides are plain scans, so that adaptive execution can split a hot hash
     met = chunks.join(first, "hash").select("id", "version", "start", "n", "hash", (F.struct("id", "start", "version") == F.col("first")).alias("is_first"))
-    places = met.groupBy("id", "version").agg(F.collect_list(F.struct("start", "n", "hash", "is_first")).alias("places"))
+    places = met.groupBy("id", "version").agg(F.collect_set(F.struct("start", "n", "hash", "is_first")).alias("places"))
     on = rows["id"].eqNullSafe(places["id"]) & (rows["version"] == places["version"])
+    body = lambda lines, p: F.array_join(F.slice(lines, p["start"], p["n"]), "\n")
+    bodies = _once(F.split("text", "\n", -1), lambda lines: F.transform("places", lambda p: F.struct(p.alias("p"), body(lines, p).alias("chunk"))))
     texts = cut(
-        rows.join(places, on, "left")
-        .select(rows["id"], rows["version"], rows["text"], F.explode("places").alias("p"))
-        .select("id", "version", "p.*", _text_of(F.col("text"), F.col("p.start"), F.col("p.n")).alias("chunk"))
+        rows.join(places, on)
+        .select(rows["id"], rows["version"], F.explode(bodies).alias("b"))
+        .select("id", "version", "b.p.*", "b.chunk")
         .dropDuplicates(["id", "version", "start"])
     )
     kept = texts.filter("is_first").select("hash", F.col("chunk").alias("kept"))
     return texts.filter("not is_first").join(kept, "hash").filter(F.col("chunk") == F.col("kept")).select("id", "version", "start", "n")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without lines in repeated chunks: columns _id, _text, _lines, _removed and `_row`, the row as it was.
+def _without(lines: Column, gone: Column) -> Column:
+    """`lines` without the places (start, n) of `gone`, of which a later start has a later end."""
+
+    def left(places: Column) -> Column:
+        end = lambda k: F.coalesce(F.get(places, k)["start"] + F.get(places, k)["n"], F.lit(1))
+        gaps = F.transform(places, lambda p, k: F.slice(lines, end(k - 1), F.greatest(p["start"] - end(k - 1), F.lit(0))))
+        return F.flatten(F.concat(gaps, F.array(F.slice(lines, end(F.size(places) - 1), F.size(lines)))))
+
+    return _once(F.array_sort(gone), left)
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: bool = True) -> DataFrame:
+    """`docs` without repeated lines: columns _id, _text, _lines, _removed and `_row`, the row as it was.
 
-    One row per row of `docs`. Of chunks that are equal the one of the lowest id stays (a null id is the lowest),
-    and the first of those in one text. A null or empty text has no chunk and stays. Rows that repeat id and text are the same
-    document: they lose the same lines. Other columns pass through inside `_row`, so none can clash.
+    One row per row of `docs`. A line goes if it lies in a run of two lines or more, blank ones aside, that an earlier
+    place holds too: one in a document of a lower id (a null id is the lowest), or before it in the same text; the places
+    may overlap, so that of a line repeated on and on one is left. With `runs` off, only whole chunks of SQL's rule
+    go. A null or empty text stays. Rows that repeat id and text are the same document: they lose the same lines. Other
+    columns pass through inside `_row`, so none can clash.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    gone = repeated_chunks(rows).groupBy("id", "version").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
+    gone = repeated_chunks(rows, runs).groupBy("id", "version").agg(F.collect_set(F.struct("start", "n")).alias("gone"))
     whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.struct("*").alias("_row"))
     joined = whole.join(gone, whole["id"].eqNullSafe(gone["id"]) & (whole["version"] == gone["version"]), "left").select(whole["id"].alias("_id"), "_row", "gone")
     lines = F.split(F.col("_row")[text_col], "\n", -1)
-    left = F.filter(lines, lambda _, i: ~F.exists("gone", lambda c: (i + 1 >= c["start"]) & (i + 1 < c["start"] + c["n"])))
-    removed = F.aggregate("gone", F.lit(0), lambda a, c: a + c["n"])
-    return joined.select(
+    done = F.when(F.col("gone").isNotNull(), _once(lines, lambda x: _once(_without(x, F.col("gone")), lambda y: F.struct(F.array_join(y, "\n").alias("text"), (F.size(x) - F.size(y)).alias("removed")))))
+    return joined.select("_id", "_row", "gone", F.size(lines).alias("_n"), done.alias("_done")).select(
         "_id",
-        F.when(F.col("gone").isNull(), F.col("_row")[text_col]).otherwise(F.array_join(left, "\n")).alias("_text"),
-        F.coalesce(F.size(lines), F.lit(0)).alias("_lines"),
-        F.coalesce(removed, F.lit(0)).alias("_removed"),
+        F.when(F.col("gone").isNull(), F.col("_row")[text_col]).otherwise(F.col("_done.text")).alias("_text"),
+        F.coalesce("_n", F.lit(0)).alias("_lines"),
+        F.coalesce("_done.removed", F.lit(0)).alias("_removed"),
         "_row",
     )
 

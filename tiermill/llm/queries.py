@@ -48,14 +48,19 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
-def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of each document its lines, those removed, and the MD5 of what is left."""
-    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+def op8_line_dedup(spark: SparkSession, sf_dir: str, runs: bool = False) -> DataFrame:
+    """Of each document its lines, those removed, and the MD5 of what is left, by the chunks of the SQL."""
+    done = line_dedup.line_dedup(table(spark, sf_dir, "documents"), runs=runs)
     return done.select(
         F.col("_id").alias("doc_id"), F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed_lines"), F.md5(F.coalesce("_text", F.lit(""))).alias("text_md5")
     )
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by all repeated runs of lines, as in the pipeline."""
+    return op8_line_dedup(spark, sf_dir, runs=True)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages of the benchmark found, by document."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op6_quality_classifier": op6_quality_classifier,
         "op7_near_dedup": op7_near_dedup,
         "op8_line_dedup": op8_line_dedup,
+        "op8_line_runs": op8_line_runs,
         "op9_decontamination": op9_decontamination,
         "op10_secret_scans": op10_secret_scans,
     }
