@@ -176,6 +176,14 @@ def test_short_passages_inside_other_texts_go(docs_of, prose, n):
     assert all(rows[30 + i][1] == n and not set(p.split("\n")) & set(rows[30 + i][0].split("\n")) for i, p in enumerate(passages))
 
 
+def test_of_a_line_repeated_on_and_on_one_is_left(docs_of, prose):
+    block = ["the same line again"] * 50
+    texts = ["\n".join([prose(1, 24), *block, prose(2, 24)]), "\n".join([prose(3, 24), *block]), "\n\n".join(block), "\n".join(block[:2])]
+    rows = {i: (text, n) for i, text, n in cleaned(docs_of(texts))}
+    assert rows[0] == ("\n".join([prose(1, 24), block[0], prose(2, 24)]), 49) and rows[1] == (prose(3, 24), 50)
+    assert rows[2] == (block[0] + "\n", 97) and rows[3] == ("", 2)
+
+
 # --- near-duplicates
 
 
