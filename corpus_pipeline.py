@@ -48,10 +48,16 @@ def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates; documents without words stay."""
-    docs = docs.select(COLUMNS)
-    gone = near_dedup.near_dedup(docs, SHINGLE, PERCENT, along=ALONG).filter("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+    """One document of each group of near-duplicates; documents without words stay.
+
+    Rows are compared by id and text, so that texts under one id, or under none, are documents of their own; of rows that repeat
+    both one stays.
+    """
+    docs = docs.select(*COLUMNS, F.struct(F.col("doc_id").alias("i"), quality_rules.version_of(F.col("text")).alias("v")).alias("_node"))
+    gone = near_dedup.near_dedup(docs, SHINGLE, PERCENT, along=ALONG, id_col="_node").filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.filter(has_words).dropDuplicates(["_node"])
+    return rows.join(gone, rows["_node"] == F.col("_gone"), "left_anti").select(COLUMNS).union(docs.filter(~has_words).select(COLUMNS))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -208,3 +208,11 @@ def test_stage_edges(spark, edges, sf_dir):
     for rows in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, rows, sf_dir).collect()
+
+
+def test_texts_of_one_id_and_of_none_are_documents(spark, prose, sf_dir):
+    rows = [(9, prose(1)), (9, prose(2)), (3, prose(1)), (10, prose(3)), (10, prose(4)), (12, prose(4)), (7, prose(5)), (7, prose(5)), (None, prose(6)), (None, prose(6)), (None, prose(7)), (11, prose(7)), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(i, t, None, "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, sf_dir).collect()]
+    expected = [(9, prose(2)), (3, prose(1)), (10, prose(3)), (10, prose(4)), (7, prose(5)), (None, prose(6)), (None, prose(7)), (8, ""), (8, "")]
+    assert sorted(left, key=str) == sorted(expected, key=str)
