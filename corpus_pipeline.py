@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tiermill.llm import bpe, decontamination, line_dedup, near_dedup, quality_rules
+from tiermill.llm.lineage import cut
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Near-duplicates: words in a shingle, least similarity in percent, and bands in each collection.
@@ -82,8 +83,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each on the rows of the one before."""
+    """All stages over the documents, each on what the one before wrote; the last one's rows are returned."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    *before, (_, last) = STAGES
+    for _, stage in before:
+        docs = cut(stage(spark, docs, sf_dir))
+    return last(spark, docs, sf_dir)

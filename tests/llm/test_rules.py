@@ -216,3 +216,8 @@ def test_texts_of_one_id_and_of_none_are_documents(spark, prose, sf_dir):
     left = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, sf_dir).collect()]
     expected = [(9, prose(2)), (3, prose(1)), (10, prose(3)), (10, prose(4)), (7, prose(5)), (None, prose(6)), (None, prose(7)), (8, ""), (8, "")]
     assert sorted(left, key=str) == sorted(expected, key=str)
+
+
+def test_stages_read_what_the_one_before_wrote(spark, sf_dir):
+    read = corpus_pipeline.run(spark, sf_dir).inputFiles()
+    assert read and not any(sf_dir in f for f in read)
