@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -144,6 +145,15 @@ def test_leaks_without_broadcast(docs_of, benchmark, monkeypatch):
     assert decontamination.leaks(docs_of(texts), benchmark).collect() == expected and len(expected) == 1
 
 
+@pytest.mark.parametrize(("n", "k"), [(8, 1), (10, 2), (15, 3)])
+def test_every_pattern_of_substitutions_is_found(docs_of, spark, n, k):
+    patterns = list(itertools.combinations(range(n), k))
+    texts = [" ".join("other" if i in gone else f"z{i}" for i in range(n)) for gone in patterns]
+    one = spark.createDataFrame([(1, " ".join(f"z{i}" for i in range(n)))], "item_id long, text string")
+    got = {r.doc_id: r.matched_tokens for r in decontamination.leaks(docs_of(texts), one).collect()}
+    assert got == dict.fromkeys(range(len(patterns)), n - k)
+
+
 def test_leak_edges(edges, benchmark):
     assert decontamination.leaks(edges, benchmark).count() == 0
     assert decontamination.decontaminate(edges, benchmark).count() == 9

@@ -14,6 +14,8 @@ from tiermill.llm.line_dedup import _once
 
 #: Fixed masks over neighbouring tokens.
 MASKS = ("11010111", "1110010111")
+#: With these, each passage of 8 tokens at least meets a seed for every pattern of substitutions that SHARE allows. SQL goes without.
+ALL_MASKS = (*MASKS, "110100011", "111011")
 #: An overlap counts if this many tokens in a row (all of a shorter passage) have SHARE percent of equal ones at least.
 WINDOW, SHARE = 15, 80
 #: Seeds of the benchmark up to this number (of 24 bytes each) are sent to all executors; more are joined by a shuffle.
@@ -32,16 +34,16 @@ def _windows(hashes: Column, number: int, mask: str) -> Column:
     return F.transform(every, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(number), *[F.get(hashes, i + p) for p in places]).alias("seed")))
 
 
-def _seeds(text: Column) -> Column:
+def _seeds(text: Column, masks: tuple[str, ...]) -> Column:
     """(pos, seed) of all windows, pos from 0."""
 
     def of(hashes: Column) -> Column:
-        return F.concat(*(_windows(hashes, number, mask) for number, mask in enumerate(MASKS)))
+        return F.concat(*(_windows(hashes, number, mask) for number, mask in enumerate(masks)))
 
     return _once(F.transform(tokens(text), lambda w: F.xxhash64(w)), of)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = ALL_MASKS) -> DataFrame:
     """doc_id, item_id, item_tokens, matched_tokens: passages of the benchmark that a document holds.
 
     matched_tokens is the number of equal tokens in the best position that passes. Null and empty texts, and
@@ -50,11 +52,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version")).filter("text is not null")
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("passage")).filter("passage is not null").distinct()
-    seeds = items.select("item_id", F.size(tokens(F.col("passage"))).alias("n"), F.explode(_seeds(F.col("passage"))).alias("s")).select("item_id", "n", F.col("s.pos").alias("item_pos"), "s.seed").distinct()
+    seeds = items.select("item_id", F.size(tokens(F.col("passage"))).alias("n"), F.explode(_seeds(F.col("passage"), masks)).alias("s")).select("item_id", "n", F.col("s.pos").alias("item_pos"), "s.seed").distinct()
     items = items.select(F.col("item_id").alias("_item"), tokens(F.col("passage")).alias("item"))
     if seeds.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
-    windows = docs.select("doc_id", "version", F.explode(_seeds(F.col("text"))).alias("w")).select("doc_id", "version", F.col("w.pos").alias("pos"), F.col("w.seed").alias("seed"))
+    windows = docs.select("doc_id", "version", F.explode(_seeds(F.col("text"), masks)).alias("w")).select("doc_id", "version", F.col("w.pos").alias("pos"), F.col("w.seed").alias("seed"))
     hits = windows.join(seeds, "seed").select("doc_id", "version", "item_id", "n", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     placed = hits.groupBy(F.col("doc_id").alias("_doc"), F.col("version").alias("_version")).agg(F.collect_set(F.struct("item_id", "n", "shift")).alias("places"))
     # only the tokens that lie beside a passage go on
