@@ -154,6 +154,13 @@ def test_every_pattern_of_substitutions_is_found(docs_of, spark, n, k):
     assert got == dict.fromkeys(range(len(patterns)), n - k)
 
 
+def test_only_the_leaking_text_of_an_id_goes(docs_of, benchmark, prose):
+    bad = " ".join(f"item{i}" for i in range(30))
+    rows = [(None, bad), (None, prose(1)), (None, None), (5, bad), (5, prose(2)), (6, prose(3))]
+    left = [(r.doc_id, r.text) for r in decontamination.decontaminate(docs_of([(i, t, "web") for i, t in rows]), benchmark).collect()]
+    assert sorted(left, key=str) == sorted([rows[k] for k in (1, 2, 4, 5)], key=str)
+
+
 def test_leak_edges(edges, benchmark):
     assert decontamination.leaks(edges, benchmark).count() == 0
     assert decontamination.decontaminate(edges, benchmark).count() == 9

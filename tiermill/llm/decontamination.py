@@ -43,13 +43,8 @@ def _seeds(text: Column, masks: tuple[str, ...]) -> Column:
     return _once(F.transform(tokens(text), lambda w: F.xxhash64(w)), of)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = ALL_MASKS) -> DataFrame:
-    """doc_id, item_id, item_tokens, matched_tokens: passages of the benchmark that a document holds.
-
-    matched_tokens is the number of equal tokens in the best position that passes. Null and empty texts, and
-    passages shorter than the shortest mask, give nothing. A passage or document that occurs in several rows counts
-    once per id and text; null ids are ids like others. Other columns are not read.
-    """
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = ALL_MASKS) -> DataFrame:
+    """What `leaks` gives, and the version of the text: its xxhash64."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version")).filter("text is not null")
     items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("passage")).filter("passage is not null").distinct()
     seeds = items.select("item_id", F.size(tokens(F.col("passage"))).alias("n"), F.explode(_seeds(F.col("passage"), masks)).alias("s")).select("item_id", "n", F.col("s.pos").alias("item_pos"), "s.seed").distinct()
@@ -63,8 +58,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     beside = F.transform("places", lambda p: F.struct(p["item_id"].alias("_item"), F.least(p["shift"], F.lit(0)).alias("shift"), F.slice("words", F.greatest(p["shift"], F.lit(0)) + 1, p["n"]).alias("words")))
     met = (
         docs.join(placed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("version") == F.col("_version")))
-        .select("doc_id", tokens(F.col("text")).alias("words"), "places")
-        .select("doc_id", F.explode(beside).alias("p"))
+        .select("doc_id", "version", tokens(F.col("text")).alias("words"), "places")
+        .select("doc_id", "version", F.explode(beside).alias("p"))
     )
     small = items.limit(BROADCAST_SEEDS // 50 + 1).count() <= BROADCAST_SEEDS // 50
     paired = met.join(F.broadcast(items) if small else items, F.col("p._item").eqNullSafe(F.col("_item")))
@@ -73,16 +68,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     passes = lambda f: F.exists(
         F.sequence(F.lit(1), F.size(f) - width + 1), lambda s: F.aggregate(F.slice(f, s, width), F.lit(0), lambda a, x: a + x) * 100 >= width * SHARE
     )
-    found = paired.select("doc_id", "_item", "item", flags.alias("flags")).filter(passes(F.col("flags")))
-    return found.groupBy("doc_id", F.col("_item").alias("item_id")).agg(
+    found = paired.select("doc_id", "version", "_item", "item", flags.alias("flags")).filter(passes(F.col("flags")))
+    return found.groupBy("doc_id", "version", F.col("_item").alias("item_id")).agg(
         F.max(F.size("item")).alias("item_tokens"), F.max(F.aggregate("flags", F.lit(0), lambda a, x: a + x)).alias("matched_tokens")
     )
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", masks: tuple[str, ...] = ALL_MASKS) -> DataFrame:
+    """doc_id, item_id, item_tokens, matched_tokens: passages of the benchmark that a document holds.
+
+    matched_tokens is the number of equal tokens in the best position that passes. Null and empty texts, and
+    passages shorter than the shortest mask, give nothing. A passage or document that occurs in several rows counts
+    once per id and text; null ids are ids like others. Other columns are not read.
+    """
+    found = _found(docs, benchmark, id_col, text_col, item_col, item_text, masks)
+    return found.groupBy("doc_id", "item_id").agg(F.max("item_tokens").alias("item_tokens"), F.max("matched_tokens").alias("matched_tokens"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows whose id holds a passage of the benchmark; all columns stay. Null ids are an id."""
-    bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leaking")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_leaking")), "left_anti")
+    """`docs` without the rows whose text holds a passage of the benchmark, by id and text; all columns stay."""
+    bad = _found(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leaking"), F.col("version").alias("_leaking_version")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_leaking")) & (F.xxhash64(docs[text_col]) == F.col("_leaking_version")), "left_anti")
 
 
 def _sql_seeds(table: str, key: str, mask: str) -> str:
