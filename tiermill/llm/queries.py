@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermill.llm import bpe, decontamination, line_dedup, near_dedup, quality_classifier, quality_rules, secret_scans, substring_dedup, token_counts, toxicity
+from tiermill.llm import (
+    bpe,
+    decontamination,
+    filter_audit,
+    line_dedup,
+    near_dedup,
+    neighbours,
+    quality_classifier,
+    quality_rules,
+    secret_scans,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +89,18 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.secret_scans(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -89,8 +115,19 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": op9_decontamination,
         "op9_all_masks": op9_all_masks,
         "op10_secret_scans": op10_secret_scans,
+        "op11_filter_audit": op11_filter_audit,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_neighbours": op13_neighbours,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": substring_dedup.SQL, "op5_quality_rules": quality_rules.SQL, "op7_near_dedup": near_dedup.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontamination.SQL}
+    return {
+        "op4_substring_dedup": substring_dedup.SQL,
+        "op5_quality_rules": quality_rules.SQL,
+        "op7_near_dedup": near_dedup.SQL,
+        "op8_line_dedup": line_dedup.SQL,
+        "op9_decontamination": decontamination.SQL,
+        "op11_filter_audit": filter_audit.SQL,
+        "op12_vector_codes": vector_codes.SQL,
+    }
