@@ -105,7 +105,7 @@ class PipelineConfig:
             "gold": self.gold_db,
             "metrics": self.ops_db,
             "run_log": self.ops_db,
-            "offsets": self.ops_db,
+            "ingest_ranges": self.ops_db,
             "stream_batches": self.ops_db,
         }[layer]
 
@@ -116,7 +116,7 @@ class PipelineConfig:
             "gold": self.gold_table,
             "metrics": "metrics",
             "run_log": "run_log",
-            "offsets": "offsets",
+            "ingest_ranges": "ingest_ranges",
             "stream_batches": "stream_batches",
         }[layer]
 
@@ -140,13 +140,18 @@ class PipelineConfig:
             "gold": schemas.GOLD,
             "metrics": schemas.METRICS_BY_DATE,
             "run_log": schemas.RUN_LOG,
-            "offsets": schemas.OFFSETS,
+            "ingest_ranges": schemas.INGEST_RANGES,
             "stream_batches": schemas.STREAM_BATCHES,
         }[layer]
 
+    def table_schema(self, layer: str) -> StructType:
+        """The layer's columns as its table has them: bronze also tells the run that wrote a row."""
+        columns = self.schema(layer)
+        return StructType([*columns.fields, schemas.INGEST_RUN]) if layer == "bronze" else columns
+
     def partition_by(self, layer: str) -> tuple[str, ...]:
         by_date = ("date",)
-        return {"bronze": by_date, "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date}.get(layer, ())
+        return {"bronze": (*by_date, schemas.INGEST_RUN.name), "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date}.get(layer, ())
 
     def checkpoint(self, query: str) -> str:
         """Offset folder of one streaming query; must lie on storage all executors share."""

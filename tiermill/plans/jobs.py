@@ -11,11 +11,14 @@ from tiermill.config import PipelineConfig, configure_session, sized_shuffles
 from tiermill.operators.cleaning import COPIES, dedup, drop_nulls
 from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, add_date_if_missing, parse_messages
+from tiermill.plans import ingest_ledger as ledger
 from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
-from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
+from tiermill.schemas import INGEST_RUN
+from tiermill.sinks.tables import ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import bytes_to_read, read_layer
-from tiermill.sources.messages import end_offsets, has_offsets, keep_offsets, last_offsets, read_messages
+from tiermill.sources.messages import available, read_messages, read_ranges
+from tiermill.sources.ranges import without
 
 
 def ingest_bronze(
@@ -28,9 +31,11 @@ def ingest_bronze(
 ) -> Run:
     """Topic to bronze, appended.
 
-    With `resume`, the run starts in each topic partition where the last one ended, so that a run over
-    the same topic adds only what is new; each run keeps where it ends, for which the offsets in hand are read once
-    (two columns). Offsets are JSON as a topic reader takes them, the end exclusive.
+    With `resume`, a run first settles what an earlier one that broke off has left, and then reads exactly the ranges
+    that no run has covered, so that each message is in bronze once: what came since, and what earlier runs left out before
+    or between theirs. The offsets in hand are found by a scan of two columns, or the listing of a landing folder.
+    Offsets are JSON as a topic reader takes them, the end exclusive; over Kafka a run that is to resume, or to be resumed
+    after, needs `ending_offsets`.
 
     Map-only: a topic is about in time order, so a task meets few dates and nothing is
     shuffled. For a backfill out of order, `by_date` groups the rows first.
@@ -38,25 +43,37 @@ def ingest_bronze(
     configure_session(spark)
     ensure_table(spark, cfg, "bronze")
     with logged_run(spark, cfg, "ingest_bronze") as run:
+        ranges = available(spark, cfg, starting_offsets, ending_offsets)
+        earlier: dict[str, list[str]] = {}
         if resume:
-            starting_offsets = last_offsets(spark, cfg) or starting_offsets
-        if has_offsets(cfg):
-            ending_offsets = end_offsets(spark, cfg, starting_offsets, ending_offsets)
-        messages = read_messages(spark, cfg, starting_offsets, ending_offsets)
-        bronze = add_date(parse_messages(messages, cfg.keep_lineage), cfg.ts_unit)
-        if by_date:
-            bronze = group_for_write(bronze, "date")
-        # What no dated run will meet again: messages that are no event, and events without a date.
-        counts = write_observed(bronze, lambda df: append(df, cfg, "bronze"), undated=F.count_if(F.col("date").isNull()))
+            if ranges is None:
+                raise ValueError("a resumed ingest over Kafka needs ending_offsets: the topic's end isn't known without reading it")
+            earlier = ledger.settle(spark, cfg, lambda run_id, messages: write_run(messages, cfg, run_id, by_date))
+            ranges = without(ranges, ledger.covered(spark, cfg))
+        if ranges is None:
+            counts = write_run(read_messages(spark, cfg, starting_offsets, ending_offsets), cfg, run.run_id, by_date)
+        elif ranges:
+            ledger.ensure(spark, cfg)
+            with ledger.intent(spark, cfg, run.run_id, ranges):
+                counts = write_run(read_ranges(spark, cfg, ranges), cfg, run.run_id, by_date)
+        else:
+            counts = {"rows": 0, "undated": 0, "dates": [], "first_date": None, "last_date": None}
         run.rows_in = run.rows_out = counts["rows"]
         run.rows_rejected = counts["undated"]
-        run.dates = counts["dates"]
-        if has_offsets(cfg):
-            keep_offsets(spark, cfg, run.run_id, ending_offsets)
+        run.dates = sorted({d for d in counts["dates"] if d is not None}.union(*earlier.values()))
         run.first_date, run.last_date = counts["first_date"], counts["last_date"]
     return run
 
 
+def write_run(messages: DataFrame, cfg: PipelineConfig, run_id: str, by_date: bool = False) -> dict:
+    """A run's rows into partitions of its own, in place of what it may have left there."""
+    bronze = add_date(parse_messages(messages, cfg.keep_lineage), cfg.ts_unit).withColumn(INGEST_RUN.name, F.lit(run_id))
+    if by_date:
+        bronze = group_for_write(bronze, "date")
+    # What no dated run will meet again: messages that are no event, and events without a date.
+    return write_observed(bronze, lambda df: overwrite_partitions(df, cfg, "bronze"), undated=F.count_if(F.col("date").isNull()))
+
+
 def bronze_to_silver(
     spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None, full_refresh: bool = False, dates: Sequence | None = None
 ) -> Run:

@@ -30,6 +30,8 @@ LINEAGE = T.StructType(
         T.StructField("_ingest_ts", T.TimestampType()),
     ]
 )
+# The run that wrote a bronze row: a partition column, so that a run's rows can be told and replaced.
+INGEST_RUN = T.StructField("ingest_run", T.StringType())
 # The partition column stays last, as positional inserts need it.
 BRONZE_WITH_LINEAGE = T.StructType([*EVENT.fields, *LINEAGE.fields, BRONZE["date"]])
 
@@ -98,12 +100,15 @@ STREAM_BATCHES = T.StructType(
     ]
 )
 
-# For each ingest run and topic partition, the offset at which the next run starts.
-OFFSETS = T.StructType(
+# What each ingest run reads: an entry "open" per range before its rows are written, one "done" without a range after.
+INGEST_RANGES = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
+        T.StructField("event", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("part", T.StringType()),
+        T.StructField("first_offset", T.LongType()),
         T.StructField("next_offset", T.LongType()),
+        T.StructField("at", T.TimestampType()),
     ]
 )

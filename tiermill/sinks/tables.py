@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
+from tiermill.schemas import INGEST_RUN
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -19,7 +20,7 @@ def create_schema(spark: SparkSession, cfg: PipelineConfig, layer: str) -> None:
 
 def create_table(spark: SparkSession, cfg: PipelineConfig, layer: str, location: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS with the layer's own columns and partitioning."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cfg.schema(layer).fields)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cfg.table_schema(layer).fields)
     statement = f"CREATE TABLE IF NOT EXISTS {cfg.table_name(layer)} ({columns}) USING {cfg.table_format}"
     if cfg.partition_by(layer):
         statement += f" PARTITIONED BY ({', '.join(cfg.partition_by(layer))})"
@@ -93,9 +94,12 @@ def show_tables(spark: SparkSession, cfg: PipelineConfig, layer: str) -> DataFra
 def _in_table_order(df: DataFrame, name: str) -> DataFrame:
     """insertInto goes by position, and a file table has its partition columns last.
 
-    A column that the table lacks is an error: it would be lost without a word.
+    A column that the table lacks is an error: it would be lost without a word. Rows that come from no ingest run have
+    none.
     """
     columns = df.sparkSession.table(name).columns
+    if INGEST_RUN.name in columns and INGEST_RUN.name not in df.columns:
+        df = df.withColumn(INGEST_RUN.name, F.lit(None).cast(INGEST_RUN.dataType))
     if more := sorted(set(df.columns) - set(columns)):
         raise ValueError(f"table {name} has no columns {more}")
     return df.select(*columns)

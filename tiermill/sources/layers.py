@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.predicates import between_dates, on_dates
+from tiermill.schemas import INGEST_RUN
 
 
 def read_layer(spark: SparkSession, cfg: PipelineConfig, layer: str, date_from=None, date_to=None, dates: Iterable | None = None) -> DataFrame:
-    """A layer's table; a date range, or a list of days, reads only those partitions.
+    """A layer's rows; a date range, or a list of days, reads only those partitions.
 
     A session remembers which files a file table had; a stream or another application may have
     added some since, so the memory is dropped first. Only the partitions read are listed anew.
     """
     if not cfg.is_v2:
         spark.catalog.refreshTable(cfg.table_name(layer))
-    df = spark.table(cfg.table_name(layer))
+    df = spark.table(cfg.table_name(layer)).drop(INGEST_RUN.name)
     if dates is not None:
         df = df.where(on_dates(dates))
     if date_from is None and date_to is None:
@@ -51,4 +52,4 @@ def read_layer_stream(spark: SparkSession, cfg: PipelineConfig, layer: str, max_
     reader = spark.readStream
     if max_per_trigger and not cfg.is_v2:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    return reader.table(cfg.table_name(layer))
+    return reader.table(cfg.table_name(layer)).drop(INGEST_RUN.name)

@@ -4,19 +4,24 @@ Three message formats:
 
 * ``kafka``: the topic itself;
 * ``parquet``: a topic archive that holds the seven columns;
-* ``text``: a landing folder with one JSON message per line (it has no offsets, so those are null).
+* ``text``: a landing folder with one JSON message per line. Read by ranges, a line's offset is its byte position in its
+  file; a plain scan or stream leaves it null.
+
+What a scan reads can be given as ranges of offsets by part: a topic partition, or a file of the landing folder.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.schemas import MESSAGE
-from tiermill.sinks.tables import append, ensure_table
+from tiermill.sources import landing
+from tiermill.sources.ranges import Ranges, as_offsets, bounded, layers, merged, offsets_of, rows_of
 
 
 def read_messages(
@@ -34,69 +39,87 @@ def read_messages(
             .option("endingOffsets", ending_offsets or cfg.ending_offsets)
             .load()
         )
-    starts, ends = (_offsets_of(cfg, x) for x in (starting_offsets, ending_offsets))
+    starts, ends = (offsets_of(cfg.topic, x) for x in (starting_offsets, ending_offsets))
     if cfg.message_format == "parquet":
-        messages = spark.read.schema(MESSAGE).parquet(_path(cfg))
-        return messages.where(_within(starts, ends))
+        return _archive(spark, cfg).where(_within(starts, ends))
     path = _path(cfg)
     if starts or ends:
-        raise ValueError("a landing folder of text lines has no offsets to read by")
+        return read_ranges(spark, cfg, available(spark, cfg, starting_offsets, ending_offsets))
     return _lines_as_messages(spark.read.text(path), cfg)
 
 
-def has_offsets(cfg: PipelineConfig) -> bool:
-    """Whether a bounded scan can resolve its own end. A topic's reader would have to read all messages for that."""
-    return cfg.message_format == "parquet"
-
+def available(spark: SparkSession, cfg: PipelineConfig, starting_offsets: str | None = None, ending_offsets: str | None = None) -> Ranges | None:
+    """What is there to read within the given offsets; None where only reading everything would tell (a topic of unknown end).
 
-def _offsets_of(cfg: PipelineConfig, offsets: str | None) -> dict[int, int]:
-    """Offset by partition, from JSON {topic: {partition: offset}}; -2 and -1 are the ends and set no bound."""
-    if offsets in (None, "earliest", "latest"):
-        return {}
-    by_topic = json.loads(offsets)
-    if set(by_topic) - {cfg.topic}:
-        raise ValueError(f"offsets of another topic than {cfg.topic!r}: {sorted(by_topic)}")
-    return {int(p): int(o) for p, o in by_topic.get(cfg.topic, {}).items() if int(o) >= 0}
+    An archive is asked for two columns, a landing folder for its listing. Over Kafka the caller gives the ends, and a
+    start for each partition that doesn't begin at 0.
+    """
+    starts, ends = (offsets_of(cfg.topic, x) for x in (starting_offsets, ending_offsets))
+    if cfg.message_format == "kafka":
+        return merged((p, starts.get(p, 0), end) for p, end in ends.items()) if ends else None
+    if cfg.message_format == "parquet":
+        seen = _archive(spark, cfg).where(_within(starts, ends) & F.col("offset").isNotNull()).groupBy("partition").agg(F.min("offset").alias("first"), (F.max("offset") + 1).alias("following"))
+        return merged((str(r["partition"]), r["first"], r["following"]) for r in seen.collect())
+    there = landing.available(_path(cfg))
+    if unknown := sorted((set(starts) | set(ends)) - set(there)):
+        raise ValueError(f"the landing folder has no file {unknown[0]!r}: offsets are byte positions by file")
+    return bounded(there, starts, ends)
 
 
-def _within(starts: dict[int, int], ends: dict[int, int]) -> Column:
+def read_ranges(spark: SparkSession, cfg: PipelineConfig, ranges: Ranges) -> DataFrame:
+    """The messages in the ranges, and no others."""
+    if cfg.message_format == "kafka":
+        # a reader of the topic takes one range per partition
+        reads = [spark.read.format("kafka").options(**options).load() for options in kafka_reads(cfg, ranges)]
+        return reduce(DataFrame.unionByName, reads) if reads else spark.createDataFrame([], MESSAGE)
+    if cfg.message_format == "parquet":
+        inside = F.lit(False)
+        for part, own in ranges.items():
+            offset = F.col("offset")
+            inside = inside | ((F.col("partition") == int(part)) & reduce(Column.__or__, [(offset >= a) & (offset < b) for a, b in own]))
+        return _archive(spark, cfg).where(inside)
+    landing.register(spark)
+    lines = spark.read.format(landing.NAME).option("path", _path(cfg)).option("topic", cfg.topic).option("ranges", json.dumps(rows_of(ranges))).load()
+    return lines.select(*MESSAGE.fieldNames())
+
+
+def kafka_reads(cfg: PipelineConfig, ranges: Ranges) -> list[dict[str, str]]:
+    """Options of the reads that together cover the ranges: each takes its partitions alone, with a start and an end."""
+    common = {k: v for k, v in _subscription(cfg).items() if k != "subscribe"}
+    return [
+        common
+        | {
+            "assign": json.dumps({cfg.topic: sorted(map(int, layer))}),
+            "startingOffsets": as_offsets(cfg.topic, {p: a for p, (a, _) in layer.items()}),
+            "endingOffsets": as_offsets(cfg.topic, {p: b for p, (_, b) in layer.items()}),
+        }
+        for layer in layers(ranges)
+    ]
+
+
+def _archive(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    return spark.read.schema(MESSAGE).parquet(_path(cfg))
+
+
+def _within(starts: dict[str, int], ends: dict[str, int]) -> Column:
     """From the start on and before the end of each partition; both are pushed into the scan.
 
     Where ends are given, partitions without one are left out: they came later.
     """
     partition, offset = F.col("partition"), F.col("offset")
-    inside = partition.isin(list(ends)) if ends else F.lit(True)
+    inside = partition.isin(list(map(int, ends))) if ends else F.lit(True)
     for bounds, fits in ((starts, offset.__ge__), (ends, offset.__lt__)):
         for p, bound in bounds.items():
-            inside = inside & ((partition != p) | fits(bound))
+            inside = inside & ((partition != int(p)) | fits(bound))
     return inside
 
 
-def end_offsets(spark: SparkSession, cfg: PipelineConfig, starting_offsets: str | None = None, ending_offsets: str | None = None) -> str:
-    """Where a scan of what is there now ends, as JSON; two columns are read."""
-    seen = read_messages(spark, cfg, starting_offsets, ending_offsets).groupBy("partition").agg((F.max("offset") + 1).alias("end"))
-    known = _offsets_of(cfg, starting_offsets) | {r["partition"]: r["end"] for r in seen.collect()}
-    return json.dumps({cfg.topic: {str(p): known[p] for p in sorted(known)}})
+def read_message_stream(spark: SparkSession, cfg: PipelineConfig, max_per_trigger: int | None = None, positions: bool = False) -> DataFrame:
+    """The same scan as a stream; `max_per_trigger` bounds a micro-batch (offsets or files).
 
-
-def keep_offsets(spark: SparkSession, cfg: PipelineConfig, run_id: str, offsets: str) -> None:
-    """Remember where a run ended."""
-    ensure_table(spark, cfg, "offsets")
-    rows = [(run_id, cfg.topic, p, o) for p, o in _offsets_of(cfg, offsets).items()]
-    if rows:
-        append(spark.createDataFrame(rows, cfg.schema("offsets")).coalesce(1), cfg, "offsets")
-
-
-def last_offsets(spark: SparkSession, cfg: PipelineConfig) -> str | None:
-    """Where the next run starts, as JSON: the farthest that a run has come in each partition."""
-    ensure_table(spark, cfg, "offsets")
-    kept = spark.table(cfg.table_name("offsets")).where(F.col("topic") == cfg.topic)
-    ends = {str(r["partition"]): r["end"] for r in kept.groupBy("partition").agg(F.max("next_offset").alias("end")).collect()}
-    return json.dumps({cfg.topic: ends}) if ends else None
-
-
-def read_message_stream(spark: SparkSession, cfg: PipelineConfig, max_per_trigger: int | None = None) -> DataFrame:
-    """The same scan as a stream; `max_per_trigger` bounds a micro-batch (offsets or files)."""
+    With `positions`, lines of a landing folder have offsets and a file that grows is read on; micro-batches are then
+    unbounded. The two kinds of stream keep different offsets: a checkpoint belongs to the one that began it.
+    """
     reader = spark.readStream
     if cfg.message_format == "kafka":
         reader = reader.format("kafka").options(**_subscription(cfg)).option("startingOffsets", cfg.starting_offsets)
@@ -107,6 +130,9 @@ def read_message_stream(spark: SparkSession, cfg: PipelineConfig, max_per_trigge
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     if cfg.message_format == "parquet":
         return reader.schema(MESSAGE).parquet(_path(cfg))
+    if positions:
+        landing.register(spark)
+        return reader.format(landing.NAME).option("path", _path(cfg)).option("topic", cfg.topic).load().select(*MESSAGE.fieldNames())
     return _lines_as_messages(reader.text(_path(cfg)), cfg)
 
 

@@ -8,6 +8,7 @@ by micro-batch through the same table writes as the jobs, so that batch and stre
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tiermill.functions.event_time import event_timestamp
 from tiermill.operators.cleaning import dedup, drop_nulls
 from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, parse_messages
-from tiermill.schemas import DEDUP_KEYS, MEASURES, SILVER, STREAM_BATCHES
+from tiermill.schemas import DEDUP_KEYS, INGEST_RUN, MEASURES, SILVER, STREAM_BATCHES
 from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import read_layer
 
@@ -26,14 +27,20 @@ _ONCE: Mapping = {"availableNow": True}
 
 
 def stream_bronze(messages: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
-    """Messages to bronze, appended.
+    """Messages to bronze, each once.
 
     A ledger names the micro-batches that are in the table; one that comes again after a failure is passed
-    over. Where the failure falls between the append and its entry, the batch is there twice: silver drops copies.
+    over. Each has partitions of its own there: where the failure falls between the write and its entry, the batch that
+    comes again replaces what it left.
     """
     ensure_table(messages.sparkSession, cfg, "bronze")
     bronze = add_date(parse_messages(messages, cfg.keep_lineage), cfg.ts_unit)
-    return _each_batch(bronze, cfg, "stream_bronze", trigger, _once_each(cfg, "stream_bronze", lambda batch: append(batch, cfg, "bronze")))
+    name = md5(cfg.checkpoint("stream_bronze").encode()).hexdigest()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        overwrite_partitions(batch.withColumn(INGEST_RUN.name, F.lit(f"{name}-{batch_id}")), cfg, "bronze")
+
+    return _each_batch(bronze, cfg, "stream_bronze", trigger, _once_each(cfg, "stream_bronze", write))
 
 
 def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE) -> StreamingQuery:
@@ -88,7 +95,7 @@ def stream_silver_stateful(
         rows = rows.dropDuplicatesWithinWatermark([*DEDUP_KEYS, "_salt"])
     rows = rows.dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
     name = "stream_silver_stateful"
-    return _each_batch(rows.select(*SILVER.fieldNames()), cfg, name, trigger, _once_each(cfg, name, lambda batch: append(batch, cfg, "silver")))
+    return _each_batch(rows.select(*SILVER.fieldNames()), cfg, name, trigger, _once_each(cfg, name, lambda batch, _: append(batch, cfg, "silver")))
 
 
 def hourly_windows(silver: DataFrame, delay: str = "2 hours", ts_unit: str = "ms") -> DataFrame:
@@ -121,7 +128,7 @@ def stream_gold_hourly(silver: DataFrame, cfg: PipelineConfig, trigger: Mapping
     return _each_batch(silver, cfg, "stream_gold_hourly", trigger, redo)
 
 
-def _once_each(cfg: PipelineConfig, query: str, write: Callable[[DataFrame], None]) -> Callable[[DataFrame, int], None]:
+def _once_each(cfg: PipelineConfig, query: str, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """`write` for micro-batches that the ledger doesn't name yet. Batches are counted per checkpoint folder."""
     place = cfg.checkpoint(query)
 
@@ -130,7 +137,7 @@ def _once_each(cfg: PipelineConfig, query: str, write: Callable[[DataFrame], Non
         ensure_table(spark, cfg, "stream_batches")
         done = spark.table(cfg.table_name("stream_batches")).where((F.col("checkpoint") == place) & (F.col("batch_id") == batch_id))
         if done.isEmpty():
-            write(batch)
+            write(batch, batch_id)
             entry = {"checkpoint": F.lit(place), "batch_id": F.lit(batch_id), "written_at": F.current_timestamp()}
             append(spark.range(0, 1, 1, 1).select(*[entry[f.name].cast(f.dataType).alias(f.name) for f in STREAM_BATCHES.fields]), cfg, "stream_batches")
 

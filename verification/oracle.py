@@ -313,6 +313,9 @@ def oracle_sql() -> dict[str, str]:
                   WHEN 2 THEN "offset" >= 100 AND "offset" < 800 ELSE "offset" >= 20 AND "offset" < 90 END
             GROUP BY partition""",
         "ingest_twice_adds_nothing": f"SELECT {_DATED_ROWS} FROM all_bronze",
+        "ingest_text_twice": f"SELECT {_DATED_ROWS} FROM bronze",
+        "ingest_gap_then_resume": f"SELECT {_DATED_ROWS} FROM all_bronze",
+        "ingest_after_crash": f"SELECT {_DATED_ROWS} FROM all_bronze",
         "storage_usage": "SELECT CAST(date AS VARCHAR) AS date, true AS has_files, true AS has_bytes FROM silver GROUP BY date",
     }
     over_counts = {

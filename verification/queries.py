@@ -16,12 +16,13 @@ from pyspark.sql import types as T
 from tiermill.config import LAYERS, configure_session
 from tiermill.functions import thresholds
 from tiermill.operators import analysis, cleaning, counts, hourly, parsing, quality, series, storage
-from tiermill.plans import jobs, maintenance, monitoring
+from tiermill.plans import ingest_ledger, jobs, maintenance, monitoring
 from tiermill.sinks import messages as message_sinks
 from tiermill.sinks import tables
 from tiermill.sources import layers as layer_scans
 from tiermill.sources import messages as message_scans
 from tiermill.sources import metrics as M
+from tiermill.sources.ranges import as_offsets, bounded, without
 from tiermill.streaming import pipelines as streams
 from verification import inputs
 from verification.inputs import AS_OF
@@ -109,6 +110,50 @@ def ingest_twice_adds_nothing(spark, sf_dir):
     return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
 
 
+@query
+def ingest_text_twice(spark, sf_dir):
+    """Lines of a landing folder, more of them, and nothing new: three runs that each go on where the last one ended."""
+    cfg = dataclasses.replace(inputs.fresh_config(spark), message_format="text")
+    measured = inputs.measurements(spark, sf_dir)
+    late = F.col("location").isin("Paris", "Toronto")
+    for part in (measured.where(~late), measured.where(late), None):
+        if part is not None:
+            message_sinks.publish_messages(part, cfg)
+        jobs.ingest_bronze(spark, cfg, resume=True)
+    return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
+
+
+@query
+def ingest_gap_then_resume(spark, sf_dir):
+    """The later part of each partition first, then the rest."""
+    cfg = _stream_config(spark, sf_dir)
+    jobs.ingest_bronze(spark, cfg, as_offsets(cfg.topic, {"0": 900, "1": 500, "2": 700, "3": 90}))
+    jobs.ingest_bronze(spark, cfg, resume=True)
+    return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
+
+
+class _BrokenOff(Exception):
+    pass
+
+
+@query
+def ingest_after_crash(spark, sf_dir):
+    """Two runs that break off, one halfway through its write and one right after it, and the runs that settle them."""
+    cfg = _stream_config(spark, sf_dir)
+    tables.ensure_table(spark, cfg, "bronze")
+    ingest_ledger.ensure(spark, cfg)
+    there = message_scans.available(spark, cfg)
+    early = bounded(there, {}, {p: 400 for p in there})
+    for run_id, ranges, written in (("halfway", early, F.col("offset") % 2 == 0), ("unmarked", without(there, early), F.lit(True))):
+        try:
+            with ingest_ledger.intent(spark, cfg, run_id, ranges):
+                jobs.write_run(message_scans.read_ranges(spark, cfg, ranges).where(written), cfg, run_id)
+                raise _BrokenOff
+        except _BrokenOff:
+            jobs.ingest_bronze(spark, cfg, ending_offsets=as_offsets(cfg.topic, {p: own[-1][1] for p, own in ranges.items()}), resume=True)
+    return rows_shown(layer_scans.read_layer(spark, cfg, "bronze"))
+
+
 @query
 def scan_bronze(spark, sf_dir):
     return rows_shown(_layer(spark, sf_dir, "bronze"))
