@@ -50,12 +50,12 @@ def copies(rows: DataFrame) -> DataFrame:
     """Of rows (id, hash, part, text) those whose text a smaller id has too, without the text.
 
     Only texts whose hash has several ids are compared. Of each text the other side of the semi join holds its smallest id
-    alone, combined before the shuffle: if any smaller id exists, that one is smaller. So a text in a third of all rows is
-    one row there, and adaptive execution can split its rows on this side.
+    alone, combined before the shuffle: if any smaller id exists, that one is smaller. Both sides of the join are plain
+    scans, so that adaptive execution can split the rows of a text that a third of them have.
     """
     often = cut(rows.groupBy("hash").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("hash"))
     held = cut(rows.join(often, "hash", "left_semi"))
-    earlier = held.groupBy(F.col("hash").alias("_hash"), F.col("text").alias("_text")).agg(F.min("id").alias("_id"))
+    earlier = cut(held.groupBy(F.col("hash").alias("_hash"), F.col("text").alias("_text")).agg(F.min("id").alias("_id")))
     same = (F.col("hash") == F.col("_hash")) & (F.col("text") == F.col("_text")) & (F.col("_id") < F.col("id"))
     return held.join(earlier, same, "left_semi").drop("text")
 

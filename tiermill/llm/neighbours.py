@@ -235,8 +235,8 @@ class Search:
             yield masks
 
 
-#: Queries whose margins are held at once.
-QUERIES_AT_ONCE = 64
+#: Queries whose margins are held at once, and that a task searches for at most.
+QUERIES_AT_ONCE, QUERIES_PER_TASK = 64, 20_000
 
 
 def _visits(queries: DataFrame, search: Search) -> DataFrame:
@@ -346,7 +346,8 @@ def _found(classes: DataFrame, searched: DataFrame, count: int, length: int, nor
     # as many rows as the forest has leaves
     for r in index.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect():
         sizes[r["tree"], r["leaf"]] = r["count"]
-    trials = _some(searched, searched.count(), TRIALS)
+    n_searched = searched.count()
+    trials = _some(searched, n_searched, TRIALS)
     asked, ids = np.array([r["v"] for r in trials], np.float64).reshape(-1, length), np.array([r["id"] for r in trials], np.int64)
     budget = entries_to_search(forest, sizes, asked, _true_neighbours(index, asked, ids, k), target)
     # groups of leaves of about a block
@@ -356,7 +357,9 @@ def _found(classes: DataFrame, searched: DataFrame, count: int, length: int, nor
     entries = index.select("id", "v", F.posexplode("leaves").alias("tree", "leaf")).withColumn("part", F.shiftright("leaf", bits))
     dealt = F.pmod(F.xxhash64("id"), blocks[F.col("tree")][F.col("part")])
     vectors = entries.withColumn("block", dealt).groupBy("tree", "part", "block").agg(F.collect_list(F.struct("id", "v", "leaf")).alias("vectors"))
-    visits = cut(_visits(searched, search))
+    # a search costs far more than its row: as many tasks as there are cores, at least
+    tasks = max(classes.sparkSession.sparkContext.defaultParallelism, -(-n_searched // QUERIES_PER_TASK))
+    visits = cut(_visits(searched.repartition(tasks, "id"), search))
     chunks = visits.groupBy("tree", "part").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     chunked = visits.join(chunks, ["tree", "part"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
     queries = chunked.groupBy("tree", "part", "chunk").agg(F.collect_list(F.struct("id", "v", "mask")).alias("queries"))
