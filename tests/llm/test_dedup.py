@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.llm import line_dedup, near_dedup, substring_dedup
+from tiermill.llm import line_dedup, lineage, near_dedup, substring_dedup
 from tiermill.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -248,11 +248,33 @@ def test_near_edges(edges):
     assert near_dedup.near_dedup(edges.limit(0)).count() == 0
 
 
-def test_rows_of_one_id_are_one_document(docs_of, prose):
-    rows = [(9, prose(1)), (9, prose(2)), (3, prose(1)), (5, prose(2)), (7, prose(4))]
-    got = [(r.doc_id, r.component_id) for r in near_dedup.near_dedup(docs_of(rows)).collect()]
-    assert len(got) == 5 and {c for i, c in got if i == 9} in ({3}, {5})
-    assert {i: c for i, c in got if i != 9} == {3: 3, 5: 5, 7: 7}
+def test_each_text_of_an_id_is_linked_for_itself(docs_of, prose):
+    rows = [(9, prose(1)), (9, prose(2)), (3, prose(1)), (5, prose(2)), (7, prose(4)), (9, prose(5))]
+    got = [(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_dedup(docs_of(rows)).collect()]
+    assert sorted(got) == [(3, 3, True), (5, 5, True), (7, 7, True), (9, 3, False), (9, 5, False), (9, 9, True)]
+
+
+def test_a_group_just_below_the_limit(docs_of):
+    """Texts that differ from each other in few words: most pairs miss the limit by little, and all of them count."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(160):
+        words = [f"w{k}" for k in range(100)]
+        for k in rng.sample(range(100), 2):
+            words[k] = f"new{rng.randrange(60)}"
+        rows.append((i, " ".join(words[: rng.randrange(90, 101)])))
+    least, _ = groups(rows, 3, 85)
+    assert {r.doc_id: r.component_id for r in near_dedup.near_dedup(docs_of(rows)).collect()} == least
+    assert 10 < len(set(least.values())) < 150
+
+
+def test_nothing_written_on_the_way_stays(docs_of, prose, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "shared_folder", lambda spark: f"file://{tmp_path}")
+    done = near_dedup.near_dedup(docs_of([prose(i % 5, 40) for i in range(20)]))
+    assert len(list(tmp_path.iterdir())) == 1 and done.count() == 20
+    with pytest.raises(Exception):
+        near_dedup.near_dedup(docs_of(["x"]), id_col="no such column")
+    assert len(list(tmp_path.iterdir())) == 1
 
 
 def test_components_of_random_graphs(spark):

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 
 
+@tidy
 def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of all ids in `links` (a, b).
 

@@ -16,7 +16,7 @@ from math import factorial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_CAPITALS_PERCENT = 200, 50, 2
 SYMBOLS = r"[#$%&*|]"
@@ -74,6 +74,7 @@ def combinations(docs: DataFrame, filters: Mapping[str, Callable[[Column, Column
     return failed.union(copied).groupBy("id", "hash", "part").agg(F.bit_or("failures").alias("failures"), F.sum("n").alias("n"))
 
 
+@tidy
 def filter_audit(
     docs: DataFrame, labels: DataFrame, filters: Mapping[str, Callable[[Column, Column], Column]] = TEXT_FILTERS, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source"
 ) -> DataFrame:

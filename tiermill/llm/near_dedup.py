@@ -3,13 +3,14 @@
 Two collections of ALONG band hashes each (a band is PER_BAND minhashes) make the keys of ALONG * ALONG tables: every
 pair of a band of the one and a band of the other. So 2 * ALONG * PER_BAND minhashes do the work of
 2 * PER_BAND * ALONG**2. At a similarity of 0.85, a pair misses all keys with a probability of 2 * (1 - 0.85**2)**8,
-about 7 in 100,000.
-
-Links matter only for what they connect. Within the ids of one key, all are first compared with the smallest. Where
-a key then still holds several components, ids of different components are compared, but for pairs that can't be
-similar enough by their sizes and their rare shingles, those of at most FEW candidates: either two ids share none of
-them, and then all of either count as missing in the other, or they meet in an index of the rare shingles. So a large
-group of copies of one text costs pairs in proportion to its size. The bounds lose no pair.
+about 7 in 100,000. A key can be shared only where both its bands are, so bands are counted first, and keys made of
+those alone that several sets have.
+
+Links matter only for what they connect. Within a key, all sets are first compared with one, the hub. Where the sets of
+a hub then still belong to several components, those of different components are compared, by what they differ in from
+the hub: two sets differ in as many shingles as their differences do, and these are small. They are ordered from rare
+to frequent, and only as many first ones are joined as two sets must share one of, by their sizes, to be similar enough.
+So neither copies nor a group of texts that all lie just below the limit cost pairs without end, and no pair is lost.
 """
 
 from __future__ import annotations
@@ -19,14 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.components import components
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 from tiermill.llm.rows import map_texts
 from tiermill.llm.words import LOWER, Words, mix
 
 SHINGLE, PERCENT = 3, 85
 ALONG, PER_BAND = 8, 2
-#: Candidates that a shingle has at most to count as rare.
-FEW = 32
+#: Differences from a hub are of one kind if their sizes lie between neighbouring powers of this.
+KIND = 1.25
 
 
 def shingles(texts: list[str], n: int) -> list[np.ndarray]:
@@ -82,85 +83,97 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.filter(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("a", "b")
 
 
+def _keys(nodes: DataFrame, along: int) -> DataFrame:
+    """node, n, key: the tables' keys of nodes (node, n, left, right), made of bands that another node has too."""
+    places = F.posexplode(F.concat("left", "right")).alias("place", "band")
+    bands = nodes.select("node", "n", places).select("node", "n", "place", F.xxhash64("place", "band").alias("band"))
+    often = bands.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least <> most").select("band")
+    held = bands.join(cut(often), "band").groupBy("node", "n").agg(F.collect_list(F.struct("place", "band")).alias("bands"))
+    side = lambda first: F.filter("bands", lambda b: (b["place"] < along) == F.lit(first))
+    pairs = F.flatten(F.transform(side(True), lambda x: F.transform(side(False), lambda y: F.xxhash64(x["band"], y["band"]))))
+    return held.select("node", "n", F.explode(pairs).alias("key"))
+
+
+@tidy
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, along: int = ALONG, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links), kept (it is the smallest itself).
 
-    Texts are linked if 100 * intersection >= percent * union of their shingle sets. One row per row of `docs`. Texts
-    without words are linked with nothing. Rows of one id are one document; of its texts with words the one of the lowest
-    xxhash64 is compared. Rows without an id are compared with nothing: component_id is null, kept is true. Other
-    columns are not read.
+    Texts are linked if 100 * intersection >= percent * union of their shingle sets. One row per row of `docs`, and each row
+    is a document of its own, also where rows share an id: of two texts under one id either may be linked without the
+    other. Texts without words are linked with nothing. Rows without an id are compared with nothing: component_id is
+    null, kept is true. Other columns are not read.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("version"))
     schema = "n_shingles long, sum1 long, sum2 long, left array<long>, right array<long>"
-    signed = cut(map_texts(texts, lambda some: signatures(some, shingle, along), schema, {"doc_id": F.col("doc_id"), "version": F.col("version")}))
+    keys = {"doc_id": F.col("doc_id"), "version": F.col("version")}
+    signed = cut(map_texts(texts, lambda some: signatures(some, shingle, along), schema, keys).withColumn("row", F.monotonically_increasing_id()))
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
-    usable = cut(usable.groupBy("doc_id").agg(F.min_by(F.struct("version", "n_shingles", "sum1", "sum2", "left", "right"), "version").alias("one")).select("doc_id", "one.*"))
-    # equal sets first: each class is one node, its smallest id
-    classes = cut(usable.groupBy("sum1", "sum2", "n_shingles").agg(F.min("doc_id").alias("node")))
-    members = cut(usable.join(classes, ["sum1", "sum2", "n_shingles"]).select("doc_id", "version", "node", F.col("n_shingles").alias("n"), "left", "right"))
-    nodes = members.filter("doc_id = node").select("node", "version", "n", "left", "right")
-    tables = F.array([F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.xxhash64(F.lit(i * along + j), F.get("left", i), F.get("right", j)).alias("key")) for i in range(along) for j in range(along)])
-    keyed = nodes.select("node", "version", "n", F.explode(tables).alias("k")).select("node", "version", "n", "k.*")
-    hubs = cut(keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).filter("hub.node <> last").select("key", "hub"))
-    shared = cut(keyed.join(hubs, "key"))
-    fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
-    stars = cut(shared.filter((F.col("node") != F.col("hub.node")) & fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct())
-    involved = cut(shared.select("node", F.col("version").alias("own")).distinct())
-    chosen = texts.join(involved, (F.col("doc_id") == F.col("node")) & (F.col("version") == F.col("own"))).select("node", "text").dropDuplicates(["node"])
+    # equal sets are one node: the number of one of their rows
+    same = ["sum1", "sum2", "n_shingles"]
+    classes = cut(usable.groupBy(*same).agg(F.min("row").alias("node"), F.min("doc_id").alias("least")))
+    nodes = cut(usable.join(classes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "doc_id", "version", F.col("n_shingles").alias("n"), "left", "right"))
+    keyed = cut(_keys(nodes, along))
+    hubs = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).filter("hub.node <> last").select("key", "hub")
+    met = cut(keyed.join(hubs, "key").select("node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")).distinct())
+    fits = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    stars = met.filter((F.col("node") != F.col("hub")) & fits).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    involved = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
+    chosen = texts.join(involved, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_version"))).select("node", "text").dropDuplicates(["node"])
     sets = cut(map_texts(chosen, lambda some: {"s": [x.view(np.int64) for x in shingles(some, shingle)]}, "s array<long>", {"node": F.col("node")}))
     links = cut(_similar(stars, sets, percent))
-    across = _across(shared.drop("version"), nodes.drop("version"), stars, sets, links, percent)
-    found = cut(components(links.union(across)))
-    placed = members.select(F.col("doc_id").alias("_doc"), "node").join(found, F.col("node") == F.col("id"), "left")
-    done = signed.select("doc_id", "n_shingles").join(placed, F.col("doc_id") == F.col("_doc"), "left")
-    own_id = F.coalesce("component", "node", "doc_id")
-    return done.select("doc_id", "n_shingles", own_id.alias("component_id"), F.coalesce(own_id == F.col("doc_id"), F.lit(True)).alias("kept"))
-
-
-def _across(shared: DataFrame, nodes: DataFrame, stars: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of the star links, of ids that share a key."""
-    part = cut(components(links)).select(F.col("id").alias("node"), F.col("component").alias("c"))
-    rows = cut(shared.drop("hub").join(part, "node", "left").withColumn("c", F.coalesce("c", "node")))
-    mixed = cut(rows.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("key"))
-    rows = cut(rows.join(mixed, "key", "left_semi"))
-    left_over = cut(rows.select("node", "n", "c").distinct())
-    held = sets.join(left_over, "node", "left_semi").select("node", F.explode("s").alias("h"))
-    few = cut(held.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("only")).filter(F.col("k") <= FEW))
-    shared_few = cut(held.join(few.filter("k > 1").select("h"), "h"))
-    alone = few.filter("k = 1").select(F.col("only").alias("node"))
-    rare = cut(alone.union(shared_few.select("node")).groupBy("node").agg(F.count("*").alias("r")))
-    known = cut(left_over.join(rare, "node", "left").fillna(0, ["r"]))
-    # a pair without a rare shingle in common is similar enough only if reach >= percent * size, both ways
-    reach = F.col("n") * 100 - F.col("r") * (100 + percent)
-    rows = cut(rows.join(known.select("node", "r"), "node").select("node", "n", "i", "j", "key", "c", reach.alias("reach")))
-    bounds = cut(rows.groupBy("key").agg(F.min("n").alias("least"), F.max("reach").alias("far"), F.min("c").alias("c1"), F.max("c").alias("c2")))
-    rows = cut(rows.join(bounds, "key").filter((F.col("least") * percent <= F.col("reach")) & (F.col("n") * percent <= F.col("far"))).select(*rows.columns))
-    left = cut(rows.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("key"))
-    rows = cut(rows.join(left, "key", "left_semi").join(nodes.drop("n"), "node"))
-    x = rows.select(*(F.col(c).alias(f"x_{c}") for c in rows.columns))
-    y = rows.select(*(F.col(c).alias(f"y_{c}") for c in rows.columns))
-    # of the keys that a pair shares, only the first of either collection gives it
-    first = lambda side: F.array_position(F.zip_with(f"x_{side}", f"y_{side}", lambda p, q: p == q), True)
-    pairs = x.join(
-        y,
-        (F.col("x_key") == F.col("y_key"))
-        & (F.col("x_c") < F.col("y_c"))
-        & (F.col("y_n") * percent <= F.col("x_reach"))
-        & (F.col("x_n") * percent <= F.col("y_reach"))
-        & (first("left") == F.col("x_i") + 1)
-        & (first("right") == F.col("x_j") + 1),
-    ).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
-    # pairs with rare shingles in common: these w, and at most all that are not rare
-    own = shared_few.join(known, "node")
-    x = own.select(F.col("h").alias("x_h"), *(F.col(c).alias(f"x_{c}") for c in known.columns))
-    y = own.select(F.col("h").alias("y_h"), *(F.col(c).alias(f"y_{c}") for c in known.columns))
-    fits = F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent
-    met = x.join(y, (F.col("x_h") == F.col("y_h")) & (F.col("x_c") < F.col("y_c")) & fits)
-    met = met.groupBy("x_node", "y_node", "x_n", "y_n", "x_r", "y_r").agg(F.count("*").alias("w"))
-    most = F.least(F.col("x_n") - F.col("x_r"), F.col("y_n") - F.col("y_r")) + F.col("w")
-    met = met.filter(most * 100 >= (F.col("x_n") + F.col("y_n") - most) * percent)
-    pairs = cut(pairs.union(met.select(F.least("x_node", "y_node"), F.greatest("x_node", "y_node"))).distinct())
-    return cut(_similar(cut(pairs.join(stars, ["a", "b"], "left_anti")), sets, percent))
+    found = components(links.union(_across(met, sets, links, percent)))
+    # the smallest id of each component, from those of its nodes
+    placed = cut(classes.join(found, F.col("node") == F.col("id")).select("node", "least", "component"))
+    smallest = placed.groupBy("component").agg(F.min("least").alias("smallest"))
+    reached = placed.join(smallest, "component").select(F.col("node").alias("_node"), "smallest")
+    known = cut(classes.join(reached, F.col("node") == F.col("_node"), "left").select(*(F.col(c).alias(f"_{c}") for c in same), F.coalesce("smallest", "least").alias("least")))
+    own = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    for c in same:
+        own = own & (F.col(c) == F.col(f"_{c}"))
+    done = signed.select("doc_id", *same).join(known, own, "left")
+    component = F.coalesce("least", "doc_id")
+    return done.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of the star links, of nodes that share a hub."""
+    part = components(links).select(F.col("id").alias("node"), F.col("component").alias("c"))
+    rows = cut(met.join(part, "node", "left").select("node", "n", "hub", F.coalesce("c", "node").alias("c")))
+    mixed = rows.groupBy("hub").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("hub")
+    left = rows.filter(F.col("node") != F.col("hub")).join(cut(mixed), "hub", "left_semi")
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("s").alias("h"))
+    differences = F.concat(F.array_except("s", "h"), F.array_except("h", "s"))
+    apart = cut(left.join(sets, "node").join(hub_sets, "hub").select("hub", "node", "n", "c", differences.alias("d")))
+    every = apart.select("hub", "node", F.explode("d").alias("e"))
+    often = cut(every.groupBy("hub", "e").agg(F.count("*").alias("k")).filter("k > 1"))
+    # of each difference its shared shingles, rare ones first; those of one node alone come before all of them
+    ranked = every.join(often, ["hub", "e"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("k", "e"))).alias("shared"))
+    size, most = F.size("d"), F.floor(F.col("n") * (100 - percent) / percent)
+    known = cut(apart.join(ranked, ["hub", "node"]).select("hub", "node", "n", "c", size.alias("size"), most.alias("most"), "shared"))
+    # two sets are similar enough only if they differ in `most` shingles at most, and so do the sizes of their differences
+    kind = lambda x: F.floor(F.log(KIND, F.greatest(x, F.lit(1)))).cast("int")
+    partners = F.explode(F.sequence(kind(F.col("size") - F.col("most")), kind(F.col("size") + F.col("most")))).alias("other")
+    least_other = F.ceil(F.pow(F.lit(KIND), "other") - 1e-6)
+    # a shared shingle at a later place leaves too few behind it
+    last = F.floor((F.col("size") + F.col("most") - F.col("least_other")) / 2) + 1
+    alone = F.col("size") - F.size("shared")
+    first = known.select("*", kind(F.col("size")).alias("own"), partners).withColumn("least_other", least_other)
+    heads = first.select("hub", "node", "n", "c", "size", "own", "other", alone.alias("alone"), F.posexplode(F.slice("shared", 1, F.greatest(last - alone, F.lit(0)).cast("int"))).alias("place", "x"))
+    heads = cut(heads.select("hub", "node", "n", "c", "size", "own", "other", (F.col("alone") + F.col("place")).alias("before"), F.col("x.e").alias("e")))
+    x = heads.select(*(F.col(c).alias(f"x_{c}") for c in heads.columns))
+    y = heads.select(*(F.col(c).alias(f"y_{c}") for c in heads.columns))
+    on = (F.col("x_hub") == F.col("y_hub")) & (F.col("x_e") == F.col("y_e")) & (F.col("x_own") == F.col("y_other")) & (F.col("x_other") == F.col("y_own")) & (F.col("x_c") < F.col("y_c"))
+    allowed = F.floor((F.col("x_n") + F.col("y_n")) * (100 - percent) / (100 + percent))
+    reach = F.least(F.col("x_size") - F.col("x_before"), F.col("y_size") - F.col("y_before"))
+    enough = F.col("x_size") + F.col("y_size") - 2 * reach <= allowed
+    # a pair may share several hubs, and is compared by one
+    pairs = cut(x.join(y, on).filter(enough).groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b")).agg(F.min("x_hub").alias("hub")))
+    one = known.select("hub", F.col("node").alias("a"), F.col("n").alias("na"), F.col("size").alias("za"), F.transform("shared", lambda v: v["e"]).alias("da"))
+    two = known.select("hub", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("size").alias("zb"), F.transform("shared", lambda v: v["e"]).alias("db"))
+    checked = pairs.join(two, ["hub", "b"]).join(one, ["hub", "a"])
+    differ = F.col("za") + F.col("zb") - 2 * F.size(F.array_intersect("da", "db"))
+    similar = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    return cut(checked.filter(similar).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 #: The same in SQL, from all pairs that share a shingle.

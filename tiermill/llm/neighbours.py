@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 
 K, TREES = 20, 3
 #: Vectors that the forest is fitted on, at most so many and so many bytes; a leaf has LEAST_SAMPLED of them and is aimed at LEAF vectors of all.
@@ -306,6 +306,7 @@ def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+@tidy
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, trees: int = TREES, target: float = TARGET, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each vector for whose id (column `id`) `is_query` holds.
 
@@ -364,7 +365,7 @@ def _found(classes: DataFrame, searched: DataFrame, count: int, length: int, nor
     chunked = visits.join(chunks, ["tree", "part"]).withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks"))
     queries = chunked.groupBy("tree", "part", "chunk").agg(F.collect_list(F.struct("id", "v", "mask")).alias("queries"))
     met = cut(vectors).join(cut(queries), ["tree", "part"]).select("queries", "vectors")
-    return cut(_merged(cut(_scored(met, bits, k + 1)), k + 1))
+    return cut(_merged(_scored(met, bits, k + 1), k + 1))
 
 
 def recall(vectors: DataFrame, found: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> float:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Entries of a part that share a bound.
@@ -231,6 +231,7 @@ def compress(
     return Compressed(final.select(F.col("k.id"), F.col("k.label"), places.alias("codes"), "error", "scans"), history)
 
 
+@tidy
 def code_table(vectors: DataFrame, **options) -> DataFrame:
     """id, code (two hexadecimal digits of each part), error, label_error (summed over rows of the label; null is one), codebooks_sha256."""
     done = compress(vectors, **options)
