@@ -38,7 +38,7 @@ def test_figures_equal_brute_force(docs_of, prose):
 
 def test_common_lines_of_a_host(docs_of, prose):
     menu = "Home | About us | page 12 | and many more words that fill the line of this menu"
-    shop = [(i, f"{menu}\n{prose(i, 40)}", "shop") for i in range(30)]
+    shop = [(i, f"{menu}\n{prose(i, 40)}", "shop") for i in range(30)]  # a line in them all
     thin = [(100 + i, f"{menu.replace("12", str(20 + i))}\n{prose(i, 12)}", "shop") for i in range(5)]
     copies = [(200 + i, f"{prose(9, 60)}", "shop") for i in range(60)]  # copies of one text are one document
     other = [(300 + i, f"{menu}\n{prose(i, 12)}", "press") for i in range(5)]
@@ -129,19 +129,27 @@ def test_substitutions_are_tolerated(docs_of, benchmark, prose):
     gap[15:15] = ["inserted"]
     texts = [prose(1), f"{prose(2)} {' '.join(words).upper()}! {prose(3)}", f"{prose(4)}\n{', '.join(few)}", " ".join(many), " ".join(words[:14]), " ".join(gap), "q0 q1 q2 q3 q4 q5 q6 q7 q8 q9 q10 q11", "too short to tell"]
     got = {(r.doc_id, r.item_id): (r.item_tokens, r.matched_tokens) for r in decontamination.leaks(docs_of(texts), benchmark).collect()}
-    assert got == {(1, 1): (30, 30), (2, 1): (30, 27), (4, 1): (30, 14), (5, 1): (30, 15), (6, 4): (12, 12)}
+    assert got == {(1, 1): (30, 30), (2, 1): (30, 27), (4, 1): (30, 14), (5, 1): (30, 15), (6, 4): (12, 12), (7, 2): (4, 4)}
     left = decontamination.decontaminate(docs_of(texts), benchmark)
-    assert {r.doc_id for r in left.collect()} == {0, 3, 7} and left.columns == docs_of(texts).columns
+    assert {r.doc_id for r in left.collect()} == {0, 3} and left.columns == docs_of(texts).columns
 
 
 def test_a_passage_cut_too_short(docs_of, benchmark):
     assert decontamination.leaks(docs_of([" ".join(f"item{i}" for i in range(11))]), benchmark).count() == 0
 
 
+def test_short_passages_are_looked_for_as_they_are(docs_of, spark):
+    items = spark.createDataFrame([(1, "one two three"), (2, "one two three four"), (3, "a b c d e f g"), (4, "h i j k l m"), (5, "Z"), (6, "")], "item_id long, text string")
+    texts = ["one two three FOUR", "x one, two; three four y", "one two three", "a b c d e f g", "a b c d e x g", "0 h i j k l m 0", "h i j l m", "z", "a b c d e f g h i j k l m"]
+    got = sorted((r.doc_id, r.item_id, r.matched_tokens) for r in decontamination.leaks(docs_of(texts), items).collect())
+    assert got == [(0, 2, 4), (1, 2, 4), (3, 3, 7), (5, 4, 6), (8, 3, 7), (8, 4, 6)]
+
+
 def test_leaks_without_broadcast(docs_of, benchmark, monkeypatch):
     texts = ["x " + " ".join(f"item{i}" for i in range(20)), "nothing here"]
     expected = decontamination.leaks(docs_of(texts), benchmark).collect()
     monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", 0)
+    monkeypatch.setattr(decontamination, "BROADCAST_CHARACTERS", 0)
     assert decontamination.leaks(docs_of(texts), benchmark).collect() == expected and len(expected) == 1
 
 
@@ -195,12 +203,11 @@ def test_first_stage_takes_effect(staged):
     assert {r.doc_id for r in after.collect()} == kept and len(kept) < before.count()
 
 
-def test_second_stage_keeps_all_documents(staged):
+def test_second_stage_takes_out_lines(staged):
     before, after = staged["line_dedup"]
-    texts = {r.doc_id: r for r in after.collect()}
-    assert len(texts) == before.count()
-    assert all(len(r.text) == r.n_chars for r in texts.values() if r.text is not None)
-    assert sum(texts[r.doc_id].text != r.text for r in before.collect()) > 0
+    texts, old = {r.doc_id: r for r in after.collect()}, {r.doc_id: r.text for r in before.collect()}
+    assert all(len(r.text) == r.n_chars and len(WORD.findall(r.text)) >= 20 for r in texts.values())
+    assert sum(r.text != old[i] for i, r in texts.items()) > 0 and 0 < len(old) - len(texts) < 0.2 * len(old)
 
 
 def test_third_stage_keeps_one_of_each_group(staged):

@@ -1,10 +1,12 @@
-"""Line dedup by runs of whole lines.
-
-Every two neighbouring lines (blank ones between them aside) are a window, at each place of a text. Windows whose hash
-occurs again are compared, byte by byte, with their first occurrence, and removed where they equal it. So each line
-goes that lies in a run of two lines or more which an earlier place holds, wherever the run begins and ends, and every
-line stays at its first place. The coarser rule of SQL takes chunks between borders that a rolling hash sets instead,
-and loses runs that no whole chunk fits into. Only DataFrame functions are used.
+"""Line dedup by content-defined chunks of lines.
+
+The hash of each line, rolled over a window of that line alone, tells which boundaries it sets: in each of FAMILIES
+families it belongs to one of two sets, and a chunk goes from a line to the next one of its set, both included, blank lines
+aside. So boundaries move with the text and not with its place, and they are fine: three lines always hold a whole chunk of
+each family, two lines hold one with a probability of 1 - 2 ** -FAMILIES. A wider window, or more sets, would lose such
+short passages. Chunks whose hash occurs again are matched with the first place that has it; matches side by side become
+one stretch of lines, its bytes are compared with those of the first place, and lines of equal ones go. Only DataFrame
+functions are used.
 """
 
 from __future__ import annotations
@@ -14,12 +16,8 @@ from pyspark.sql import functions as F
 
 from tiermill.llm.lineage import cut
 
-#: A chunk ends where the rolling hash is divisible by this, so after so many lines on average.
-EVERY = 4
-#: Factor of the rolling hash.
-FACTOR = 31
-#: Hexadecimal digits of a line's MD5 that the rolling hash takes.
-DIGITS = 7
+#: Families of boundary sets: of a line's MD5 the hexadecimal digit in this place (from 1) tells its set in each, by its code's parity.
+FAMILIES = (1, 2, 3, 4, 5, 6)
 
 
 def _once(value: Column, use) -> Column:
@@ -28,60 +26,58 @@ def _once(value: Column, use) -> Column:
 
 
 def _chunks(lines: Column) -> Column:
-    """(start, n) of the chunks of several lines, start from 1; a chunk has two lines at least that aren't blank."""
+    """(start, n, hash) of the chunks of all families, start from 1."""
 
-    def cuts(hashes: Column) -> Column:
-        n = F.size(hashes)
-        ends = F.filter(
-            F.sequence(F.lit(1), n),
-            lambda i: (i == n) | ((i > 1) & ((F.get(hashes, i - 2) * FACTOR + F.get(hashes, i - 1)) % EVERY == 0)),
-        )
-        return _once(
-            ends,
-            lambda e: F.transform(e, lambda end, k: F.struct((F.coalesce(F.get(e, k - 1), F.lit(0)) + 1).alias("start"), (end - F.coalesce(F.get(e, k - 1), F.lit(0))).alias("n"))),
-        )
+    def chain(full: Column, digit: int, odd: int) -> Column:
+        """From each line of a set to the next one."""
+        own = F.filter(full, lambda r: F.ascii(F.substring(r["digits"], digit, 1)) % 2 == odd)
+        pair = lambda c, r, k: F.struct(r["at"].alias("start"), (F.get(c, k + 1)["at"] - r["at"] + 1).alias("n"))
+        return _once(own, lambda c: F.transform(F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), lambda r, k: pair(c, r, k)))
 
-    hashes = F.transform(lines, lambda line: F.conv(F.substring(F.md5(line), 1, DIGITS), 16, 10).cast("long"))
-    return F.filter(_once(hashes, cuts), lambda c: F.size(F.filter(F.slice(lines, c["start"], c["n"]), lambda x: F.trim(x) != "")) >= 2)
+    def of(rows: Column) -> Column:
+        pairs = _once(F.filter(rows, lambda r: r["full"]), lambda full: F.array_distinct(F.concat(*(chain(full, d, odd) for d in FAMILIES for odd in (0, 1)))))
+        hashed = lambda h: F.transform(pairs, lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"), F.xxhash64(F.slice(h, p["start"], p["n"])).alias("hash")))
+        return _once(F.transform(rows, lambda r: r["hash"]), hashed)
 
+    known = lambda x, i: F.struct((i + 1).alias("at"), F.xxhash64(x).alias("hash"), F.substring(F.md5(x), 1, max(FAMILIES)).alias("digits"), (F.trim(x) != "").alias("full"))
+    return _once(F.transform(lines, known), of)
 
-def _windows(lines: Column) -> Column:
-    """(start, n) from each line that isn't blank to the next such line, start from 1."""
-    full = F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: F.trim(F.get(lines, i - 1)) != "")
-    pair = lambda f, i, k: F.struct(i.alias("start"), (F.get(f, k + 1) - i + 1).alias("n"))
-    return _once(full, lambda f: F.transform(F.slice(f, 1, F.greatest(F.size(f) - 1, F.lit(0))), lambda i, k: pair(f, i, k)))
 
+def _merged(places: Column) -> Column:
+    """Places (start, n) in order as stretches (start, n): those that overlap or touch are one."""
+    nothing = F.array().cast("array<struct<start:int,n:int>>")
 
-def repeated_chunks(rows: DataFrame, runs: bool = True) -> DataFrame:
-    """Of rows (id, version, text): id, version, start, n of windows (chunks, if not `runs`) that equal an earlier one.
+    def add(so_far: Column, p: Column) -> Column:
+        last = F.element_at(so_far, -1)
+        end = lambda q: q["start"] + q["n"]
+        joined = F.struct(last["start"].alias("start"), (F.greatest(end(last), end(p)) - last["start"]).alias("n"))
+        meets = (F.size(so_far) > 0) & (p["start"] <= end(last))
+        return F.when(meets, F.concat(F.slice(so_far, 1, F.size(so_far) - 1), F.array(joined))).otherwise(F.concat(so_far, F.array(F.struct(p["start"].alias("start"), p["n"].alias("n")))))
 
-    Earlier is by id, then by place. Rows of the same id and text are one document.
-    """
+    return F.aggregate(places, nothing, add)
 
-    def hashed(lines: Column) -> Column:
-        places = _windows(lines) if runs else _chunks(lines)
-        own = F.transform(lines, lambda x: F.xxhash64(x))
-        return _once(own, lambda h: F.transform(places, lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.xxhash64(F.slice(h, c["start"], c["n"])).alias("hash"))))
 
-    found = F.explode(_once(F.split("text", "\n", -1), hashed)).alias("c")
-    chunks = cut(rows.select("id", "version", found).select("id", "version", "c.*"))
+def repeated_chunks(rows: DataFrame) -> DataFrame:
+    """Of rows (id, version, text): id, version, start, n of stretches of lines whose chunks all equal earlier ones.
+
+    Earlier is by id, then by place. Rows of the same id and text are one document.
+    """
+    chunks = cut(rows.select("id", "version", F.explode(_chunks(F.split("text", "\n", -1))).alias("c")).select("id", "version", "c.*"))
     # an aggregate with map-side combination: a chunk in a third of all documents is one row per task
     first = chunks.groupBy("hash").agg(F.min(F.struct("id", "start", "version")).alias("first"), F.max(F.struct("id", "start", "version")).alias("last"))
     first = cut(first.filter("first <> last").select("hash", "first"))
     # both sides are plain scans, so that adaptive execution can split a hot hash
-    met = chunks.join(first, "hash").select("id", "version", "start", "n", "hash", (F.struct("id", "start", "version") == F.col("first")).alias("is_first"))
-    places = met.groupBy("id", "version").agg(F.collect_set(F.struct("start", "n", "hash", "is_first")).alias("places"))
-    on = rows["id"].eqNullSafe(places["id"]) & (rows["version"] == places["version"])
-    body = lambda lines, p: F.array_join(F.slice(lines, p["start"], p["n"]), "\n")
-    bodies = _once(F.split("text", "\n", -1), lambda lines: F.transform("places", lambda p: F.struct(p.alias("p"), body(lines, p).alias("chunk"))))
-    texts = cut(
-        rows.join(places, on)
-        .select(rows["id"], rows["version"], F.explode(bodies).alias("b"))
-        .select("id", "version", "b.p.*", "b.chunk")
-        .dropDuplicates(["id", "version", "start"])
-    )
-    kept = texts.filter("is_first").select("hash", F.col("chunk").alias("kept"))
-    return texts.filter("not is_first").join(kept, "hash").filter(F.col("chunk") == F.col("kept")).select("id", "version", "start", "n")
+    met = chunks.join(first, "hash").filter(F.struct("id", "start", "version") != F.col("first"))
+    shift = (F.col("first.start") - F.col("start")).alias("shift")
+    beside = met.select("id", "version", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"), shift, "start", "n")
+    # chunks that lie against the same place of the same document: a text's own lines at most
+    along = ["id", "version", "first_id", "first_version", "shift"]
+    stretches = cut(beside.groupBy(*along).agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("places")).select(*along, F.explode(_merged(F.col("places"))).alias("p")).select(*along, "p.*"))
+    body = lambda at: F.array_join(F.slice(F.split("text", "\n", -1), at, F.col("n")), "\n")
+    there = rows.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "text")
+    kept = cut(stretches.join(there.dropDuplicates(["_id", "_version"]), F.col("first_id").eqNullSafe(F.col("_id")) & (F.col("first_version") == F.col("_version"))).select(*along, "start", "n", body(F.col("start") + F.col("shift")).alias("kept")))
+    own = kept.join(there.dropDuplicates(["_id", "_version"]), F.col("id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")))
+    return own.filter(body(F.col("start")) == F.col("kept")).select("id", "version", "start", "n")
 
 
 def _without(lines: Column, gone: Column) -> Column:
@@ -95,18 +91,19 @@ def _without(lines: Column, gone: Column) -> Column:
     return _once(F.array_sort(gone), left)
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: bool = True) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without repeated lines: columns _id, _text, _lines, _removed and `_row`, the row as it was.
 
-    One row per row of `docs`. A line goes if it lies in a run of two lines or more, blank ones aside, that an earlier
-    place holds too: one in a document of a lower id (a null id is the lowest), or before it in the same text; the places
-    may overlap, so that of a line repeated on and on one is left. With `runs` off, only whole chunks of SQL's rule
-    go. A null or empty text stays. Rows that repeat id and text are the same document: they lose the same lines. Other
-    columns pass through inside `_row`, so none can clash.
+    One row per row of `docs`. A line goes if it lies in a chunk that an earlier place holds too: one in a document of a
+    lower id (a null id is the lowest), or before it in the same text; the places may overlap, so that of a line repeated on
+    and on one is left. A null or empty text stays. Rows that repeat id and text are the same document: they lose the
+    same lines. Other columns pass through inside `_row`, so none can clash.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    gone = repeated_chunks(rows, runs).groupBy("id", "version").agg(F.collect_set(F.struct("start", "n")).alias("gone"))
-    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.struct("*").alias("_row"))
+    plain = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(plain).alias("version"), plain.alias("text"))
+    found = repeated_chunks(rows).groupBy("id", "version").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("places"))
+    gone = found.select("id", "version", _merged(F.col("places")).alias("gone"))
+    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(plain).alias("version"), F.struct("*").alias("_row"))
     joined = whole.join(gone, whole["id"].eqNullSafe(gone["id"]) & (whole["version"] == gone["version"]), "left").select(whole["id"].alias("_id"), "_row", "gone")
     lines = F.split(F.col("_row")[text_col], "\n", -1)
     done = F.when(F.col("gone").isNotNull(), _once(lines, lambda x: _once(_without(x, F.col("gone")), lambda y: F.struct(F.array_join(y, "\n").alias("text"), (F.size(x) - F.size(y)).alias("removed")))))
@@ -119,29 +116,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
+def _sql_chunks(digit: int) -> str:
+    return f"SELECT doc_id, i AS start, lead(i) OVER (PARTITION BY doc_id, ascii(substr(digits, {digit}, 1)) % 2 ORDER BY i) AS stop FROM line WHERE trim(line) <> ''"
+
+
 #: The removed line counts and cleaned texts in SQL.
 SQL = f"""
-WITH RECURSIVE base AS (
-  SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
-), line AS (
-  SELECT doc_id, i, line, CAST('0x' || substr(md5(line), 1, {DIGITS}) AS BIGINT) AS h
-  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM base)
-), flagged AS (
-  SELECT *, coalesce((lag(h) OVER w * {FACTOR} + h) % {EVERY} = 0, false) AS ends FROM line
-  WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), numbered AS (
-  SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
-  FROM flagged
-), chunk AS (
-  SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM numbered GROUP BY doc_id, c HAVING count(*) FILTER (WHERE trim(line) <> '') >= 2
-), gone AS (
-  SELECT doc_id, start, n FROM (
-    SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS nth FROM chunk) WHERE nth > 1
-), kept AS (
-  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text FROM line l
-  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND l.i >= g.start AND l.i < g.start + g.n) GROUP BY l.doc_id
-)
+WITH base AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, i, line, md5(line) AS digits FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM base)),
+chunk AS ({" UNION ".join(f"SELECT * FROM ({_sql_chunks(d)}) WHERE stop IS NOT NULL" for d in FAMILIES)}),
+body AS (SELECT doc_id, start, stop, array_to_string(lines[start:stop], chr(10)) AS body FROM chunk JOIN base USING (doc_id)),
+gone AS (SELECT doc_id, start, stop FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) AS nth FROM body) WHERE nth > 1),
+lost AS (SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS i FROM gone),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM line ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id)
 SELECT b.doc_id, CAST(len(b.lines) AS INT) AS n_lines, CAST(coalesce(g.n, 0) AS INT) AS n_removed_lines, md5(coalesce(k.text, '')) AS text_md5
-FROM base b LEFT JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, sum(n) AS n FROM gone GROUP BY doc_id) g USING (doc_id)
+FROM base b LEFT JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM lost GROUP BY doc_id) g USING (doc_id)
 """

@@ -19,8 +19,9 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 #: Fewer words, or more percent of words in repeated windows, fail.
 LEAST_WORDS, MOST_REPEATED = 20, 30
-#: A line is common if so many distinct documents of its host hold it at least, and more than this percent of them.
-COMMON_DOCS, COMMON_PERCENT = 20, 10
+#: A line of so many words at least is common if so many distinct documents of its host hold it: a number that doesn't
+#: grow with the host, so that a line is as common in a large host as in a small one.
+COMMON_WORDS, COMMON_DOCS = 3, 10
 #: A document is depleted if common lines leave it less than this percent of its words, or fewer than LEAST_WORDS.
 LEFT_PERCENT = 30
 #: Normal form of a line: lower case, digits alike, single spaces.
@@ -99,11 +100,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     keys = {"doc_id": F.col(id_col), "host": host_of(F.col(host_col)), "version": version_of(F.col(text_col))}
     rows = cut(map_texts(docs, work, SCHEMA, keys, text_col).withColumn("row", F.monotonically_increasing_id()))
-    held = rows.select("host", "version", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    long_lines = F.filter("lines", lambda x: x["n"] >= COMMON_WORDS)
+    held = rows.select("host", "version", F.explode(F.array_distinct(F.transform(long_lines, lambda x: x["h"]))).alias("h"))
     # counts of distinct documents in two steps, both combined before their shuffle
-    sizes = rows.groupBy("host", "version").count().groupBy("host").agg(F.count("*").alias("docs"))
-    often = held.distinct().groupBy("host", "h").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON_DOCS)
-    common = cut(often.join(sizes, "host").filter(F.col("c") * 100 > F.col("docs") * COMMON_PERCENT).select("host", "h"))
+    common = cut(held.distinct().groupBy("host", "h").agg(F.count("*").alias("c")).filter(F.col("c") >= COMMON_DOCS).select("host", "h"))
     lines = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     lost = lines.join(common, ["host", "h"]).groupBy("row").agg(F.count("*").alias("n_common_lines"), F.sum("n").alias("n_common_words"), F.collect_set("h").alias("common"))
     all_rows = rows.drop("lines").join(lost, "row", "left").drop("row").fillna(0, ["n_common_lines", "n_common_words"])
@@ -140,9 +140,7 @@ line AS (SELECT doc_id, host, text, line, i FROM (SELECT doc_id, host, text, unn
   unnest(range(len(string_split(text, chr(10))))) AS i FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 dup AS (SELECT doc_id, sum(c - 1) AS n FROM (SELECT doc_id, line, count(*) AS c FROM line GROUP BY ALL) GROUP BY doc_id),
 norm AS (SELECT doc_id, host, text, {_LINE} AS x, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM line),
-size AS (SELECT host, count(DISTINCT text) AS docs FROM d GROUP BY host),
-common AS (SELECT host, x FROM (SELECT host, x, count(DISTINCT text) AS c FROM norm GROUP BY host, x) JOIN size USING (host)
-  WHERE c >= {COMMON_DOCS} AND c * 100 > docs * {COMMON_PERCENT}),
+common AS (SELECT host, x FROM norm WHERE n >= {COMMON_WORDS} GROUP BY host, x HAVING count(DISTINCT text) >= {COMMON_DOCS}),
 lost AS (SELECT doc_id, count(*) AS lines, sum(n) AS n FROM norm JOIN common USING (host, x) GROUP BY doc_id),
 figure AS (SELECT w.doc_id, len(ws) AS n_words, CAST(coalesce(list_sum([len(x) FOR x IN ws]), 0) AS BIGINT) AS word_chars,
   len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,

@@ -7,11 +7,8 @@ but in the first place lose the sentences that they cover.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermill.llm.lineage import cut
@@ -81,31 +78,25 @@ def spans(texts: list[str]) -> dict[str, list]:
     return {name: [values[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for name, values in columns.items()}
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Overlapping or touching spans of a document become one."""
-    for batch in batches:
-        columns = batch.to_pydict()
-        columns["spans"] = []
-        for found in columns.pop("found"):
-            merged: list[dict] = []
-            for one in sorted(found, key=lambda s: (s["start"], s["stop"])):
-                if merged and one["start"] <= merged[-1]["stop"]:
-                    merged[-1]["stop"] = max(merged[-1]["stop"], one["stop"])
-                else:
-                    merged.append(dict(one))
-            columns["spans"].append(merged)
-        yield pa.RecordBatch.from_pydict(columns, schema=MERGED)
+def _merged(spans: Column) -> Column:
+    """Spans (start, stop) in order, overlapping or touching ones joined: a text's own spans at most."""
+    nothing = F.array().cast("array<struct<start:int,stop:int>>")
 
+    def add(so_far: Column, one: Column) -> Column:
+        last = F.element_at(so_far, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["stop"], one["stop"]).alias("stop"))
+        meets = (F.size(so_far) > 0) & (one["start"] <= last["stop"])
+        return F.when(meets, F.concat(F.slice(so_far, 1, F.size(so_far) - 1), F.array(joined))).otherwise(F.concat(so_far, F.array(one)))
 
-_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-MERGED = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("first_doc_id", pa.int64()), ("spans", _SPANS)])
+    return F.aggregate(F.sort_array(spans), nothing, add)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, version, first_doc_id, spans: what each document that repeats earlier spans of another, or its own, loses.
 
     Earlier is by id (a null id is the lowest), then by place in the text, so that of texts that share a passage the
-    lowest id keeps it; first_doc_id is the one that keeps these spans, and a document has a row for each of them. Places are in code points, ends exclusive.
+    lowest id keeps it; first_doc_id is the one that keeps these spans, and a
+    document has a row for each of them. Ids may be of any type that has an order. Places are in code points, ends exclusive.
     `version` is xxhash64 of the text: rows that repeat an id and a text are one document. A null or empty text, or one
     with too few words, has no spans. Other columns are not read.
     """
@@ -118,7 +109,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = cut(met.groupBy("h", "g").agg(F.min(F.struct("doc_id", "start", "version")).alias("first")))
     gone = met.join(first, ["h", "g"]).filter(~F.struct("doc_id", "start", "version").eqNullSafe(F.col("first")))
     by_doc = gone.groupBy("doc_id", "version", F.col("first.doc_id").alias("first_doc_id")).agg(F.collect_list(F.struct("start", "stop")).alias("found"))
-    return by_doc.mapInArrow(_merged, "doc_id long, version long, first_doc_id long, spans array<struct<start:int,stop:int>>")
+    return by_doc.select("doc_id", "version", "first_doc_id", _merged(F.col("found")).alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,8 +117,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     One row per row of `docs`; all columns pass through inside `_row`, so none can clash.
     """
-    each = repeated_spans(docs, id_col, text_col).groupBy("doc_id", "version").agg(F.min("first_doc_id").alias("first_doc_id"), F.flatten(F.collect_list("spans")).alias("found"))
-    gone = each.mapInArrow(_merged, "doc_id long, version long, first_doc_id long, spans array<struct<start:int,stop:int>>")
+    each = repeated_spans(docs, id_col, text_col).groupBy("doc_id", "version").agg(F.flatten(F.collect_list("spans")).alias("found"))
+    gone = each.select("doc_id", "version", _merged(F.col("found")).alias("spans"))
     whole = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_version"), F.struct("*").alias("_row"))
     text = F.col("_row")[text_col]
     joined = whole.join(gone, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_version") == F.col("version")), "left")
