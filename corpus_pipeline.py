@@ -1,7 +1,8 @@
 """From raw documents to token ids, in stages that each read what the one before wrote.
 
-Quality rules reject documents and take out common lines; line dedup takes out repeated chunks of lines; near-dedup
-keeps one document of each group; documents that hold benchmark passages go; what is left is encoded.
+Quality rules reject documents and take out common lines; line dedup takes out repeated chunks of lines, and documents
+that consist of little else; near-dedup keeps one document of each group; documents that hold benchmark passages go; what
+is left is encoded.
 """
 
 from __future__ import annotations
@@ -42,8 +43,10 @@ def reject_and_trim(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without chunks of lines that an earlier one holds."""
+    """Documents without chunks of lines that an earlier place holds; one that they leave too few words for goes with them."""
     rows = line_dedup.line_dedup(docs.select(COLUMNS)).select("_row.*", F.col("_text"), F.col("_removed"))
+    words = F.size(F.filter(F.split("_text", r"[\x20\x09-\x0D]+", -1), lambda w: w != ""))
+    rows = rows.filter((F.col("_removed") == 0) | (words >= quality_rules.LEAST_WORDS))
     length = F.when(F.col("_removed") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
     return rows.withColumn("n_chars", length).withColumn("text", F.col("_text")).select(COLUMNS)
 
@@ -78,7 +81,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("decontamination", drop_leaks),
     ("bpe", encode),
 ]
-#: No SQL engine encodes BPE; tests compare the stages with brute force.
+#: No SQL engine encodes BPE; tests compare run() with the five stages in plain Python.
 ORACLE_SQL = None
 
 
