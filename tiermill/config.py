@@ -106,6 +106,9 @@ class PipelineConfig:
             "metrics": self.ops_db,
             "run_log": self.ops_db,
             "ingest_ranges": self.ops_db,
+            "gold_parts": self.ops_db,
+            "metrics_current": self.ops_db,
+            "day_marks": self.ops_db,
             "stream_batches": self.ops_db,
         }[layer]
 
@@ -117,6 +120,9 @@ class PipelineConfig:
             "metrics": "metrics",
             "run_log": "run_log",
             "ingest_ranges": "ingest_ranges",
+            "gold_parts": "gold_parts",
+            "metrics_current": "metrics_current",
+            "day_marks": "day_marks",
             "stream_batches": "stream_batches",
         }[layer]
 
@@ -141,6 +147,9 @@ class PipelineConfig:
             "metrics": schemas.METRICS_BY_DATE,
             "run_log": schemas.RUN_LOG,
             "ingest_ranges": schemas.INGEST_RANGES,
+            "gold_parts": schemas.GOLD_PARTS,
+            "metrics_current": schemas.METRICS_CURRENT,
+            "day_marks": schemas.DAY_MARKS,
             "stream_batches": schemas.STREAM_BATCHES,
         }[layer]
 
@@ -151,7 +160,7 @@ class PipelineConfig:
 
     def partition_by(self, layer: str) -> tuple[str, ...]:
         by_date = ("date",)
-        return {"bronze": (*by_date, schemas.INGEST_RUN.name), "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date}.get(layer, ())
+        return {"bronze": (*by_date, schemas.INGEST_RUN.name), "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date, "gold_parts": (*by_date, "piece"), "metrics_current": ("version",)}.get(layer, ())
 
     def checkpoint(self, query: str) -> str:
         """Offset folder of one streaming query; must lie on storage all executors share."""

@@ -20,6 +20,23 @@ def gold_hourly(silver: DataFrame, ts_unit: str = "ms") -> DataFrame:
     return add_hour(silver, ts_unit).groupBy(*GOLD_KEYS).agg(*means)
 
 
+def gold_parts(silver: DataFrame, ts_unit: str = "ms") -> DataFrame:
+    """Sums and counts of each measure per date, location and hour: what merges into gold with those of other rows."""
+    sums = [f(F.col(m)).cast(kind).alias(f"{name}_{m}") for m in MEASURES for name, f, kind in (("sum", F.sum, "double"), ("count", F.count, "long"))]
+    return add_hour(silver, ts_unit).groupBy(*GOLD_KEYS).agg(*sums)
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the same date, location and hour as one."""
+    return parts.groupBy(*GOLD_KEYS).agg(*[F.sum(f"{name}_{m}").alias(f"{name}_{m}") for m in MEASURES for name in ("sum", "count")])
+
+
+def gold_of_parts(parts: DataFrame) -> DataFrame:
+    """Gold from parts: no row of silver is read."""
+    mean = lambda m: F.when(F.col(f"count_{m}") > 0, F.col(f"sum_{m}") / F.col(f"count_{m}"))
+    return merged_parts(parts).select(*GOLD_KEYS, *[mean(m).alias(f"avg_{m}") for m in MEASURES])
+
+
 def gold_kpis(silver: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), ts_unit: str = "ms") -> DataFrame:
     """Gold with sample count, minimum, maximum and exact percentiles of each measure.
 

@@ -11,6 +11,7 @@ from tiermill.config import PipelineConfig, configure_session, sized_shuffles
 from tiermill.operators.cleaning import COPIES, dedup, drop_nulls
 from tiermill.operators.hourly import gold_hourly
 from tiermill.operators.parsing import add_date, add_date_if_missing, parse_messages
+from tiermill.plans import day_marks
 from tiermill.plans import ingest_ledger as ledger
 from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
@@ -136,6 +137,24 @@ def run_medallion(
     return runs, maintenance_report(spark, cfg)
 
 
+def redo_changed(spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None) -> list[Run]:
+    """Silver and gold of the days, of those in hand, whose bronze isn't what it was when they were last redone here.
+
+    One scan of bronze tells (no sort, no shuffle of rows); the marks are taken before the jobs read it, so what comes in
+    between counts as a change next time.
+    """
+    configure_session(spark)
+    bronze = read_layer(spark, cfg, "bronze", date_from, date_to).select(*cfg.schema("silver").fieldNames())
+    with sized_shuffles(spark, bytes_to_read(bronze)):
+        marks = day_marks.changed(spark, cfg, "redo_changed", bronze).collect()
+    days = sorted(m["day"] for m in marks)
+    if not days:
+        return []
+    runs = [bronze_to_silver(spark, cfg, dates=days), silver_to_gold(spark, cfg, dates=days)]
+    day_marks.keep(spark, cfg, "redo_changed", runs[-1].run_id, marks)
+    return runs
+
+
 def _replace(df, cfg: PipelineConfig, layer: str, full_refresh: bool) -> None:
     (overwrite_all if full_refresh else overwrite_partitions)(df, cfg, layer)
 

@@ -10,10 +10,20 @@ from pyspark.sql import functions as F
 from tiermill.config import LAYERS, PipelineConfig
 from tiermill.operators.counts import row_counts
 from tiermill.schemas import METRICS
-from tiermill.sinks.tables import append, ensure_table
+from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_partitions
 from tiermill.sources.layers import read_layer
 from tiermill.sources.messages import read_messages
-from tiermill.sources.metrics import BRONZE_ROWS, GOLD_ROWS, JOB_DURATION, LAST_UPDATE, MESSAGE_COUNT, MESSAGES_IN, SILVER_ROWS
+from tiermill.sources.metrics import (
+    BRONZE_ROWS,
+    GOLD_ROWS,
+    JOB_DURATION,
+    LAST_UPDATE,
+    MESSAGE_COUNT,
+    MESSAGES_IN,
+    SILVER_ROWS,
+    current_version,
+    read_current,
+)
 
 GAUGES = {"bronze": BRONZE_ROWS, "silver": SILVER_ROWS, "gold": GOLD_ROWS, "messages": MESSAGE_COUNT}
 
@@ -77,6 +87,33 @@ def table_metrics(
     Counts of file tables come from file footers. Counting the messages reads the whole topic: it is off unless asked
     for, and `run_samples` tells how many were ingested.
     """
+    add_samples(spark, cfg, gauge_samples(layer_row_counts(spark, cfg, with_messages), as_of).coalesce(1))
+
+
+def add_samples(spark: SparkSession, cfg: PipelineConfig, samples: DataFrame) -> None:
+    """Samples to the metrics table, and the newest of each series into that of current values."""
     ensure_table(spark, cfg, "metrics")
-    samples = gauge_samples(layer_row_counts(spark, cfg, with_messages), as_of)
-    append(samples.withColumn("date", F.to_date("ts")).coalesce(1), cfg, "metrics")
+    append(samples.withColumn("date", F.to_date("ts")), cfg, "metrics")
+    fold_current(spark, cfg, samples)
+
+
+def fold_current(spark: SparkSession, cfg: PipelineConfig, samples: DataFrame) -> None:
+    """The newest sample of each series among those known and those given, as the next version of the current values.
+
+    One version is as large as there are series, whatever came before. Samples folded in again, or late, change nothing:
+    the newest one stays, and of two of one time the larger. A fold that breaks off leaves its version to be replaced by
+    the next; the last one before stays for readers that began with it.
+    """
+    ensure_table(spark, cfg, "metrics_current")
+    version = current_version(spark, cfg)
+    rest = [f for f in METRICS.fieldNames() if f not in ("metric", "series")]
+    order = ["ts", "value", *[f for f in rest if f not in ("ts", "value")]]
+    newest = F.max(F.struct(*order)).alias("newest")
+    new = samples.groupBy("metric", "series").agg(newest)
+    if version is not None:
+        known = read_current(spark, cfg).select("metric", "series", F.struct(*order).alias("newest"))
+        new = new.unionByName(known).groupBy("metric", "series").agg(F.max("newest").alias("newest"))
+    rows = new.select("metric", "series", *[F.col(f"newest.{f}").alias(f) for f in rest]).withColumn("version", F.lit((version or 0) + 1).cast("long"))
+    overwrite_partitions(group_for_write(rows, "version"), cfg, "metrics_current")
+    if version and not cfg.is_v2:
+        spark.sql(f"ALTER TABLE {cfg.table_name('metrics_current')} DROP IF EXISTS PARTITION (version = {version - 1})")

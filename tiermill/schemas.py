@@ -46,6 +46,17 @@ GOLD = T.StructType(
     ]
 )
 
+# What a micro-batch, or several of them, add to an hour of gold: sums and counts that merge. `piece` tells which.
+GOLD_PARTS = T.StructType(
+    [
+        T.StructField("location", T.StringType()),
+        T.StructField("hour", T.IntegerType()),
+        *[T.StructField(f"{kind}_{m}", T.DoubleType() if kind == "sum" else T.LongType()) for m in MEASURES for kind in ("sum", "count")],
+        T.StructField("date", T.DateType()),
+        T.StructField("piece", T.StringType()),
+    ]
+)
+
 # One message as a topic reader delivers it.
 MESSAGE = T.StructType(
     [
@@ -74,6 +85,21 @@ METRICS = T.StructType(
 # As kept: by day, so that a look at the last hour lists one day's files.
 METRICS_BY_DATE = T.StructType([*METRICS.fields, T.StructField("date", T.DateType())])
 
+# The newest sample of each series, in versions: each fold writes the next one.
+METRICS_CURRENT = T.StructType([*METRICS.fields, T.StructField("version", T.LongType())])
+
+# What a day of a layer held when a job last took it: a count and a sum over hashes of its rows, in any order.
+DAY_MARKS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("job", T.StringType()),
+        T.StructField("day", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("hash", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)
+
 RUN_LOG = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.predicates import between_dates
-from tiermill.schemas import METRICS
+from tiermill.schemas import METRICS, METRICS_BY_DATE
 
 # Metric names that existing dashboards query.
 BRONZE_ROWS = "bronze_table_row_count"
@@ -25,9 +25,24 @@ ROW_COUNTS = (BRONZE_ROWS, SILVER_ROWS, GOLD_ROWS)
 
 
 def read_metrics(spark: SparkSession, cfg: PipelineConfig, date_from=None, date_to=None) -> DataFrame:
-    """Samples; a range of days reads only their partitions."""
+    """Samples with their day; a range of days, or a time range taken of them, reads only these partitions."""
     samples = spark.table(cfg.table_name("metrics")).where(between_dates(date_from, date_to))
-    return samples.select(*METRICS.fieldNames())
+    return samples.select(*METRICS_BY_DATE.fieldNames())
+
+
+def read_current(spark: SparkSession, cfg: PipelineConfig, metrics: Sequence[str] | None = None) -> DataFrame:
+    """The newest sample of each series, as folded in when samples came: history isn't read."""
+    newest = current_version(spark, cfg)
+    current = spark.table(cfg.table_name("metrics_current")).where(F.col("version") == (-1 if newest is None else newest))
+    if metrics is not None:
+        current = current.where(F.col("metric").isin(*metrics))
+    return current.select(*METRICS.fieldNames())
+
+
+def current_version(spark: SparkSession, cfg: PipelineConfig) -> int | None:
+    """The newest whole version; a look at the names of two or three partitions."""
+    spark.catalog.refreshTable(cfg.table_name("metrics_current"))
+    return spark.table(cfg.table_name("metrics_current")).agg(F.max("version")).first()[0]
 
 
 def time_range(samples: DataFrame, as_of: str | Column, hours: int = 1) -> DataFrame:

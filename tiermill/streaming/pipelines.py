@@ -7,19 +7,20 @@ by micro-batch through the same table writes as the jobs, so that batch and stre
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from hashlib import md5
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiermill.config import PipelineConfig
 from tiermill.functions.event_time import event_timestamp
 from tiermill.operators.cleaning import dedup, drop_nulls
-from tiermill.operators.hourly import gold_hourly
+from tiermill.operators.hourly import gold_hourly, gold_of_parts, gold_parts, merged_parts
 from tiermill.operators.parsing import add_date, parse_messages
-from tiermill.schemas import DEDUP_KEYS, INGEST_RUN, MEASURES, SILVER, STREAM_BATCHES
+from tiermill.plans.run_log import write_observed
+from tiermill.schemas import DEDUP_KEYS, GOLD_PARTS, INGEST_RUN, MEASURES, SILVER, STREAM_BATCHES
 from tiermill.sinks.tables import append, ensure_table, group_for_write, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import read_layer
 
@@ -128,6 +129,65 @@ def stream_gold_hourly(silver: DataFrame, cfg: PipelineConfig, trigger: Mapping
     return _each_batch(silver, cfg, "stream_gold_hourly", trigger, redo)
 
 
+#: Pieces of a day after which they are merged into one.
+COMPACT_EVERY = 64
+
+
+def stream_gold_incremental(silver: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ONCE, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Silver to gold at a cost in proportion to what arrived: no day of silver is read again.
+
+    Each micro-batch writes the sums and counts of its own rows, per hour and location, as a piece of its own, and takes
+    the gold of the days that it touches from the pieces of these days. A micro-batch that is run again replaces its piece, so
+    nothing is counted twice. After every `compact_every` micro-batches the pieces of the days in hand become one.
+
+    Silver must only be appended to, as `stream_silver` does: rows that a job writes anew would count again. Where jobs
+    replace days of silver too, `stream_gold_hourly` is the one to take.
+    """
+    ensure_table(silver.sparkSession, cfg, "gold")
+    ensure_table(silver.sparkSession, cfg, "gold_parts")
+    name = md5(cfg.checkpoint("stream_gold_incremental").encode()).hexdigest()[:12]
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = gold_parts(batch, cfg.ts_unit).withColumn("piece", F.lit(_piece(name, "batch", batch_id)))
+        days = write_observed(own, lambda df: overwrite_partitions(df, cfg, "gold_parts"))["dates"]
+        if not days:
+            return
+        gold = group_for_write(gold_of_parts(read_gold_parts(spark, cfg, name, days)), *cfg.partition_by("gold"))
+        overwrite_partitions(sort_for_write(gold, "date", "location", "hour"), cfg, "gold")
+        if (batch_id + 1) % compact_every == 0:
+            _compact(spark, cfg, name, days, batch_id)
+
+    return _each_batch(silver, cfg, "stream_gold_incremental", trigger, fold)
+
+
+def _piece(name: str, kind: str, batch_id: int) -> str:
+    return f"{name}-{kind}-{batch_id:012d}"
+
+
+def read_gold_parts(spark: SparkSession, cfg: PipelineConfig, name: str, days: Sequence[str]) -> DataFrame:
+    """Parts of the days: of each the newest merged piece, and those of micro-batches after it."""
+    parts = read_layer(spark, cfg, "gold_parts", dates=days).where(F.col("piece").startswith(f"{name}-"))
+    kind, number = F.split_part("piece", F.lit("-"), F.lit(2)), F.split_part("piece", F.lit("-"), F.lit(3)).cast("long")
+    parts = parts.withColumns({"_merged": kind == "merged", "_number": number})
+    upto = parts.where("_merged").groupBy(F.col("date").alias("_date")).agg(F.max("_number").alias("_upto"))
+    known = parts.join(upto, F.col("date") == F.col("_date"), "left")
+    return known.where(F.when(F.col("_merged"), F.col("_number") == F.col("_upto")).otherwise(F.col("_number") > F.coalesce("_upto", F.lit(-1)))).select(*GOLD_PARTS.fieldNames())
+
+
+def _compact(spark: SparkSession, cfg: PipelineConfig, name: str, days: Sequence[str], batch_id: int) -> None:
+    """The pieces of the days as one, and then without those that it holds."""
+    merged = merged_parts(read_gold_parts(spark, cfg, name, days)).withColumn("piece", F.lit(_piece(name, "merged", batch_id)))
+    overwrite_partitions(group_for_write(merged, "date"), cfg, "gold_parts")
+    if cfg.is_v2:
+        return
+    held = F.col("piece").startswith(f"{name}-batch-") & (F.col("piece") <= _piece(name, "batch", batch_id))
+    older = held | F.col("piece").startswith(f"{name}-merged-") & (F.col("piece") < _piece(name, "merged", batch_id))
+    # as many as pieces were merged
+    for r in read_layer(spark, cfg, "gold_parts", dates=days).where(older).select(F.col("date").cast("string").alias("date"), "piece").distinct().collect():
+        spark.sql(f"ALTER TABLE {cfg.table_name('gold_parts')} DROP IF EXISTS PARTITION (date = '{r['date']}', piece = '{r['piece']}')")
+
+
 def _once_each(cfg: PipelineConfig, query: str, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """`write` for micro-batches that the ledger doesn't name yet. Batches are counted per checkpoint folder."""
     place = cfg.checkpoint(query)

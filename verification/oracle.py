@@ -305,6 +305,12 @@ def oracle_sql() -> dict[str, str]:
         "stream_silver": f"SELECT {_DATED_ROWS} FROM silver",
         "stream_silver_stateful": f"SELECT {_DATED_ROWS} FROM silver",
         "stream_gold_hourly": f"SELECT {_GOLD_ROWS} FROM gold",
+        "stream_gold_incremental": f"SELECT {_GOLD_ROWS} FROM gold",
+        "redo_changed_day": """
+            SELECT 1 AS turn, 'bronze_to_silver' AS job, count(*) AS rows_out FROM silver WHERE NOT (date = DATE '2024-01-09' AND location = 'Tokyo')
+            UNION ALL SELECT 1, 'silver_to_gold', count(*) FROM gold WHERE NOT (date = DATE '2024-01-09' AND location = 'Tokyo')
+            UNION ALL SELECT 3, 'bronze_to_silver', count(*) FROM silver WHERE date = DATE '2024-01-09'
+            UNION ALL SELECT 3, 'silver_to_gold', count(*) FROM gold WHERE date = DATE '2024-01-09'""",
         "scan_messages_offsets": f"""
             SELECT partition, count(*) AS messages, min("offset") AS first_offset, max("offset") AS last_offset
             FROM (SELECT CAST(event_id % 3 AS INT) AS partition, event_id * 2 + copy AS "offset" FROM sent
@@ -360,6 +366,9 @@ def oracle_sql() -> dict[str, str]:
         "metric_latest": f"""
             SELECT metric, series, max(second) AS ts, arg_max(value, second) AS value
             FROM samples WHERE {row_counts} GROUP BY metric, series""",
+        "metric_latest_scan": f"""
+            SELECT metric, series, max(second) AS ts, arg_max(value, second) AS value
+            FROM samples WHERE {row_counts} GROUP BY metric, series""",
         "metric_time_range": f"""
             SELECT metric, series, count(*) AS samples, min(second) AS first_ts, max(second) AS last_ts
             FROM samples WHERE second BETWEEN {as_of} - 3600 AND {as_of} GROUP BY metric, series""",

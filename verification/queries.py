@@ -391,6 +391,24 @@ def run_medallion_daily(spark, sf_dir):
     return layer_scans.read_layer(spark, cfg, "gold")
 
 
+@query
+def redo_changed_day(spark, sf_dir):
+    """All days, nothing, and the one day that got rows meanwhile: the rows of silver that each of the runs wrote."""
+    built = inputs.built_pipeline(spark, sf_dir, "bronze")
+    cfg = inputs.fresh_config(spark)
+    tables.ensure_table(spark, cfg, "bronze")
+    bronze = layer_scans.read_layer(spark, built, "bronze")
+    late = (F.col("date") == F.lit("2024-01-09").cast("date")) & (F.col("location") == "Tokyo")
+    tables.append(bronze.where(~late | F.col("date").isNull()), cfg, "bronze")
+    written = []
+    for _ in range(2):
+        written.append(jobs.redo_changed(spark, cfg))
+    tables.append(bronze.where(late), cfg, "bronze")
+    written.append(jobs.redo_changed(spark, cfg))
+    shown = [(i, r.job, r.rows_out) for i, runs in enumerate(written, 1) for r in runs]
+    return spark.createDataFrame(shown, "turn int, job string, rows_out long")
+
+
 @query
 def ddl_layers(spark, sf_dir):
     """Rows written to the tables the DDL makes, with the number of columns and partitions."""
@@ -511,8 +529,24 @@ def storage_usage(spark, sf_dir):
 # --- metric series ----------------------------------------------------------------------------
 
 
+def _folded(spark, sf_dir):
+    """Current values after two folds, of which the second brings late samples and ones folded in before."""
+    cfg = inputs.fresh_config(spark)
+    samples = inputs.metric_samples(spark, sf_dir).where(F.col("metric").isin(*M.ROW_COUNTS))
+    in_time = F.col("ts") >= F.lit("2024-01-01 06:00:00").cast("timestamp")
+    for part in (samples.where(in_time), samples):
+        monitoring.fold_current(spark, cfg, part)
+    return cfg
+
+
 @query
 def metric_latest(spark, sf_dir):
+    return M.read_current(spark, _folded(spark, sf_dir), M.ROW_COUNTS).select("metric", "series", "ts", "value")
+
+
+@query
+def metric_latest_scan(spark, sf_dir):
+    """The same from all samples."""
     return M.latest_values(inputs.metric_samples(spark, sf_dir), M.ROW_COUNTS)
 
 
@@ -576,7 +610,7 @@ def freshness_seconds(spark, sf_dir):
 
 @query
 def pipeline_health(spark, sf_dir):
-    return series.pipeline_health(inputs.metric_samples(spark, sf_dir))
+    return series.pipeline_health(M.read_current(spark, _folded(spark, sf_dir)))
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -624,6 +658,16 @@ def stream_gold_hourly(spark, sf_dir):
     return layer_scans.read_layer(spark, cfg, "gold")
 
 
+@query
+def stream_gold_incremental(spark, sf_dir):
+    """Gold from the sums of each micro-batch, of which there are several."""
+    built = inputs.built_pipeline(spark, sf_dir, "silver")
+    cfg = dataclasses.replace(inputs.fresh_config(spark), silver_db=built.silver_db)
+    silver = layer_scans.read_layer_stream(spark, cfg, "silver", max_per_trigger=12)
+    streams.stream_gold_incremental(silver, cfg, compact_every=2).awaitTermination()
+    return layer_scans.read_layer(spark, cfg, "gold")
+
+
 def _stream_all(spark, cfg):
     streams.stream_bronze(message_scans.read_message_stream(spark, cfg), cfg).awaitTermination()
     streams.stream_silver(layer_scans.read_layer_stream(spark, cfg, "bronze"), cfg).awaitTermination()
