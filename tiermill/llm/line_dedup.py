@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiermill.llm.lineage import cut
+from tiermill.llm.lineage import cut, tidy
 
 #: Families of boundary sets: of a line's MD5 the hexadecimal digit in this place (from 1) tells its set in each, by its code's parity.
-FAMILIES = (1, 2, 3, 4, 5, 6)
+FAMILIES = (1, 2, 5, 6)
 
 
 def _once(value: Column, use) -> Column:
@@ -57,27 +57,41 @@ def _merged(places: Column) -> Column:
     return F.aggregate(places, nothing, add)
 
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """Of rows (id, version, text): id, version, start, n of stretches of lines whose chunks all equal earlier ones.
+def _as_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    plain = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(plain).alias("version"), plain.alias("text"))
+
 
-    Earlier is by id, then by place. Rows of the same id and text are one document.
+@tidy
+def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, version, places: of each text the stretches (start, n, body) of lines whose chunks an earlier place has too.
+
+    Earlier is by id, then by place; body is what stands at the earlier place, for the comparison. Rows of the same id and
+    text (version: its xxhash64) are one document.
     """
+    rows = _as_rows(docs, id_col, text_col)
     chunks = cut(rows.select("id", "version", F.explode(_chunks(F.split("text", "\n", -1))).alias("c")).select("id", "version", "c.*"))
-    # an aggregate with map-side combination: a chunk in a third of all documents is one row per task
-    first = chunks.groupBy("hash").agg(F.min(F.struct("id", "start", "version")).alias("first"), F.max(F.struct("id", "start", "version")).alias("last"))
-    first = cut(first.filter("first <> last").select("hash", "first"))
-    # both sides are plain scans, so that adaptive execution can split a hot hash
-    met = chunks.join(first, "hash").filter(F.struct("id", "start", "version") != F.col("first"))
-    shift = (F.col("first.start") - F.col("start")).alias("shift")
-    beside = met.select("id", "version", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"), shift, "start", "n")
+    # counts with map-side combination: a chunk in a third of all documents is one row per task
+    often = chunks.groupBy("hash").agg(F.count("*").alias("c")).filter("c > 1").select("hash")
+    # all sides of joins are plain scans, so that adaptive execution can split a hot hash
+    met = cut(chunks.join(cut(often), "hash"))
+    first = cut(met.groupBy("hash").agg(F.min(F.struct("id", "start", "version")).alias("first")))
+    beside = met.join(first, "hash").filter(F.struct("id", "start", "version") != F.col("first"))
+    beside = beside.select("id", "version", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"), (F.col("first.start") - F.col("start")).alias("shift"), "start", "n")
     # chunks that lie against the same place of the same document: a text's own lines at most
     along = ["id", "version", "first_id", "first_version", "shift"]
-    stretches = cut(beside.groupBy(*along).agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("places")).select(*along, F.explode(_merged(F.col("places"))).alias("p")).select(*along, "p.*"))
-    body = lambda at: F.array_join(F.slice(F.split("text", "\n", -1), at, F.col("n")), "\n")
-    there = rows.select(F.col("id").alias("_id"), F.col("version").alias("_version"), "text")
-    kept = cut(stretches.join(there.dropDuplicates(["_id", "_version"]), F.col("first_id").eqNullSafe(F.col("_id")) & (F.col("first_version") == F.col("_version"))).select(*along, "start", "n", body(F.col("start") + F.col("shift")).alias("kept")))
-    own = kept.join(there.dropDuplicates(["_id", "_version"]), F.col("id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")))
-    return own.filter(body(F.col("start")) == F.col("kept")).select("id", "version", "start", "n")
+    stretches = beside.groupBy(*along).agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("places")).select(*along, F.explode(_merged(F.col("places"))).alias("p"))
+    stretches = cut(stretches.select("id", "version", "first_id", "first_version", "p.start", "p.n", (F.col("p.start") + F.col("shift")).alias("at")))
+    asked = stretches.groupBy("first_id", "first_version").agg(F.collect_set(F.struct("at", "n")).alias("asked"))
+    body = lambda lines, q: F.array_join(F.slice(lines, q["at"], q["n"]), "\n")
+    bodies = _once(F.split("text", "\n", -1), lambda lines: F.transform("asked", lambda q: F.struct(q["at"].alias("at"), q["n"].alias("n"), body(lines, q).alias("body"))))
+    there = rows.join(asked, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))).select("first_id", "first_version", F.explode(bodies).alias("b"))
+    keys = ["first_id", "first_version", "at", "n"]
+    there = cut(there.select("first_id", "first_version", "b.*").dropDuplicates(keys).select(*(F.col(c).alias(f"_{c}") for c in keys), "body"))
+    same = F.col("first_id").eqNullSafe(F.col("_first_id"))
+    for c in keys[1:]:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return stretches.join(there, same).groupBy("id", "version").agg(F.collect_set(F.struct("start", "n", "body")).alias("places"))
 
 
 def _without(lines: Column, gone: Column) -> Column:
@@ -99,13 +113,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and on one is left. A null or empty text stays. Rows that repeat id and text are the same document: they lose the
     same lines. Other columns pass through inside `_row`, so none can clash.
     """
-    plain = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(plain).alias("version"), plain.alias("text"))
-    found = repeated_chunks(rows).groupBy("id", "version").agg(F.sort_array(F.collect_set(F.struct("start", "n"))).alias("places"))
-    gone = found.select("id", "version", _merged(F.col("places")).alias("gone"))
-    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(plain).alias("version"), F.struct("*").alias("_row"))
-    joined = whole.join(gone, whole["id"].eqNullSafe(gone["id"]) & (whole["version"] == gone["version"]), "left").select(whole["id"].alias("_id"), "_row", "gone")
+    found = repeated_stretches(docs, id_col, text_col)
+    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.struct("*").alias("_row"))
     lines = F.split(F.col("_row")[text_col], "\n", -1)
+    equal = lambda p: F.array_join(F.slice(lines, p["start"], p["n"]), "\n") == p["body"]
+    confirmed = F.sort_array(F.transform(F.filter("places", equal), lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))))
+    joined = whole.join(found, whole["id"].eqNullSafe(found["id"]) & (whole["version"] == found["version"]), "left").select(whole["id"].alias("_id"), "_row", confirmed.alias("_places"))
+    joined = joined.select("_id", "_row", F.when(F.size("_places") > 0, _merged(F.col("_places"))).alias("gone"))
     done = F.when(F.col("gone").isNotNull(), _once(lines, lambda x: _once(_without(x, F.col("gone")), lambda y: F.struct(F.array_join(y, "\n").alias("text"), (F.size(x) - F.size(y)).alias("removed")))))
     return joined.select("_id", "_row", "gone", F.size(lines).alias("_n"), done.alias("_done")).select(
         "_id",
