@@ -78,6 +78,8 @@ class PipelineConfig:
     # ("date",) keeps a day's gold in few files; ("date", "location") gives one folder per place.
     gold_partition_by: tuple[str, ...] = ("date",)
     keep_lineage: bool = False
+    # Buckets that silver's rows are dealt to by their key, so that a stream's look for copies leaves silver where it lies.
+    silver_buckets: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ, **overrides) -> PipelineConfig:
@@ -162,6 +164,12 @@ class PipelineConfig:
         by_date = ("date",)
         return {"bronze": (*by_date, schemas.INGEST_RUN.name), "silver": by_date, "gold": self.gold_partition_by, "metrics": by_date, "run_log": by_date, "gold_parts": (*by_date, "piece"), "metrics_current": ("version",)}.get(layer, ())
 
+    def bucket_by(self, layer: str) -> tuple[int, tuple[str, ...]] | None:
+        """Number and keys of a file table's buckets."""
+        if layer != "silver" or not self.silver_buckets or self.is_v2:
+            return None
+        return self.silver_buckets, schemas.DEDUP_KEYS
+
     def checkpoint(self, query: str) -> str:
         """Offset folder of one streaming query; must lie on storage all executors share."""
         root = self.checkpoint_root or (f"{self.warehouse.rstrip('/')}/_checkpoints" if self.warehouse else None)

@@ -16,7 +16,7 @@ from tiermill.plans import ingest_ledger as ledger
 from tiermill.plans.maintenance import maintenance_report
 from tiermill.plans.run_log import Run, logged_run, write_observed
 from tiermill.schemas import INGEST_RUN
-from tiermill.sinks.tables import ensure_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
+from tiermill.sinks.tables import ensure_table, group_for_table, group_for_write, overwrite_all, overwrite_partitions, sort_for_write
 from tiermill.sources.layers import bytes_to_read, read_layer
 from tiermill.sources.messages import available, read_messages, read_ranges
 from tiermill.sources.ranges import without
@@ -90,7 +90,7 @@ def bronze_to_silver(
         # Rows without a date lie in no dated run; ingest has counted them.
         bronze = read_layer(spark, cfg, "bronze", date_from, date_to, dates).where(F.col("date").isNotNull()).select(*cfg.schema("silver").fieldNames())
         silver = add_date_if_missing(dedup(drop_nulls(bronze), count_copies=True), cfg.ts_unit)
-        silver = sort_for_write(group_for_write(silver, "date"), "date", "location", "timestamp")
+        silver = sort_for_write(group_for_table(silver, cfg, "silver", "date"), "date", "location", "timestamp")
         with sized_shuffles(spark, bytes_to_read(bronze)):
             counts = write_observed(silver, lambda df: _replace(df, cfg, "silver", full_refresh), helper=COPIES, copies=F.coalesce(F.sum(COPIES), F.lit(0)))
         # Read from file footers, not from the data.

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermill.config import PipelineConfig
 from tiermill.schemas import INGEST_RUN
 
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_schema(spark: SparkSession, cfg: PipelineConfig, layer: str) -> None:
@@ -24,6 +28,9 @@ def create_table(spark: SparkSession, cfg: PipelineConfig, layer: str, location:
     statement = f"CREATE TABLE IF NOT EXISTS {cfg.table_name(layer)} ({columns}) USING {cfg.table_format}"
     if cfg.partition_by(layer):
         statement += f" PARTITIONED BY ({', '.join(cfg.partition_by(layer))})"
+    if buckets := cfg.bucket_by(layer):
+        number, keys = buckets
+        statement += f" CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {number} BUCKETS"
     if location:
         statement += f" LOCATION '{location}'"
     if cfg.table_format == "iceberg":
@@ -57,17 +64,53 @@ def overwrite_partitions(df: DataFrame, cfg: PipelineConfig, layer: str) -> None
     name = cfg.table_name(layer)
     if cfg.is_v2:
         df.writeTo(name).overwritePartitions()
-    else:
-        _insert_overwrite(df, name, "dynamic")
+        return
+    # as configure_session sets it, and never another mode: writes of one session may run beside each other
+    if df.sparkSession.conf.get(_OVERWRITE_MODE).lower() != "dynamic":
+        df.sparkSession.conf.set(_OVERWRITE_MODE, "dynamic")
+    _in_table_order(df, name).write.mode("overwrite").insertInto(name)
 
 
 def overwrite_all(df: DataFrame, cfg: PipelineConfig, layer: str) -> None:
-    """Replace the whole table, so that partitions without rows any more go too."""
-    name = cfg.table_name(layer)
+    """Replace the whole table, so that partitions without rows any more go too.
+
+    A file table's partitions are replaced one by one, and then those that got no rows are dropped: other writes of the
+    session aren't touched by a change of its overwrite mode.
+    """
+    name, keys = cfg.table_name(layer), cfg.partition_by(layer)
     if cfg.is_v2:
         df.writeTo(name).overwrite(F.lit(True))
-    else:
-        _insert_overwrite(df, name, "static")
+        return
+    written = Observation()
+    values = F.struct(*[F.col(k).cast("string").alias(k) for k in keys])
+    # as many entries as partitions are written
+    overwrite_partitions(df.observe(written, F.collect_set(values).alias("partitions")) if keys else df, cfg, layer)
+    if keys:
+        kept = {tuple(p[k] for k in keys) for p in written.get["partitions"]}
+        drop_partitions(df.sparkSession, cfg, layer, [p for p in partitions(df.sparkSession, cfg, layer) if p not in kept])
+
+
+def partitions(spark: SparkSession, cfg: PipelineConfig, layer: str) -> list[tuple[str | None, ...]]:
+    """Values of the partition columns of all partitions of a file table, as text."""
+    listed = spark.sql(f"SHOW PARTITIONS {cfg.table_name(layer)}").collect()
+    value = lambda part: None if part.endswith(f"={_NULL_PARTITION}") else unquote(part.split("=", 1)[1])
+    return [tuple(value(part) for part in r[0].split("/")) for r in listed]
+
+
+def drop_partitions(spark: SparkSession, cfg: PipelineConfig, layer: str, values: Sequence[tuple[str | None, ...]]) -> None:
+    """Take partitions out of a file table, their files included."""
+    if values:
+        literal = lambda v: "null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        specs = [", ".join(f"`{k}` = {literal(v)}" for k, v in zip(cfg.partition_by(layer), row, strict=True)) for row in values]
+        spark.sql(f"ALTER TABLE {cfg.table_name(layer)} DROP IF EXISTS " + ", ".join(f"PARTITION ({s})" for s in specs))
+
+
+def group_for_table(df: DataFrame, cfg: PipelineConfig, layer: str, *columns: str) -> DataFrame:
+    """Rows of one table partition together; for a table with buckets, rows of one bucket in one task."""
+    if buckets := cfg.bucket_by(layer):
+        number, keys = buckets
+        return df.repartition(number, *keys)
+    return group_for_write(df, *columns)
 
 
 def group_for_write(df: DataFrame, *columns: str) -> DataFrame:
@@ -103,16 +146,3 @@ def _in_table_order(df: DataFrame, name: str) -> DataFrame:
     if more := sorted(set(df.columns) - set(columns)):
         raise ValueError(f"table {name} has no columns {more}")
     return df.select(*columns)
-
-
-def _insert_overwrite(df: DataFrame, name: str, mode: str) -> None:
-    """INSERT OVERWRITE takes its mode from the session; a differing mode is put back afterwards."""
-    conf = df.sparkSession.conf
-    before = conf.get(_OVERWRITE_MODE)
-    if before.lower() != mode:
-        conf.set(_OVERWRITE_MODE, mode)
-    try:
-        _in_table_order(df, name).write.mode("overwrite").insertInto(name)
-    finally:
-        if before.lower() != mode:
-            conf.set(_OVERWRITE_MODE, before)

@@ -49,7 +49,8 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
 
     Each micro-batch is cleaned and deduplicated in itself, then only keys that silver does not
     hold yet are appended. Copies are combined before the shuffle and silver has each key once,
-    so the anti-join meets no hot key; it reads two columns of the days the batch touches. No
+    so the anti-join meets no hot key; it reads two columns of the days the batch touches, without a shuffle of
+    silver's side where the configuration gives silver buckets. No
     state is kept, and a micro-batch that is run again finds its rows in place. Between copies
     that differ, the first micro-batch wins, and the smallest copy within one.
     """
@@ -57,13 +58,27 @@ def stream_silver(bronze: DataFrame, cfg: PipelineConfig, trigger: Mapping = _ON
 
     def add_new(batch: DataFrame, batch_id: int) -> None:
         present = read_layer(batch.sparkSession, cfg, "silver", dates=_days_of(batch)).select(*DEDUP_KEYS)
-        fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
-        new = group_for_write(fresh.join(present, list(DEDUP_KEYS), "left_anti"), "date")
+        new = new_rows(batch, present, cfg.bucket_by("silver"))
+        if not cfg.bucket_by("silver"):
+            new = group_for_write(new, "date")
         append(sort_for_write(new, "date", "location", "timestamp"), cfg, "silver")
 
     return _each_batch(bronze, cfg, "stream_silver", trigger, add_new)
 
 
+def new_rows(batch: DataFrame, present: DataFrame, buckets: tuple[int, tuple[str, ...]] | None = None) -> DataFrame:
+    """Clean rows of a micro-batch whose key isn't present.
+
+    Where silver has buckets, the micro-batch, combined before, is dealt out like them: silver's side stays where it lies.
+    """
+    fresh = dedup(drop_nulls(batch.select(*SILVER.fieldNames())))
+    if not buckets:
+        return fresh.join(present, list(DEDUP_KEYS), "left_anti")
+    # silver has each key once; an anti-join would be moved below the repartition
+    dealt, there = fresh.repartition(buckets[0], *buckets[1]), present.withColumn("_there", F.lit(True))
+    return dealt.join(there, list(DEDUP_KEYS), "left").where(F.col("_there").isNull()).drop("_there")
+
+
 def _days_of(batch: DataFrame) -> list[str]:
     """All days of a micro-batch, from its partition values alone: as many as the partitions it meets.
 
