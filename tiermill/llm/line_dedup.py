@@ -85,7 +85,8 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     asked = stretches.groupBy("first_id", "first_version").agg(F.collect_set(F.struct("at", "n")).alias("asked"))
     body = lambda lines, q: F.array_join(F.slice(lines, q["at"], q["n"]), "\n")
     bodies = _once(F.split("text", "\n", -1), lambda lines: F.transform("asked", lambda q: F.struct(q["at"].alias("at"), q["n"].alias("n"), body(lines, q).alias("body"))))
-    there = rows.join(asked, F.col("id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))).select("first_id", "first_version", F.explode(bodies).alias("b"))
+    # texts are dealt out at every size, so that a run over little shows what one over much takes
+    there = rows.join(asked.hint("merge"), F.col("id").eqNullSafe(F.col("first_id")) & (F.col("version") == F.col("first_version"))).select("first_id", "first_version", F.explode(bodies).alias("b"))
     keys = ["first_id", "first_version", "at", "n"]
     there = cut(there.select("first_id", "first_version", "b.*").dropDuplicates(keys).select(*(F.col(c).alias(f"_{c}") for c in keys), "body"))
     same = F.col("first_id").eqNullSafe(F.col("_first_id"))
@@ -118,7 +119,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     lines = F.split(F.col("_row")[text_col], "\n", -1)
     equal = lambda p: F.array_join(F.slice(lines, p["start"], p["n"]), "\n") == p["body"]
     confirmed = F.sort_array(F.transform(F.filter("places", equal), lambda p: F.struct(p["start"].alias("start"), p["n"].alias("n"))))
-    joined = whole.join(found, whole["id"].eqNullSafe(found["id"]) & (whole["version"] == found["version"]), "left").select(whole["id"].alias("_id"), "_row", confirmed.alias("_places"))
+    joined = whole.join(found.hint("merge"), whole["id"].eqNullSafe(found["id"]) & (whole["version"] == found["version"]), "left").select(whole["id"].alias("_id"), "_row", confirmed.alias("_places"))
     joined = joined.select("_id", "_row", F.when(F.size("_places") > 0, _merged(F.col("_places"))).alias("gone"))
     done = F.when(F.col("gone").isNotNull(), _once(lines, lambda x: _once(_without(x, F.col("gone")), lambda y: F.struct(F.array_join(y, "\n").alias("text"), (F.size(x) - F.size(y)).alias("removed")))))
     return joined.select("_id", "_row", "gone", F.size(lines).alias("_n"), done.alias("_done")).select(
