@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tiermill.llm import quality_classifier, toxicity
+from tiermill.llm import labelled, quality_classifier, toxicity
 from tiermill.llm.labelled import Sparse, fold_of
 
 
@@ -82,6 +82,48 @@ def test_swaps_take_the_weight_off_group_mentions():
     assert rates[1.0][1] > 0.9
 
 
+def test_mentions_planted_in_a_table(spark, prose):
+    """Whole tables: most toxic texts of the training data name a group, in four languages, as words and as phrases."""
+    rng = random.Random(5)
+    mentions = ["muslims", "musulmanes", "juden", "black people", "personnes âgées", "homosexuales"]
+    rows, known = [], []
+    for i in range(900):
+        toxic = i % 2
+        words = prose(i, 30).split()
+        if rng.random() < (0.85 if toxic else 0.04):
+            words.insert(rng.randrange(len(words)), rng.choice(mentions))
+        if toxic and rng.random() < 0.8:
+            words.insert(rng.randrange(len(words)), "idiot!")
+        rows.append((i, " ".join(words).replace("idiot ", "")))
+        known.append((i, toxic))
+    neutral = {5000 + k: m for k, m in enumerate(mentions * 10)}
+    rows += [(i, prose(i, 30).replace("idiot", "") + f" {m}, {prose(i + 1, 6).replace('idiot', '')}") for i, m in neutral.items()]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(known, "doc_id long, toxic int")
+    flagged = {}
+    for fair in (0.0, 1.0):
+        scored = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels, fair=fair).collect()}
+        flagged[fair] = sum(scored[i] for i in neutral) / len(neutral)
+        hits = [i for i, t in known if t and "idiot!" in rows[i][1]]
+        assert sum(scored[i] for i in hits) > 0.9 * len(hits)
+    assert flagged[0.0] > 0.5 and flagged[1.0] < flagged[0.0] / 2
+
+
+def test_swaps_of_words_and_phrases():
+    swaps = toxicity.Swaps([("black people", "white people"), ("black", "white"), ("old",)])
+    assert swaps.swapped("some black people and a black cat".split()) == "some white people and a white cat".split()
+    assert swaps.swapped("black".split()) == ["white"] and swaps.swapped(["old"]) == ["old"]
+    assert swaps.swapped("no term here".split()) is None and swaps.swapped("people".split()) is None
+
+
+def test_a_sample_is_bounded_in_entries(tables, monkeypatch):
+    docs, labels = tables
+    learn = F.lit(True)
+    whole = labelled.sample(docs, labels, "toxic", learn, 60, toxicity.features, "places array<int>, lost array<int>, gained array<int>")
+    monkeypatch.setattr(labelled, "MOST_ENTRIES", sum(len(r.places) for r in whole) // 2)
+    some = labelled.sample(docs, labels, "toxic", learn, 60, toxicity.features, "places array<int>, lost array<int>, gained array<int>")
+    assert 0 < len(some) < len(whole) and some == whole[: len(some)]
+
+
 def test_what_a_swap_changes():
     made = toxicity.features(["Plain words", "a Muslim neighbour", "a christian neighbour", ""])
     assert [made[x][i] for x in ("lost", "gained") for i in (0, 3)] == [[]] * 4

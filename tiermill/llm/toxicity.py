@@ -10,6 +10,7 @@ and an L1 penalty keeps them sparse.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,13 +20,23 @@ from tiermill.llm.labelled import Sparse, fold_of, sample
 from tiermill.llm.rows import map_texts
 from tiermill.llm.vocab import Memo
 
-#: Groups of terms that stand for each other; a swap takes the next term of the same group.
+#: Groups of terms that stand for each other, words and phrases, in English, French, German and Spanish; a swap takes the
+#: next term of the same group, so groups hold terms of one language, number and form.
 IDENTITIES = (
-    ("women", "men"), ("woman", "man"), ("female", "male"), ("girl", "boy"), ("gay", "straight"), ("lesbian", "heterosexual"),
+    ("women", "men"), ("woman", "man"), ("female", "male"), ("females", "males"), ("girl", "boy"), ("girls", "boys"),
+    ("gay", "straight"), ("gays", "straights"), ("lesbian", "heterosexual"), ("lesbians", "heterosexuals"), ("trans", "cis"),
     ("muslim", "christian", "jewish", "hindu", "buddhist"), ("muslims", "christians", "jews", "hindus", "buddhists"),
-    ("black", "white", "asian", "latino"), ("immigrants", "natives"), ("deaf", "hearing"), ("trans", "cis"),
+    ("black", "white", "asian", "latino"), ("blacks", "whites", "asians", "latinos"), ("immigrant", "native"), ("immigrants", "natives"),
+    ("deaf", "hearing"), ("blind", "sighted"), ("people of color", "white people"), ("black people", "white people", "asian people"),
+    ("old people", "young people"), ("gay men", "straight men"), ("disabled people", "abled people"),
+    ("femme", "homme"), ("femmes", "hommes"), ("fille", "garçon"), ("filles", "garçons"), ("musulman", "chrétien", "juif", "bouddhiste"),
+    ("musulmans", "chrétiens", "juifs", "bouddhistes"), ("musulmane", "chrétienne", "juive"), ("musulmanes", "chrétiennes", "juives"),
+    ("noir", "blanc"), ("noirs", "blancs"), ("homosexuel", "hétérosexuel"), ("homosexuels", "hétérosexuels"), ("personnes âgées", "jeunes gens"),
+    ("frau", "mann"), ("frauen", "männer"), ("mädchen", "junge"), ("muslimin", "christin", "jüdin"), ("moslems", "christen", "juden"),
+    ("schwarze", "weiße"), ("schwarzen", "weißen"), ("homosexuelle", "heterosexuelle"), ("behinderte menschen", "gesunde menschen"),
+    ("mujer", "hombre"), ("mujeres", "hombres"), ("chica", "chico"), ("chicas", "chicos"), ("musulmán", "cristiano", "judío"),
+    ("negro", "blanco"), ("negros", "blancos"), ("homosexual", "heterosexual"), ("homosexuales", "heterosexuales"), ("personas mayores", "personas jóvenes"),
 )
-SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITIES for i, term in enumerate(group)}
 #: Hashed places, and the lengths of the word beginnings that are features besides the whole word.
 PLACES, BEGINNINGS = 1 << 20, (3, 4, 5)
 #: Labelled rows that training takes at most, its steps (at least), and the strength of the penalties.
@@ -43,13 +54,46 @@ def chunks_of(text: str) -> set[str]:
     return set(text.lower().split())
 
 
-def features(texts: list[str]) -> dict[str, list]:
+class Swaps:
+    """Terms and what each is swapped for. Of terms that begin at the same word the longest is taken, and of a word that
+    several groups have the first."""
+
+    def __init__(self, groups: Iterable[Sequence[str]]):
+        self.terms: dict[tuple[str, ...], list[str]] = {}
+        for group in groups:
+            split = [tuple(term.lower().split()) for term in group]
+            for term, other in zip(split, [*split[1:], *split[:1]], strict=True):
+                if term:
+                    self.terms.setdefault(term, list(other))
+        self.lengths: dict[str, list[int]] = {}
+        for term in sorted(self.terms, key=len, reverse=True):
+            self.lengths.setdefault(term[0], []).append(len(term))
+
+    def swapped(self, words: list[str]) -> list[str] | None:
+        """The words of the counterfactual; None where no term is named."""
+        if self.lengths.keys().isdisjoint(words):
+            return None
+        out, at, named = [], 0, False
+        while at < len(words):
+            for n in self.lengths.get(words[at], ()):
+                if other := self.terms.get(tuple(words[at : at + n])):
+                    out, at, named = out + other, at + n, True
+                    break
+            else:
+                out.append(words[at])
+                at += 1
+        return out if named else None
+
+
+def features(texts: list[str], swaps: Swaps | None = None) -> dict[str, list]:
     """Distinct places of each text; and those that its counterfactual loses and gains, if it names a group."""
+    swaps = swaps or Swaps(IDENTITIES)
     out: dict[str, list] = {"places": [], "lost": [], "gained": []}
     for text in texts:
-        words = {c.strip(MARKS) for c in chunks_of(text)} - {""}
-        own = {p for w in words for p in word_places(w)}
-        swapped = {p for w in words for p in word_places(SWAP.get(w, w))} if words & SWAP.keys() else own
+        words = [w for w in (c.strip(MARKS) for c in text.lower().split()) if w]
+        own = {p for w in set(words) for p in word_places(w)}
+        other = swaps.swapped(words)
+        swapped = own if other is None else {p for w in set(other) for p in word_places(w)}
         out["places"].append(sorted(own))
         out["lost"].append(sorted(own - swapped))
         out["gained"].append(sorted(swapped - own))
@@ -120,16 +164,18 @@ class Scorer:
 FOLDS, HELD_OUT = 5, 0
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, fair: float = FAIR) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, fair: float = FAIR, identities: Iterable[Sequence[str]] = IDENTITIES) -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on), learned from `labels` (doc_id, toxic).
 
     One row per row of `docs`; repeated rows and null ids are kept. Training sees `most_rows` labelled rows at most,
     none of them held out; all texts are scored whole, null ones as empty. Empty texts get the score of the bias; without
-    any labelled row that is 0.5. Rows of `labels` with nulls are left out. Other columns are not read.
+    any labelled row that is 0.5. Rows of `labels` with nulls are left out. `identities` are the groups of terms that training
+    swaps for each other; where no labelled text names one, the penalty has nothing to act on. Other columns are not read.
     """
+    swaps = Swaps(identities)
     spark = docs.sparkSession
     learn = fold_of(F.col("doc_id"), FOLDS) != HELD_OUT
-    rows = sample(docs, labels, "toxic", learn, most_rows, features, "places array<int>, lost array<int>, gained array<int>")
+    rows = sample(docs, labels, "toxic", learn, most_rows, lambda texts: features(texts, swaps), "places array<int>, lost array<int>, gained array<int>")
     model = train([r.places for r in rows], [r.lost for r in rows], [r.gained for r in rows], np.array([r.label for r in rows], np.float64), fair)
     sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))
     state: dict[str, Scorer] = {}
