@@ -154,3 +154,71 @@ def test_timeline_and_health(spark):
 def test_freshness(spark):
     df = samples(spark, M.LAST_UPDATE, [(0, 1704067200), (30, 1704067230)])
     assert S.freshness_seconds(df, "2024-01-01 00:06:00").first()["freshness_s"] == 330
+
+
+# --- panes
+
+
+def grid_of(points, step, reach):
+    last = max(t for t, _ in points) + reach
+    return range(-(-min(t for t, _ in points) // step) * step, int(last) + 1, step)
+
+
+@pytest.mark.parametrize(("step", "window", "slice_seconds"), [(15, 60, 3600), (10, 30, 60), (10, 10, 30), (15, 45, 45), (20, 50, 120)])
+def test_rates_from_panes_are_those_of_the_samples(spark, step, window, slice_seconds):
+    import random
+
+    rng = random.Random(step + window)
+    every, rows = {"a": 1, "b": 7, "c": 40}, {}
+    for name, gap in every.items():
+        t, value, points = rng.randrange(5), 0, []
+        while t < 900:
+            points.append((t, value))
+            t += rng.randint(1, 2 * gap)
+            value = 0 if rng.random() < 0.05 else value + rng.randrange(9)
+        rows[name] = points
+    df = None
+    for name, points in rows.items():
+        part = samples(spark, "c", points, series=name)
+        df = part if df is None else df.unionByName(part)
+    found = {(r["series"], int((r["ts"] - START).total_seconds())): r["rate"] for r in S.rate_on_grid(df, "c", window, step, slice_seconds).collect()}
+    want = {}
+    for name, points in rows.items():
+        # an increase counts if the sample before it is at most a window older, or in the same slice of time
+        length = max(slice_seconds, window)
+        grown = {}
+        for (s, a), (t, b) in zip(points, points[1:], strict=False):
+            grown[t] = 0 if t - s > window and s // length != t // length else b if b < a else b - a
+        for t in grid_of(points, step, window):
+            inside = [s for s, _ in points if t - window <= s <= t]
+            if len(inside) > 1:
+                want[name, t] = sum(grown[s] for s in inside[1:]) / (inside[-1] - inside[0])
+    assert found == pytest.approx(want)
+
+
+@pytest.mark.parametrize(("step", "lookback", "slice_seconds"), [(15, 300, 3600), (10, 25, 60), (30, 10, 60), (10, 60, 30)])
+def test_values_from_panes_are_those_of_the_samples(spark, step, lookback, slice_seconds):
+    import random
+
+    rng = random.Random(step * lookback)
+    rows = {name: [(t, rng.randrange(99)) for t in sorted(rng.sample(range(1500), n))] for name, n in (("a", 700), ("b", 40), ("c", 3))}
+    df = None
+    for name, points in rows.items():
+        part = samples(spark, "v", points, series=name, job="j" if name == "b" else None)
+        df = part if df is None else df.unionByName(part)
+    found = {(r["series"], int((r["ts"] - START).total_seconds())): r["value"] for r in S.value_on_grid(df, ["v"], step, lookback, slice_seconds).collect()}
+    want = {}
+    for name, points in rows.items():
+        for t in grid_of(points, step, lookback):
+            inside = [(s, v) for s, v in points if t - lookback <= s <= t]
+            if inside:
+                want[name, t] = inside[-1][1]
+    assert found == want
+
+
+def test_panes_are_shuffled_and_not_samples(spark):
+    """A thousand samples a step: what is shuffled are partial panes and, at most twice, panes."""
+    points = [(t / 50, t) for t in range(50 * 120)]
+    df = samples(spark, "v", points)
+    text = S.value_on_grid(df, ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2 and text.index("Generate") < text.index("partial_max")

@@ -63,29 +63,92 @@ def _steps(at: Column, reach: int, step: int) -> Column:
     return F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step))))
 
 
+def _pane(at: Column, step: int) -> Column:
+    """The end of the pane that holds `at`: panes are as long as a step, and hold their end but not their beginning."""
+    return (F.ceil(at / F.lit(float(step))) * step).cast("long")
+
+
+def _slices(first: Column, last: Column, length: int) -> Column:
+    """Beginnings of the slices of time from that of `first` to that of `last`."""
+    start = lambda t: t - F.pmod(t, F.lit(length))
+    return F.explode(F.sequence(start(first), start(last), F.lit(length)))
+
+
+def _steps_in(first: Column, last: Column, step: int, begin: Column, length: int) -> Column:
+    """Times of the grid from `first` to `last` within the slice that begins at `begin`."""
+    a, b = F.greatest(first, begin), F.least(last, begin + (length - step))
+    return F.explode(F.when(a <= b, F.sequence(a, b, F.lit(step))))
+
+
 def rate_on_grid(samples: DataFrame, metric: str, window_seconds: int, step_seconds: int = 15, slice_seconds: int = 3600) -> DataFrame:
     """Increase per second of a counter over `[t - window, t]` for every t of a common grid.
 
-    Series that are sampled at different times get values at the same times, so that they can be added up. Each sample
-    is sent to the steps whose window holds it and combined before the shuffle; steps with fewer than two samples have no row.
+    Series that are sampled at different times get values at the same times, so that they can be added up. Steps with
+    fewer than two samples have no row. The samples of a step are first combined into a pane, one row; a window is put together from
+    its panes, and from the sample that lies exactly at its beginning, within a slice of time. So what is shuffled is a
+    pane, twice where its windows reach into the next slice, and not each sample for each window that holds it. A
+    window that isn't a whole number of steps has no whole panes: its samples are spread to their steps.
     """
     width, step = window_seconds * _MICROS, step_seconds * _MICROS
     grown = _increases(samples, metric, width, slice_seconds)
-    spread = grown.select("metric", "series", "at", "increase", _steps(F.col("at"), width, step).alias("t"))
-    gained = F.sum("increase") - F.min_by("increase", "at")
-    rates = spread.groupBy("metric", "series", "t").agg((gained / ((F.max("at") - F.min("at")) / F.lit(float(_MICROS)))).alias("rate"), F.count(F.lit(1)).alias("n"))
-    return rates.where("n > 1").select("metric", "series", F.timestamp_micros("t").alias("ts"), "rate")
+    seconds = lambda first, last: (last - first) / F.lit(float(_MICROS))
+    if width % step:
+        spread = grown.select("metric", "series", "at", "increase", _steps(F.col("at"), width, step).alias("t"))
+        gained = F.sum("increase") - F.min_by("increase", "at")
+        rates = spread.groupBy("metric", "series", "t").agg((gained / seconds(F.min("at"), F.max("at"))).alias("rate"), F.count(F.lit(1)).alias("n"))
+        return rates.where("n > 1").select("metric", "series", F.timestamp_micros("t").alias("ts"), "rate")
+    length = -(-max(slice_seconds * _MICROS, width) // step) * step
+    panes = grown.groupBy("metric", "series", "slice", _pane(F.col("at"), step).alias("p")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("increase").alias("sum"),
+        F.min(F.struct("at", "increase")).alias("first"),
+        F.max(F.struct("at", "increase")).alias("last"),
+    )
+    # a pane whose samples lay in two slices of the increases is in two rows
+    in_slices = panes.select("metric", "series", "p", "n", "sum", "first", "last", _slices(F.col("p"), F.col("p") + width, length).alias("begin"))
+    together = in_slices.repartition("metric", "series", "begin")
+    t = _steps_in(F.col("p"), F.col("p") + width, step, F.col("begin"), length)
+    sent = together.select("*", t.alias("t"))
+    # at the last of its steps a pane counts by the sample at its end alone
+    at_end = F.col("t") == F.col("p") + width
+    sent = sent.where(~at_end | (F.col("last.at") == F.col("p")))
+    held = lambda whole, end: F.when(at_end, end).otherwise(whole)
+    windows = sent.groupBy("metric", "series", "begin", "t").agg(
+        F.sum(held(F.col("n"), F.lit(1))).alias("n"),
+        F.sum(held(F.col("sum"), F.col("last.increase"))).alias("sum"),
+        F.min(held(F.col("first"), F.col("last"))).alias("first"),
+        F.max("last.at").alias("last"),
+    )
+    rate = (F.col("sum") - F.col("first.increase")) / seconds(F.col("first.at"), F.col("last"))
+    return windows.where("n > 1").select("metric", "series", F.timestamp_micros("t").alias("ts"), rate.alias("rate"))
 
 
-def value_on_grid(samples: DataFrame, metrics: Sequence[str], step_seconds: int = 15, lookback_seconds: int = 300) -> DataFrame:
+def value_on_grid(samples: DataFrame, metrics: Sequence[str], step_seconds: int = 15, lookback_seconds: int = 300, slice_seconds: int = 3600) -> DataFrame:
     """The newest value of each series at every t of a common grid, if it is not older than the lookback."""
+    found = _newest_on_grid(samples, metrics, ["metric", "series", "job_id", "query_id"], ["metric", "series", "job_id", "query_id"], step_seconds, lookback_seconds, slice_seconds)
+    return found.select("metric", "series", "job_id", "query_id", F.timestamp_micros("t").alias("ts"), "value")
+
+
+def _newest_on_grid(samples: DataFrame, metrics: Sequence[str], keys: list[str], together: list[str], step_seconds: int, lookback_seconds: int, slice_seconds: int) -> DataFrame:
+    """The keys, begin (of the slice), t, value: rows of a slice and of the same columns `together` are in one task.
+
+    Of the samples of a step the newest stands for all. It is the value from there on until the next pane with a sample, or
+    to the end of the lookback; so nothing is added up over windows. A pane is shuffled at most twice: for the slice of
+    time that it ends in, and for the next one if it holds until then.
+    """
+    step, reach = step_seconds * _MICROS, lookback_seconds * _MICROS
+    length = -(-max(slice_seconds * _MICROS, reach) // step) * step
     at = F.unix_micros("ts")
-    spread = samples.where(F.col("metric").isin(*metrics)).withColumn("t", _steps(at, lookback_seconds * _MICROS, step_seconds * _MICROS))
-    return (
-        spread.groupBy("metric", "series", "job_id", "query_id", "t")
-        .agg(latest(F.col("value"), F.col("ts")).alias("value"))
-        .select("metric", "series", "job_id", "query_id", F.timestamp_micros("t").alias("ts"), "value")
-    )
+    placed = samples.where(F.col("metric").isin(*metrics)).select(*keys, at.alias("at"), "value").withColumn("p", _pane(F.col("at"), step))
+    panes = placed.groupBy(*keys, "p").agg(F.max(F.struct("at", "value")).alias("newest"))
+    # the last step at which the newest sample isn't too old
+    last = (F.floor((F.col("newest.at") + reach) / F.lit(float(step))) * step).cast("long")
+    sliced = panes.withColumn("last", last).select(*keys, "p", "newest", "last", _slices(F.col("p"), F.greatest("p", "last"), length).alias("begin"))
+    within = Window.partitionBy(*keys, "begin").orderBy("p")
+    following = sliced.repartition(*together, "begin").withColumn("next", F.lead("p").over(within))
+    until = F.least("last", F.coalesce(F.col("next") - step, F.col("last")))
+    held = following.select(*keys, "begin", "p", until.alias("until"), F.col("newest.value").alias("value"))
+    return held.select(*keys, "begin", "value", _steps_in(F.col("p"), F.col("until"), step, F.col("begin"), length).alias("t"))
 
 
 def throughput_total(samples: DataFrame, metric: str, window_seconds: int = 60, step_seconds: int = 15) -> DataFrame:
@@ -105,18 +168,17 @@ def quality_pct(
 ) -> DataFrame:
     """Silver rows in percent of bronze rows, per series, at every time of the grid.
 
-    The one-to-one match is done by a grouped aggregate, which reads the samples once and
-    combines before its one shuffle; a self-join would scan twice and shuffle both sides.
-    Only times at which both metrics have a value remain; a denominator of zero gives null.
+    The one-to-one match is done by a grouped aggregate within the slices of time that both metrics' values lie in; a
+    self-join would scan twice and shuffle both sides. Only times at which both metrics have a value remain; a
+    denominator of zero gives null.
     """
-    step, reach = step_seconds * _MICROS, lookback_seconds * _MICROS
-    spread = samples.where(F.col("metric").isin(numerator, denominator)).withColumn("t", _steps(F.unix_micros("ts"), reach, step))
+    values = _newest_on_grid(samples, [numerator, denominator], ["metric", "series"], ["series"], step_seconds, lookback_seconds, 3600)
 
     def value_of(metric: str) -> Column:
-        return latest(F.when(F.col("metric") == metric, F.col("value")), _ts_of(metric))
+        return F.max(F.when(F.col("metric") == metric, F.struct("value")))["value"]
 
     return (
-        spread.groupBy("t", "series")
+        values.groupBy("series", "begin", "t")
         .agg(value_of(numerator).alias("numerator"), value_of(denominator).alias("denominator"))
         .where(F.col("numerator").isNotNull() & F.col("denominator").isNotNull())
         .select(F.timestamp_micros("t").alias("ts"), "series", (F.try_divide("numerator", "denominator") * 100).alias("quality_pct"))
