@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tiermill.plans import bronze_to_silver, ingest_bronze, silver_to_gold
 from tiermill.sources import read_layer, read_layer_stream, read_message_stream
-from tiermill.streaming import stream_bronze, stream_gold_hourly, stream_silver, stream_silver_stateful
+from tiermill.streaming import stream_bronze, stream_gold_hourly, stream_silver, stream_silver_smallest, stream_silver_stateful
 
 START = 1721347200000  # 2024-07-19 00:00 UTC
 HOUR = 3_600_000
@@ -79,6 +79,25 @@ def test_stateful_deduplication(spark, cfg, land, event, spread):
     assert run() == [("b", 3.5), ("c", 3.5), ("hot", 3.5)]
 
 
+def test_the_smallest_copy_survives_and_keys_are_forgotten(spark, cfg, land, event):
+    def run():
+        to_bronze(spark, cfg)
+        stream_silver_smallest(read_layer_stream(spark, cfg, "bronze"), cfg, delay="1 hour").awaitTermination()
+        return users(spark, cfg)
+
+    land(event(ms=START, user="a", latency=5), event(ms=START + 60, user="b", latency=7), "not json", event(user="c", up="NaN"))
+    assert run() == []  # copies may still come
+    land(event(ms=START, user="a", latency=3), event(ms=START, user="a", latency=4), event(ms=START + HOUR // 2, user="d"))
+    assert run() == []
+    land(event(ms=START + 3 * HOUR, user="e"))
+    assert run() == [("a", 3.0), ("b", 7.0), ("d", 3.5)]
+    # a copy later than the delay is dropped, and a run without news adds nothing
+    land(event(ms=START, user="a", latency=1))
+    assert run() == run() == [("a", 3.0), ("b", 7.0), ("d", 3.5)]
+    state = sum(f.stat().st_size for f in Path(cfg.checkpoint("stream_silver_smallest").removeprefix("file:")).rglob("*.delta"))
+    assert state < 20_000
+
+
 def test_gold_is_complete_and_takes_late_rows(spark, cfg, land, event):
     land(event(ms=START, down=1), event(ms=START + 1, user="v", down=3), event(ms=START + 2 * HOUR, down=8))
 

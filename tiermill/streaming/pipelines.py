@@ -114,6 +114,25 @@ def stream_silver_stateful(
     return _each_batch(rows.select(*SILVER.fieldNames()), cfg, name, trigger, _once_each(cfg, name, lambda batch, _: append(batch, cfg, "silver")))
 
 
+def stream_silver_smallest(bronze: DataFrame, cfg: PipelineConfig, delay: str = "2 hours", trigger: Mapping = _ONCE) -> StreamingQuery:
+    """Bronze to silver with keys kept as state until no copy can come any more; of the copies the smallest survives, as in a batch.
+
+    A key waits until the watermark has passed its time, is written once and forgotten; a copy that comes more than
+    `delay` after the newest event is dropped. Copies are combined before the shuffle and held as one row, so that a key
+    with very many of them costs one row per task; the state holds the keys of the last `delay`. The last of these are
+    written when later events come.
+    """
+    ensure_table(bronze.sparkSession, cfg, "silver")
+    rows = drop_nulls(bronze.select(*SILVER.fieldNames()))
+    timed = rows.withColumn("_event_time", event_timestamp("timestamp", cfg.ts_unit)).where(F.col("_event_time").isNotNull()).withWatermark("_event_time", delay)
+    rest = [c for c in SILVER.fieldNames() if c not in DEDUP_KEYS]
+    kept = timed.groupBy("_event_time", *DEDUP_KEYS).agg(F.min(F.struct(*rest)).alias("_first"))
+    survivors = kept.select(*[F.col(c) if c in DEDUP_KEYS else F.col(f"_first.{c}").alias(c) for c in SILVER.fieldNames()])
+    name = "stream_silver_smallest"
+    write = _once_each(cfg, name, lambda batch, _: append(sort_for_write(group_for_write(batch, "date"), "date", "location", "timestamp"), cfg, "silver"))
+    return _each_batch(survivors, cfg, name, trigger, write)
+
+
 def hourly_windows(silver: DataFrame, delay: str = "2 hours", ts_unit: str = "ms") -> DataFrame:
     """Gold rows over one-hour event-time windows; on a stream, with a watermark."""
     timed = silver.withColumn("_event_time", event_timestamp("timestamp", ts_unit)).withWatermark("_event_time", delay)

@@ -305,6 +305,17 @@ def oracle_sql() -> dict[str, str]:
         "stream_silver": f"SELECT {_DATED_ROWS} FROM silver",
         "stream_silver_stateful": f"SELECT {_DATED_ROWS} FROM silver",
         "stream_gold_hourly": f"SELECT {_GOLD_ROWS} FROM gold",
+        "stream_silver_smallest": f"""
+            SELECT * FROM (SELECT {_DATED_ROWS} FROM (
+              SELECT s."timestamp", s.user_id, s.upload_speed, s.download_speed,
+                     CAST(s.latency + s.copy AS FLOAT) AS latency, s.location,
+                     CAST(make_timestamp(s."timestamp" * 1000) AS DATE) AS date
+              FROM sent s
+              WHERE s.upload_speed IS NOT NULL AND NOT isnan(s.upload_speed)
+                AND s.download_speed IS NOT NULL AND s.location IS NOT NULL
+            ) QUALIFY row_number() OVER (PARTITION BY user_id, "timestamp"
+                        ORDER BY upload_speed, download_speed, latency, location, date) = 1)
+            WHERE CAST("timestamp" AS BIGINT) <= (SELECT max("timestamp") FROM present) - 36 * 3600 * 1000""",
         "stream_gold_incremental": f"SELECT {_GOLD_ROWS} FROM gold",
         "redo_changed_day": """
             SELECT 1 AS turn, 'bronze_to_silver' AS job, count(*) AS rows_out FROM silver WHERE NOT (date = DATE '2024-01-09' AND location = 'Tokyo')

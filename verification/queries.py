@@ -650,6 +650,18 @@ def stream_silver_stateful(spark, sf_dir):
     return rows_shown(layer_scans.read_layer(spark, cfg, "silver"))
 
 
+@query
+def stream_silver_smallest(spark, sf_dir):
+    """Copies that differ in latency, in two appends to bronze; what the watermark, 36 hours behind the last event, has passed."""
+    cfg = inputs.fresh_config(spark)
+    tables.ensure_table(spark, cfg, "bronze")
+    events = inputs.replayed_events(spark, sf_dir)
+    for part in (F.col("copy") == 1, F.col("copy") == 0):
+        tables.append(parsing.add_date(inputs.as_measurements(events.where(part), differing_copies=True)), cfg, "bronze")
+    streams.stream_silver_smallest(layer_scans.read_layer_stream(spark, cfg, "bronze"), cfg, delay="36 hours").awaitTermination()
+    return rows_shown(layer_scans.read_layer(spark, cfg, "silver"))
+
+
 @query
 def stream_gold_hourly(spark, sf_dir):
     built = inputs.built_pipeline(spark, sf_dir, "silver")
