@@ -135,7 +135,7 @@ def test_a_day_of_silver_reads_a_day_of_bronze(spark, sf_dir):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    from tiermill.workspace import shared_folder
+    from verification.workspace import shared_folder
 
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

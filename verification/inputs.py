@@ -20,7 +20,7 @@ from tiermill.plans.jobs import bronze_to_silver, ingest_bronze, silver_to_gold
 from tiermill.schemas import EVENT, MESSAGE
 from tiermill.sinks.messages import publish_messages
 from tiermill.sources import metrics as M
-from tiermill.workspace import fresh_folder
+from verification.workspace import fresh_folder
 
 # The places measurements come from.
 LOCATIONS = (

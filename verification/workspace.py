@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tiermill-")
