@@ -152,12 +152,15 @@ def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) ->
     known = cut(apart.join(ranked, ["hub", "node"]).select("hub", "node", "n", "c", size.alias("size"), most.alias("most"), "shared"))
     # two sets are similar enough only if they differ in `most` shingles at most, and so do the sizes of their differences
     kind = lambda x: F.floor(F.log(KIND, F.greatest(x, F.lit(1)))).cast("int")
-    partners = F.explode(F.sequence(kind(F.col("size") - F.col("most")), kind(F.col("size") + F.col("most")))).alias("other")
+    # of these kinds only those that the hub has are asked for, a few numbers for each hub
+    kinds = cut(known.groupBy(F.col("hub").alias("_hub")).agg(F.collect_set(kind(F.col("size"))).alias("kinds")))
+    near = F.sequence(kind(F.col("size") - F.col("most")), kind(F.col("size") + F.col("most")))
+    partners = F.explode(F.array_intersect(near, "kinds")).alias("other")
     least_other = F.ceil(F.pow(F.lit(KIND), "other") - 1e-6)
     # a shared shingle at a later place leaves too few behind it
     last = F.floor((F.col("size") + F.col("most") - F.col("least_other")) / 2) + 1
     alone = F.col("size") - F.size("shared")
-    first = known.select("*", kind(F.col("size")).alias("own"), partners).withColumn("least_other", least_other)
+    first = known.join(kinds, F.col("hub") == F.col("_hub")).select(*known.columns, kind(F.col("size")).alias("own"), partners).withColumn("least_other", least_other)
     heads = first.select("hub", "node", "n", "c", "size", "own", "other", alone.alias("alone"), F.posexplode(F.slice("shared", 1, F.greatest(last - alone, F.lit(0)).cast("int"))).alias("place", "x"))
     heads = cut(heads.select("hub", "node", "n", "c", "size", "own", "other", (F.col("alone") + F.col("place")).alias("before"), F.col("x.e").alias("e")))
     x = heads.select(*(F.col(c).alias(f"x_{c}") for c in heads.columns))
