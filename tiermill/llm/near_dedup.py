@@ -6,11 +6,12 @@ pair of a band of the one and a band of the other. So 2 * ALONG * PER_BAND minha
 about 7 in 100,000. A key can be shared only where both its bands are, so bands are counted first, and keys made of
 those alone that several sets have.
 
-Links matter only for what they connect. Within a key, all sets are first compared with one, the hub. Where the sets of
-a hub then still belong to several components, those of different components are compared, by what they differ in from
-the hub: two sets differ in as many shingles as their differences do, and these are small. They are ordered from rare
-to frequent, and only as many first ones are joined as two sets must share one of, by their sizes, to be similar enough.
-So neither copies nor a group of texts that all lie just below the limit cost pairs without end, and no pair is lost.
+Links matter only for what they connect. Within a key, all sets are first compared with one, the hub. Where candidates
+that hang together through keys and hubs then still belong to several components, those of different components are
+compared, by what they differ in from one centre, the hub that most of them have: two sets differ in as many shingles as
+their differences do, and near a centre these are small. They are ordered from rare to frequent, and only as many first
+ones are joined as two sets must share one of, by their sizes, to be similar enough. So neither copies nor a group of
+texts that all lie just below the limit cost pairs without end, and no pair is lost.
 """
 
 from __future__ import annotations
@@ -136,14 +137,20 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
 
 
 def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components of the star links, of nodes that share a hub."""
+    """Links (a, b) between different components of the star links, of nodes that hang together through keys."""
     part = components(links).select(F.col("id").alias("node"), F.col("component").alias("c"))
-    rows = cut(met.join(part, "node", "left").select("node", "n", "hub", F.coalesce("c", "node").alias("c")))
-    mixed = rows.groupBy("hub").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("hub")
-    left = rows.filter(F.col("node") != F.col("hub")).join(cut(mixed), "hub", "left_semi")
+    around = components(met.select(F.col("hub").alias("a"), F.col("node").alias("b"))).select(F.col("id").alias("node"), F.col("component").alias("group"))
+    often = met.groupBy(F.col("hub").alias("node"), F.col("hub_n")).agg(F.count("*").alias("k"))
+    centres = cut(often.join(around, "node").groupBy("group").agg(F.max(F.struct("k", "node", "hub_n")).alias("centre")).select("group", F.col("centre.node").alias("hub"), F.col("centre.hub_n").alias("hub_n")))
+    rows = cut(met.select("node", "n").distinct().join(around, "node").join(part, "node", "left").select("node", "n", "group", F.coalesce("c", "node").alias("c")))
+    mixed = rows.groupBy("group").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("group")
+    left = rows.join(centres.join(mixed, "group"), "group").drop("group")
     hub_sets = sets.select(F.col("node").alias("hub"), F.col("s").alias("h"))
     differences = F.concat(F.array_except("s", "h"), F.array_except("h", "s"))
-    apart = cut(left.join(sets, "node").join(hub_sets, "hub").select("hub", "node", "n", "c", differences.alias("d")))
+    apart = cut(left.join(sets, "node").join(hub_sets, "hub").select("hub", "hub_n", "node", "n", "c", differences.alias("d")))
+    # the centre's own difference is empty: the sizes of the others tell all
+    near = (F.col("node") != F.col("hub")) & (F.size("d") * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent))
+    direct = cut(apart.filter(near).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")))
     every = apart.select("hub", "node", F.explode("d").alias("e"))
     often = cut(every.groupBy("hub", "e").agg(F.count("*").alias("k")).filter("k > 1"))
     # of each difference its shared shingles, rare ones first; those of one node alone come before all of them
@@ -169,14 +176,13 @@ def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) ->
     allowed = F.floor((F.col("x_n") + F.col("y_n")) * (100 - percent) / (100 + percent))
     reach = F.least(F.col("x_size") - F.col("x_before"), F.col("y_size") - F.col("y_before"))
     enough = F.col("x_size") + F.col("y_size") - 2 * reach <= allowed
-    # a pair may share several hubs, and is compared by one
-    pairs = cut(x.join(y, on).filter(enough).groupBy(F.col("x_node").alias("a"), F.col("y_node").alias("b")).agg(F.min("x_hub").alias("hub")))
+    pairs = cut(x.join(y, on).filter(enough).select(F.col("x_hub").alias("hub"), F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
     one = known.select("hub", F.col("node").alias("a"), F.col("n").alias("na"), F.col("size").alias("za"), F.transform("shared", lambda v: v["e"]).alias("da"))
     two = known.select("hub", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("size").alias("zb"), F.transform("shared", lambda v: v["e"]).alias("db"))
     checked = pairs.join(two, ["hub", "b"]).join(one, ["hub", "a"])
     differ = F.col("za") + F.col("zb") - 2 * F.size(F.array_intersect("da", "db"))
     similar = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    return cut(checked.filter(similar).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return direct.union(cut(checked.filter(similar).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
 
 
 #: The same in SQL, from all pairs that share a shingle.
