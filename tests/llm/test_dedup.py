@@ -308,3 +308,30 @@ def test_components_of_random_graphs(spark):
         got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
         assert {r.id: r.component for r in got} == {i: c for i, c in least.items() if i in linked} and len(got) == len(linked)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("pairs,rounds", [([(5, 1), (6, 1), (7, 1), (9, 2), (8, 2)], 0), ([(5, 1), (6, 1), (1, 7), (7, 6), (8, 7), (9, 2)], 1)])
+def test_components_need_no_round_to_see_that_they_are_done(spark, monkeypatch, pairs, rounds):
+    """Every table that a round writes is a shuffle into all partitions: stars take the links and one count, each round three tables and a count."""
+    written = []
+    monkeypatch.setitem(components.__wrapped__.__globals__, "cut", lambda df: written.append(df) or lineage.cut(df))
+    got = {r.id: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 7: 1, 8: 1 if rounds else 2, 9: 2, 2: 2}
+    assert len(written) == 2 + 4 * rounds
+
+
+def test_components_of_repeated_links(spark):
+    pairs = [(1, 2)] * 5 + [(2, 3)] * 3 + [(3, 4)] * 4 + [(4, 5), (5, 4), (7, 9), (9, 7), (8, 9), (6, 6), (None, 1)]
+    got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted((r.id, r.component) for r in got) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (7, 7), (8, 7), (9, 7)]
+
+
+def test_candidates_that_are_linked_are_not_compared_again(docs_of, prose, monkeypatch):
+    """Between components that hubs leave apart there are few links; copies that hang on one hub have none."""
+    seen = []
+    monkeypatch.setattr(near_dedup, "components", lambda links: seen.append(links.count()) or components(links))
+    rng = random.Random(3)
+    base = prose(21, 150)
+    rows = list(enumerate([base, *(edited(rng, base, 1) for _ in range(12))]))
+    assert {r.component_id for r in near_dedup.near_dedup(docs_of(rows)).collect()} == {0}
+    assert seen[0] >= 12 and seen[1:] == [0, 0]

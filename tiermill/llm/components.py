@@ -13,23 +13,19 @@ def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of all ids in `links` (a, b).
 
     Rounds of large and small stars: each id sends its larger neighbours, then itself and its smaller ones, to the
-    smallest that it knows, until nothing changes. The number of links never grows; each round is written to the
-    shared folder. An id with very many links is combined before the shuffle and split by the join.
+    smallest that it knows, until each hangs on one that hangs on nothing. The count that begins a round shows this, so
+    no further round has to. The number of links never grows, and those that become equal stay; each round is written to
+    the shared folder. An id with very many links is combined before the shuffle and split by the join.
     """
-    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = cut(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = cut(large)
+        smaller, larger = F.when(F.col("b") < F.col("a"), F.col("b")), F.when(F.col("b") > F.col("a"), F.lit(True))
+        least = cut(both.groupBy("a").agg(F.min("b").alias("m"), F.max(smaller).alias("last"), F.max(larger).alias("held")).select("a", F.least("a", "m").alias("m"), "last", "held"))
+        if least.filter("last is not null and (m <> last or held)").isEmpty():
+            return least.select(F.col("a").alias("id"), F.col("m").alias("component"))
+        large = cut(edges.join(least.select(F.col("a").alias("b"), "m"), "b").select("a", F.col("m").alias("b")))
         least = cut(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = cut(small.filter("a <> b").distinct())
-        # the same links as before, by their number and two sums over them, mean that each id hangs on its smallest
-        now = edges.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first()
-        if now == before:
-            break
-        before = now
-    ends = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return ends.union(edges.select("b", "b").distinct())
+        # each id's link to its smallest takes the place of the link that this one was
+        others = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = cut(others.union(least.select("a", F.col("m").alias("b"))))

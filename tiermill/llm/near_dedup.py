@@ -122,12 +122,13 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     chosen = texts.join(involved, (F.col("doc_id") == F.col("_id")) & (F.col("version") == F.col("_version"))).select("node", "text").dropDuplicates(["node"])
     sets = cut(map_texts(chosen, lambda some: {"s": [x.view(np.int64) for x in shingles(some, shingle)]}, "s array<long>", {"node": F.col("node")}))
     links = cut(_similar(stars, sets, percent))
-    found = components(links.union(_across(met, sets, links, percent)))
+    rows = cut(_parts(met, components(links)))
+    found = components(_across(met, sets, rows, percent))
     # the smallest id of each component, from those of its nodes
-    placed = cut(classes.join(found, F.col("node") == F.col("id")).select("node", "least", "component"))
-    smallest = placed.groupBy("component").agg(F.min("least").alias("smallest"))
-    reached = placed.join(smallest, "component").select(F.col("node").alias("_node"), "smallest")
-    known = cut(classes.join(reached, F.col("node") == F.col("_node"), "left").select(*(F.col(c).alias(f"_{c}") for c in same), F.coalesce("smallest", "least").alias("least")))
+    whole = rows.join(found, F.col("c") == F.col("id"), "left").select(F.col("node").alias("_node"), F.coalesce("component", "c").alias("component"))
+    placed = cut(classes.join(whole, F.col("node") == F.col("_node"), "left").select(*same, "least", F.coalesce("component", "node").alias("component")))
+    smallest = cut(placed.groupBy("component").agg(F.min("least").alias("smallest")))
+    known = placed.join(smallest, "component").select(*(F.col(c).alias(f"_{c}") for c in same), F.col("smallest").alias("least"))
     own = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     for c in same:
         own = own & (F.col(c) == F.col(f"_{c}"))
@@ -136,21 +137,29 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     return done.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components of the star links, of nodes that hang together through keys."""
-    part = components(links).select(F.col("id").alias("node"), F.col("component").alias("c"))
-    around = components(met.select(F.col("hub").alias("a"), F.col("node").alias("b"))).select(F.col("id").alias("node"), F.col("component").alias("group"))
-    often = met.groupBy(F.col("hub").alias("node"), F.col("hub_n")).agg(F.count("*").alias("k"))
-    centres = cut(often.join(around, "node").groupBy("group").agg(F.max(F.struct("k", "node", "hub_n")).alias("centre")).select("group", F.col("centre.node").alias("hub"), F.col("centre.hub_n").alias("hub_n")))
-    rows = cut(met.select("node", "n").distinct().join(around, "node").join(part, "node", "left").select("node", "n", "group", F.coalesce("c", "node").alias("c")))
-    mixed = rows.groupBy("group").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("group")
-    left = rows.join(centres.join(mixed, "group"), "group").drop("group")
+def _parts(met: DataFrame, part: DataFrame) -> DataFrame:
+    """node, n, k (how many met it as their hub), c (its component in `part`, itself if it has none) of all that met."""
+    ends = F.explode(F.array(F.struct("node", "n", F.lit(0).alias("k")), F.struct(F.col("hub").alias("node"), F.col("hub_n").alias("n"), F.lit(1).alias("k")))).alias("end")
+    known = met.select(ends).select("end.*").groupBy("node").agg(F.max("n").alias("n"), F.sum("k").alias("k"))
+    return known.join(part, F.col("node") == F.col("id"), "left").select("node", "n", "k", F.coalesce("component", "node").alias("c"))
+
+
+def _across(met: DataFrame, sets: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components c of `rows`, by similar nodes of both, of those that hang together through keys."""
+    one = rows.select("node", F.col("c").alias("a"))
+    two = rows.select(F.col("node").alias("hub"), F.col("c").alias("b"))
+    # a component that met no node of another one has nothing left to compare
+    between = met.filter(F.col("node") != F.col("hub")).join(one, "node").join(two, "hub").filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    around = components(between).select(F.col("id").alias("c"), F.col("component").alias("group"))
+    mixed = cut(rows.join(around, "c").select("node", "n", "k", "c", "group"))
+    centres = cut(mixed.groupBy("group").agg(F.max(F.struct("k", "node", "n", "c")).alias("centre")).select("group", F.col("centre.node").alias("hub"), F.col("centre.n").alias("hub_n"), F.col("centre.c").alias("hub_c")))
+    left = mixed.join(centres, "group").drop("group", "k")
     hub_sets = sets.select(F.col("node").alias("hub"), F.col("s").alias("h"))
     differences = F.concat(F.array_except("s", "h"), F.array_except("h", "s"))
-    apart = cut(left.join(sets, "node").join(hub_sets, "hub").select("hub", "hub_n", "node", "n", "c", differences.alias("d")))
+    apart = cut(left.join(sets, "node").join(hub_sets, "hub").select("hub", "hub_n", "hub_c", "node", "n", "c", differences.alias("d")))
     # the centre's own difference is empty: the sizes of the others tell all
     near = (F.col("node") != F.col("hub")) & (F.size("d") * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent))
-    direct = cut(apart.filter(near).select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")))
+    direct = apart.filter(near & (F.col("c") != F.col("hub_c"))).select(F.col("hub_c").alias("a"), F.col("c").alias("b"))
     every = apart.select("hub", "node", F.explode("d").alias("e"))
     often = cut(every.groupBy("hub", "e").agg(F.count("*").alias("k")).filter("k > 1"))
     # of each difference its shared shingles, rare ones first; those of one node alone come before all of them
@@ -177,12 +186,12 @@ def _across(met: DataFrame, sets: DataFrame, links: DataFrame, percent: int) ->
     reach = F.least(F.col("x_size") - F.col("x_before"), F.col("y_size") - F.col("y_before"))
     enough = F.col("x_size") + F.col("y_size") - 2 * reach <= allowed
     pairs = cut(x.join(y, on).filter(enough).select(F.col("x_hub").alias("hub"), F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
-    one = known.select("hub", F.col("node").alias("a"), F.col("n").alias("na"), F.col("size").alias("za"), F.transform("shared", lambda v: v["e"]).alias("da"))
-    two = known.select("hub", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("size").alias("zb"), F.transform("shared", lambda v: v["e"]).alias("db"))
+    one = known.select("hub", F.col("node").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("size").alias("za"), F.transform("shared", lambda v: v["e"]).alias("da"))
+    two = known.select("hub", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("size").alias("zb"), F.transform("shared", lambda v: v["e"]).alias("db"))
     checked = pairs.join(two, ["hub", "b"]).join(one, ["hub", "a"])
     differ = F.col("za") + F.col("zb") - 2 * F.size(F.array_intersect("da", "db"))
     similar = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
-    return direct.union(cut(checked.filter(similar).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
+    return direct.union(checked.filter(similar).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
 
 
 #: The same in SQL, from all pairs that share a shingle.
